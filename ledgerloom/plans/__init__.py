@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ledgerloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ["loading", "revenue"]
+MODULES = ["loading", "revenue", "pricing", "customers", "products"]
 
 
 def load_all() -> None:
