@@ -18,12 +18,13 @@ def new_customers(facts, calendar) -> DataFrame:
 
 
 def rfm_base(orders: DataFrame) -> DataFrame:
-    """One row per customer from (customer_id, day, revenue): R in days, F in rows, M in money.
+    """One row per customer from (customer_id, day, revenue): R in days, F in dated rows, M in money.
 
     Written once: the three rankings and the summaries all read it.
     """
     base = cut_lineage(orders.groupBy("customer_id").agg(
-        F.max("day").alias("last_order"), F.count(F.lit(1)).alias("F"), F.sum("revenue").alias("M")))
+        F.max("day").alias("last_order"), F.count("day").alias("F"), F.sum("revenue").alias("M"))
+        .filter(F.col("last_order").isNotNull()))
     newest = base.agg(F.max("last_order")).scalar()
     return base.select("customer_id", F.datediff(newest, F.col("last_order")).alias("R"), "F", "M")
 

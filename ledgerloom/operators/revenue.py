@@ -89,12 +89,9 @@ def top_categories(facts, calendar, products, start, end, n=10) -> DataFrame:
     return top(by_label(facts, calendar, products, "category", start, end), "revenue", "category", n=n)
 
 
-def mtd_metrics(facts, calendar, as_of: str, target: float) -> DataFrame:
-    first = as_of[:8] + "01"
+def against_target(totals: DataFrame, as_of: str, target: float) -> DataFrame:
+    """Run rate and progress for one row of (revenue, customers, orders) of a month up to ``as_of``."""
     day, length = F.dayofmonth(F.lit(as_of).cast("date")), F.dayofmonth(F.last_day(F.lit(as_of).cast("date")))
-    totals = in_range(facts, calendar, first, as_of).agg(
-        F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("revenue"),
-        F.count_distinct("customer_id").alias("customers"), F.count(F.lit(1)).alias("orders"))
     goal = F.lit(float(target))
     return totals.select(
         "revenue", "customers", "orders",
@@ -103,6 +100,13 @@ def mtd_metrics(facts, calendar, as_of: str, target: float) -> DataFrame:
         (F.col("revenue") < goal * (day / length)).alias("behind_target"))
 
 
+def mtd_metrics(facts, calendar, as_of: str, target: float) -> DataFrame:
+    totals = in_range(facts, calendar, as_of[:8] + "01", as_of).agg(
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("revenue"),
+        F.count_distinct("customer_id").alias("customers"), F.count(F.lit(1)).alias("orders"))
+    return against_target(totals, as_of, target)
+
+
 def daily_revenue(facts, calendar, year: int, month: int) -> DataFrame:
     days = calendar.filter((F.col("year") == year) & (F.col("month") == month))
     keys = year * 10000 + month * 100

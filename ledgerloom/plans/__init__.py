@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ledgerloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ["loading", "revenue", "pricing", "customers", "products", "cleaning"]
+MODULES = ["loading", "revenue", "pricing", "customers", "products", "cleaning", "exploring", "live"]
 
 
 def load_all() -> None:
