@@ -35,7 +35,8 @@ def literal_map(table: dict[str, str]) -> Column:
 def close_city(canonical: Sequence[str], cutoff: float):
     """Arrow function: closest canonical name by difflib's ratio, null below the cutoff.
 
-    Each distinct spelling is looked up once per task; no shuffle and no join is needed.
+    Callers pass null for values that the exact rules already resolve. Each distinct
+    spelling is looked up once per task; no shuffle and no join is needed.
     """
     names = {plain_name(name): name for name in canonical}
 
@@ -51,11 +52,3 @@ def close_city(canonical: Sequence[str], cutoff: float):
             yield batch.map(known, na_action="ignore").astype(object).where(batch.notna(), None)
 
     return match
-
-
-def resolve_city(c: Column, canonical: Sequence[str], mappings: dict[str, str], cutoff: float) -> Column:
-    """Canonical city or null. Only values the exact rules leave open reach Python."""
-    exact = exact_city(c, canonical, mappings)
-    if not canonical:
-        return exact
-    return F.coalesce(exact, close_city(canonical, cutoff)(F.when(exact.isNull(), c)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -10,12 +11,16 @@ from pyspark.sql import Column, functions as F
 READ = {"d": "d", "m": "M", "Y": "yyyy", "y": "yy", "b": "MMM", "B": "MMMM", "H": "H", "M": "m", "S": "s", "f": "SSSSSS"}
 WRITE = {**READ, "d": "dd", "m": "MM", "H": "HH", "M": "mm", "S": "ss"}
 
+# what each directive may look like; checked before parsing, since a failed parse is costly
+SHAPE = {"d": r"\d{1,2}", "m": r"\d{1,2}", "Y": r"\d{4}", "y": r"\d{2}", "b": "[A-Za-z]{3}", "B": "[A-Za-z]+",
+         "H": r"\d{1,2}", "M": r"\d{1,2}", "S": r"\d{1,2}", "f": r"\d{1,6}"}
+
 # A two-digit year above 68 belongs to the previous century.
 LAST_SHORT_YEAR = 2068
 
 
 def spark_pattern(strptime: str, directives: dict[str, str]) -> str:
-    out, quoted, chars = [], "", iter(strptime)
+    out, chars = [], iter(strptime)
     for ch in chars:
         if ch == "%":
             out.append(directives[next(chars)])
@@ -26,8 +31,15 @@ def spark_pattern(strptime: str, directives: dict[str, str]) -> str:
     return "".join(out)
 
 
+def shape_of(strptime: str) -> str:
+    out, chars = [], iter(strptime)
+    for ch in chars:
+        out.append(SHAPE[next(chars)] if ch == "%" else re.escape(ch))
+    return "^" + "".join(out) + "$"
+
+
 def parse_with(c: Column, strptime: str) -> Column:
-    parsed = F.try_to_date(c, spark_pattern(strptime, READ))
+    parsed = F.when(c.rlike(shape_of(strptime)), F.try_to_date(c, spark_pattern(strptime, READ)))
     if "%y" in strptime:
         parsed = F.when(F.year(parsed) > LAST_SHORT_YEAR, F.add_months(parsed, -1200)).otherwise(parsed)
     return parsed
@@ -35,9 +47,8 @@ def parse_with(c: Column, strptime: str) -> Column:
 
 def parse_iso(c: Column) -> Column:
     """``2020-1-5``, or the same followed by a time of day."""
-    day = F.try_to_date(c, "yyyy-M-d")
-    stamp = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d"), c.try_cast("date"))
-    return F.coalesce(day, stamp)
+    return F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(c, "yyyy-M-d")).when(
+        c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d"), c.try_cast("date"))
 
 
 def parse_date(c: Column, formats: Sequence[str] = (), iso_first: bool = True) -> Column:

@@ -1,8 +1,8 @@
 """The cleaning job: eleven configured steps and their counters.
 
 Each step maps a DataFrame to a DataFrame. Where a step needs a statistic of a whole column
-(median, mean, mode) it comes from a small aggregate: a scalar subquery for one input, or a
-table with one row per input file when ``by`` names the file column.
+(median, mean, mode) it comes from a small aggregate: one row for one input, or one row per
+input file when ``by`` names the file column.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from ledgerloom.config import (
     Booleans, Categorical, CleaningConfig, Dates, Dedup, Delivery, Geo, Missing, Outliers, Payment, Price, Ratings,
 )
 from ledgerloom.functions import dates as fd, parsing
-from ledgerloom.functions.cities import resolve_city
+from ledgerloom.functions.cities import close_city, exact_city
 from ledgerloom.functions.numeric import half_even, to_number
 from ledgerloom.functions.order_stats import medians
+from ledgerloom.functions.text import lookup
 from ledgerloom.operators.warehouse import first_rows
 from ledgerloom.session import cut_lineage
 
@@ -29,12 +30,14 @@ REPORT = ["step", "field", "metric", "value"]
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add the columns of ``stats``: one row in all, or one row per value of ``by``.
 
-    ``by`` is the input file. The driver has listed those files, so the table is small.
+    A single row is read once and becomes literals, so later steps do not plan its
+    aggregate again. ``by`` is the input file; the driver has listed those files, so the
+    table has as many rows as that list.
     """
     if by:
         return df.join(F.broadcast(stats), list(by), "left")
-    row = stats.select(F.struct("*")).scalar()
-    return df.withColumns({c: row.getField(c) for c in stats.columns})
+    row = stats.first()
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in stats.schema.fields})
 
 
 def long_columns(df: DataFrame, columns: Sequence[str], kind: str, by: Sequence[str]) -> DataFrame:
@@ -100,52 +103,62 @@ def impute_missing(df: DataFrame, cfg: Missing, by: Sequence[str] = ()) -> DataF
 
 
 class Counted:
-    """A frame that collects boolean counter columns while steps are applied."""
+    """A frame to which steps are applied, with 0/1 counter columns when a report is wanted."""
 
     def __init__(self, df: DataFrame, keep: bool):
-        self.df, self.keep, self.flags = df, keep, []
+        self.df, self.keep, self.flags, self.helpers = df, keep, [], 0
 
-    def change(self, new: dict[str, Column], **counters: tuple[str, str, Column]) -> None:
+    def let(self, c: Column) -> Column:
+        """Name an expression, so that it is computed once however often it is used."""
+        self.helpers += 1
+        name = f"_let_{self.helpers}"
+        self.df = self.df.withColumn(name, c)
+        return F.col(name)
+
+    def change(self, new: dict[str, Column], *counters: tuple[str, str, str, Column]) -> None:
+        """Set columns; each counter (step, field, metric, condition) is taken before the change."""
         added = {}
-        if self.keep:
-            for step, field, metric, flag in counters.values():
-                name = f"_flag_{len(self.flags)}"
-                self.flags.append((step, field, metric, name))
-                added[name] = flag
-        self.df = self.df.withColumns({**added, **new})
+        for step, field, metric, condition in counters if self.keep else ():
+            name = f"_flag_{len(self.flags)}"
+            self.flags.append((step, field, metric, name))
+            added[name] = F.when(condition, 1).otherwise(0)
+        self.df = self.df.withColumns({**added, **new}).drop(*[c for c in self.df.columns if c.startswith("_let_")])
+
+    def flag_names(self) -> list[str]:
+        return [name for *_, name in self.flags]
 
     def items(self) -> list[tuple[str, str, str, Column]]:
-        return [(s, f, m, F.count_if(F.col(name))) for s, f, m, name in self.flags]
+        return [(s, f, m, F.coalesce(F.sum(name), F.lit(0))) for s, f, m, name in self.flags]
 
     def clean(self) -> DataFrame:
-        return self.df.drop(*[name for *_, name in self.flags])
+        return self.df.drop(*self.flag_names())
 
 
 def dates_step(t: Counted, cfg: Dates) -> None:
     for f in [f for f in cfg.fields if f in t.df.columns]:
         text = F.col(f).cast("string")
-        parsed = fd.parse_date(text, cfg.input_formats)
+        parsed = t.let(fd.parse_date(text, cfg.input_formats))
         shown = fd.render(parsed, cfg.target_format)
         t.change({f: shown if cfg.invalid_to_null else F.coalesce(shown, text)},
-                 n=("dates", f, "converted", parsed.isNotNull() & (F.length(text) > 0)))
+                 ("dates", f, "converted", parsed.isNotNull() & (F.length(text) > 0)))
 
 
 def prices_step(t: Counted, cfg: Price) -> None:
     """Unreadable prices become null; unless they are to be dropped, the text stays in ``<field>_raw``."""
     for f in [f for f in cfg.fields if f in t.df.columns]:
-        parsed = parsing.price(F.col(f))
+        parsed = t.let(parsing.price_value(t.let(parsing.price_text(F.col(f)))))
         new = {f: half_even(parsed, cfg.decimal_places)}
         if not cfg.coerce_invalid_to_null:
             new = {f"{f}_raw": F.when(parsed.isNull(), F.col(f).cast("string")), **new}
-        t.change(new, n=("price", f, "standardized", parsed.isNotNull()))
+        t.change(new, ("price", f, "standardized", parsed.isNotNull()))
 
 
 def ratings_step(t: Counted, cfg: Ratings, by: Sequence[str]) -> None:
     f = cfg.column
     if not f or f not in t.df.columns:
         return
-    parsed = parsing.rating(F.col(f))
-    t.change({f: parsed}, a=("ratings", f, "changed", parsed.isNotNull()), b=("ratings", f, "imputed", F.col(f).isNull()))
+    parsed = parsing.within_scale(t.let(parsing.rating_value(t.let(parsing.plain_text(F.col(f))))))
+    t.change({f: parsed}, ("ratings", f, "changed", parsed.isNotNull()), ("ratings", f, "imputed", F.col(f).isNull()))
     if isinstance(cfg.impute_strategy, (int, float)):
         filled, fill = t.df, F.lit(float(cfg.impute_strategy))
     else:
@@ -156,63 +169,74 @@ def ratings_step(t: Counted, cfg: Ratings, by: Sequence[str]) -> None:
 
 def categories_step(t: Counted, cfg: Categorical) -> None:
     for f in [f for f in cfg.fields if f in t.df.columns]:
-        new = parsing.category(F.col(f), cfg.lowercase, cfg.strip, cfg.collapse_spaces, cfg.replace_ampersand,
-                               cfg.mappings.get(f, {}))
-        t.change({f: new}, n=("categorical", f, "standardized", ~new.eqNullSafe(F.col(f).cast("string"))))
+        text = t.let(parsing.category_text(F.col(f), cfg.lowercase, cfg.strip, cfg.collapse_spaces, cfg.replace_ampersand))
+        new = lookup(text, cfg.mappings.get(f, {}))
+        t.change({f: new}, ("categorical", f, "standardized", ~new.eqNullSafe(F.col(f).cast("string"))))
 
 
 def cities_step(t: Counted, cfg: Geo) -> None:
     f = cfg.city_field
     if f and f in t.df.columns:
-        t.df = t.df.withColumn("_city", resolve_city(F.col(f), cfg.canonical_cities, cfg.city_mappings, cfg.fuzzy_threshold))
-        t.change({f: F.coalesce("_city", f)}, n=("geo", f, "resolved", F.col("_city").isNotNull()))
-        t.df = t.df.drop("_city")
+        exact = t.let(exact_city(F.col(f), cfg.canonical_cities, cfg.city_mappings))
+        found = exact
+        if cfg.canonical_cities:
+            near = close_city(cfg.canonical_cities, cfg.fuzzy_threshold)(F.when(exact.isNull(), F.col(f)))
+            found = t.let(F.coalesce(exact, t.let(near)))
+        t.change({f: F.coalesce(found, F.col(f))}, ("geo", f, "resolved", found.isNotNull()))
 
 
 def booleans_step(t: Counted, cfg: Booleans) -> None:
     for f in [f for f in cfg.fields if f in t.df.columns]:
         if isinstance(t.df.schema[f].dataType, T.BooleanType):
-            t.change({}, n=("booleans", f, "standardized", F.lit(False)))
+            t.change({}, ("booleans", f, "standardized", F.lit(False)))
         else:
-            t.change({f: parsing.boolean(F.col(f))}, n=("booleans", f, "standardized", F.col(f).isNotNull()))
+            lower = t.let(parsing.lower_text(F.col(f)))
+            t.change({f: parsing.boolean_of(lower)}, ("booleans", f, "standardized", F.col(f).isNotNull()))
 
 
 def delivery_step(t: Counted, cfg: Delivery) -> None:
     f = cfg.column
     if f and f in t.df.columns:
-        days = parsing.delivery_days(F.col(f), cfg.max_days, cfg.clip_max)
+        days = t.let(parsing.delivery_days(t.let(parsing.lower_text(F.col(f))), cfg.max_days, cfg.clip_max))
         was_text = isinstance(t.df.schema[f].dataType, T.StringType)
         changed = F.col(f).isNotNull() if was_text else ~days.eqNullSafe(F.col(f))
-        t.change({f: days}, a=("delivery", f, "changed", changed), b=("delivery", f, "nullified", days.isNull()))
+        t.change({f: days}, ("delivery", f, "changed", changed), ("delivery", f, "nullified", days.isNull()))
 
 
 def payment_step(t: Counted, cfg: Payment) -> None:
     f = cfg.column
     if f and f in t.df.columns:
-        new = parsing.payment(F.col(f), cfg.extra_mappings)
-        t.change({f: new}, n=("payment", f, "standardized", ~new.eqNullSafe(F.col(f))))
+        text = t.let(parsing.payment_text(F.col(f)))
+        new = t.let(parsing.payment_label(F.col(f).cast("string"), text, cfg.extra_mappings))
+        t.change({f: new}, ("payment", f, "standardized", ~new.eqNullSafe(F.col(f).cast("string"))))
 
 
 def usable_keys(df: DataFrame, cfg: Dedup) -> list[str]:
     return [k for k in cfg.key_fields if k in df.columns]
 
 
-def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Keep the first row per key, or one row per key with the quantities added up."""
+def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = (), totals: Sequence[str] = ()) -> DataFrame:
+    """Keep the first row per key, or one row per key with the quantities added up.
+
+    ``totals`` are counter columns: they are added up over the rows of a key, so that their
+    sum stays that of the input and a report needs no second pass over it.
+    """
     keys = usable_keys(df, cfg)
     if not keys:
         return df
     keys = [*by, *[k for k in keys if k not in by]]
+    sums = [F.sum(c).alias(c) for c in totals]
     quantity = cfg.quantity_field
     if cfg.strategy == "aggregate" and quantity in df.columns:
-        rest = [c for c in df.columns if c not in keys and c != quantity]
+        rest = [c for c in df.columns if c not in keys and c != quantity and c not in totals]
         units = F.coalesce(F.sum(to_number(F.col(quantity))), F.lit(0.0)).alias(quantity)
         return df.groupBy(*keys).agg(units, *[
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest])
-    return first_rows(df, keys, order)
+            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest], *sums)
+    return first_rows(df, keys, order, sums)
 
 
-def outliers_step(t: Counted, cfg: Outliers, by: Sequence[str]) -> None:
+def outliers_step(t: Counted, cfg: Outliers, by: Sequence[str]) -> Column | None:
+    """Scale down values that slipped a decimal; returns the median used."""
     f = cfg.column
     if not f or f not in t.df.columns:
         return
@@ -221,8 +245,7 @@ def outliers_step(t: Counted, cfg: Outliers, by: Sequence[str]) -> None:
     t.df = attach(t.df, column_centres(t.df, [f], "median", by).withColumnRenamed(f"_stat_{f}", "_median"), by)
     value, corrected, flagged = parsing.downscaled(F.col(f), F.col("_median"), cfg.high_factor, list(cfg.downscale_candidates))
     t.change({f: half_even(value, cfg.decimal_places)},
-             a=("outliers", f, "corrected", corrected), b=("outliers", f, "flagged", flagged))
-    t.df = t.df.drop("_median")
+             ("outliers", f, "corrected", corrected), ("outliers", f, "flagged", flagged))
 
 
 # --- report -----------------------------------------------------------------
@@ -255,13 +278,15 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
     """All steps in their fixed order. Returns the cleaned frame and the long-form report.
 
     The frame is written to the shared folder once, after duplicates are gone: the outlier
-    median, the last steps and the report all read that copy instead of repeating the shuffle.
+    median, the last steps and the report read that copy instead of repeating the shuffle.
+    Counters of the earlier steps travel with the rows, so the input is not read for them.
     """
-    order = F.struct("_src", "_row") if order is None else order
-    given = df.withColumn("_order", order)
     columns = [c for c in df.columns if not c.startswith("_")]
-
-    t = Counted(impute_missing(given, cfg.missing, by), report)
+    checked = [c for c in columns if c not in by]
+    t = Counted(df.withColumn("_order", F.struct("_src", "_row") if order is None else order), report)
+    t.change({}, ("dq", "", "rows_before", F.lit(True)),
+             *[("dq", c, "missing_before", F.col(c).isNull()) for c in checked])
+    t.df = impute_missing(t.df, cfg.missing, by)
     dates_step(t, cfg.dates)
     prices_step(t, cfg.price)
     ratings_step(t, cfg.ratings, by)
@@ -269,48 +294,37 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
     cities_step(t, cfg.geo)
     booleans_step(t, cfg.booleans)
     delivery_step(t, cfg.delivery)
-    local = t.clean()
 
-    unique = cut_lineage(deduplicate(local, cfg.dedup, F.col("_order"), by))
-    u = Counted(unique, report)
+    unique = cut_lineage(deduplicate(t.df, cfg.dedup, F.col("_order"), by, t.flag_names()))
+    u = Counted(unique.drop(*t.flag_names()), report)
     outliers_step(u, cfg.outliers, by)
     payment_step(u, cfg.payment)
     raw_texts = [f"{f}_raw" for f in cfg.price.fields if f"{f}_raw" in u.df.columns and f"{f}_raw" not in columns]
     cleaned = u.clean().select(*columns, *raw_texts)
     if not report:
         return cleaned, None
-
-    parts = [measure(df, null_counts(df, "missing", "imputed", imputed_columns(df, cfg.missing, by)), by)]
-    if t.flags:
-        parts.append(measure(t.df, t.items(), by))
-    if u.flags:
-        parts.append(measure(u.df, u.items(), by))
-    if cfg.outliers.column and cfg.outliers.column in unique.columns:
-        middle = column_centres(unique.withColumn("_x", to_number(F.col(cfg.outliers.column))), ["_x"], "median", by)
-        parts.append(measure(middle, [("outliers", cfg.outliers.column, "median", F.max("_stat__x"))], by))
-    keys = usable_keys(df, cfg.dedup)
-    if cfg.dedup.key_fields:
-        rows = quality_rows(df, unique, by)
-        parts.append(rows)
-        for k in [k for k in cfg.dedup.key_fields if k not in keys]:
-            parts.append(measure(unique, [("dedup", k, "missing_key", F.max(F.lit(1)))], by))
-    parts.append(quality_report(df, cleaned, by))
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return cleaned, whole
-
-
-def quality_rows(before: DataFrame, after: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows kept and dropped by the duplicate step."""
-    a = before.select(*by, F.lit(1).alias("_n"), F.lit(0).alias("_k"))
-    b = after.select(*by, F.lit(0).alias("_n"), F.lit(1).alias("_k"))
-    return measure(a.unionByName(b), [
-        ("dedup", "", "dropped", F.sum(F.col("_n") - F.col("_k"))), ("dedup", "", "kept", F.sum("_k"))], by)
+    earlier = measure(unique, t.items() + dedup_items(t, df, cfg.dedup), by)
+    imputed = earlier.filter((F.col("metric") == "missing_before") & F.col("field").isin(imputed_columns(df, cfg.missing, by)))
+    imputed = imputed.withColumns({"step": F.lit("missing"), "metric": F.lit("imputed")})
+    median = [("outliers", cfg.outliers.column, "median", F.max("_median"))] if "_median" in u.df.columns else []
+    later = measure(u.df, u.items() + median + [("dq", "", "rows_after", F.count(F.lit(1)))] +
+                    null_counts(u.df, "dq", "missing_after", [*checked, *raw_texts]), by)
+    return cleaned, earlier.unionByName(imputed).unionByName(later)
+
+
+def dedup_items(t: Counted, df: DataFrame, cfg: Dedup) -> list[tuple[str, str, str, Column]]:
+    """Rows dropped and kept, and a line for each key column that the input lacks."""
+    if not cfg.key_fields:
+        return []
+    before = next(name for s, f, m, name in t.flags if m == "rows_before")
+    kept = F.count(F.lit(1))
+    absent = [k for k in cfg.key_fields if k not in df.columns]
+    return [("dedup", "", "dropped", F.coalesce(F.sum(before), F.lit(0)) - kept), ("dedup", "", "kept", kept),
+            *[("dedup", k, "missing_key", F.lit(1) + F.lit(0) * kept) for k in absent]]
 
 
 def clean_one(step, df: DataFrame, *settings) -> DataFrame:
     """Apply a single step on its own, without counters."""
     t = Counted(df, False)
     step(t, *settings)
-    return t.clean()
+    return t.clean().drop("_median")

@@ -83,17 +83,19 @@ def normalize_fact(df: DataFrame, source_file: Column, candidates: dict[str, lis
     ])
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """First row of each key by ``order``; null keys are equal to each other.
+def first_rows(df: DataFrame, keys: Sequence[str], order: Column, sums: Sequence[Column] = ()) -> DataFrame:
+    """First row of each key by ``order``; null keys are equal to each other. ``sums`` are
+    aggregates that take the place of their columns.
 
     An aggregate rather than a window: partial aggregation shrinks a group of copies
     before it is shuffled, however large the group is.
     """
-    rest = [c for c in df.columns if c not in keys]
+    summed = [c for c in df.columns if c.startswith("_flag_")] if sums else []
+    rest = [c for c in df.columns if c not in keys and c not in summed]
     if not rest:
-        return df.select(*keys).distinct()
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+        return df.groupBy(*keys).agg(*sums) if sums else df.select(*keys).distinct()
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first"), *sums)
+    return first.select(*[F.col(f"_first.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
 def insert_unseen(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

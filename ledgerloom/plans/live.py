@@ -15,7 +15,7 @@ from ledgerloom.streaming import monitor
 
 def filled_table(r: Retail) -> str:
     """Run the monitor over everything there is and return its table."""
-    events = monitor.file_stream(r.spark, f"{r.sf_dir}/events.parquet")
+    events = monitor.file_stream(r.spark, r.sf_dir, "events.parquet")
     sales = events.select(monitor.utc_instant(F.col("ts")).alias("ts"), F.col("user_id").cast("string").alias("customer_id"),
                           F.col("value").cast("decimal(18,2)").alias("revenue"))
     base = f"{shared_folder(r.spark)}/monitor-{uuid4().hex}"

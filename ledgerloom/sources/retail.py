@@ -122,10 +122,16 @@ class Retail:
         """Dirty order lines: every column is text and follows from the row's spread key."""
         needed = ["order_id", "customer_id", "product_id", "order_date", "quantity", "list_price",
                   "spread_key", "line_number", "tx_id"]
-        base = self.transactions(*needed)
+        base = spread_out(self.transactions(*needed))
         return base.select(*[c.alias(name) for name, c in raw_columns().items() if not columns or name in columns])
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Use every core for an input of fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pick_by(k: Column, *values: Column | str | None) -> Column:
     """values[k], nulls included."""
     cases = [F.lit(v) if isinstance(v, str) else v for v in values]

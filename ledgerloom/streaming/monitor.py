@@ -8,12 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.revenue import against_target
 
 
-def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """New Parquet files under ``path`` as a stream; the schema is that of the files there now."""
-    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+def file_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files that appear in ``folder`` as a stream; the schema is that of the files there now."""
+    now = spark.read.option("pathGlobFilter", pattern).parquet(folder)
+    stream = spark.readStream.schema(now.schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    return stream.parquet(path)
+    return stream.parquet(folder)
 
 
 def utc_instant(c: Column) -> Column:
