@@ -35,7 +35,7 @@ def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     table has as many rows as that list.
     """
     if by:
-        return df.join(F.broadcast(stats), list(by), "left")
+        return df.join(F.broadcast(cut_lineage(stats)), list(by), "left")
     row = stats.first()
     return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in stats.schema.fields})
 

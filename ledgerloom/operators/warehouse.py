@@ -24,16 +24,13 @@ def time_dimension(spark: SparkSession, start: str, end: str, fiscal_start: int
     """One row per day from ``start`` to ``end`` with calendar and fiscal attributes."""
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date"))
-    d = F.col("date")
-    month = F.month(d)
-    return days.select(
-        date_key(d).alias("date_key"), d,
-        F.dayofmonth(d).alias("day"), month.alias("month"), F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).alias("quarter"), F.concat(F.lit("Q"), F.quarter(d)).alias("quarter_name"),
-        F.year(d).alias("year"), F.weekofyear(d).alias("week_iso"), F.date_format(d, "EEEE").alias("day_name"),
-        (F.weekday(d) >= 5).alias("is_weekend"),
-        F.when(month >= fiscal_start, F.year(d)).otherwise(F.year(d) - 1).alias("fiscal_year"),
-        (F.floor(F.pmod(month - fiscal_start, F.lit(12)) / 3) + 1).cast("int").alias("fiscal_quarter"),
+    return days.selectExpr(
+        "year(date) * 10000 + month(date) * 100 + day(date) as date_key", "date",
+        "day(date) as day", "month(date) as month", "date_format(date, 'MMMM') as month_name",
+        "quarter(date) as quarter", "concat('Q', quarter(date)) as quarter_name", "year(date) as year",
+        "weekofyear(date) as week_iso", "date_format(date, 'EEEE') as day_name", "weekday(date) >= 5 as is_weekend",
+        f"if(month(date) >= {fiscal_start}, year(date), year(date) - 1) as fiscal_year",
+        f"cast(floor(pmod(month(date) - {fiscal_start}, 12) / 3) + 1 as int) as fiscal_quarter",
     )
 
 

@@ -6,9 +6,8 @@ and part, so leaving a join out never changes the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.functions.dates import date_key
 from ledgerloom.operators.warehouse import time_dimension
 
 CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-12-31"
@@ -22,43 +21,71 @@ TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity
 SLICE = 4096
 
 
-def spread() -> Column:
-    return F.col("l_orderkey") * 7 + F.col("l_partkey") + F.col("l_linenumber")
-
-
-def null_every(n: int, value: Column) -> Column:
-    return F.when(spread() % n != 0, value)
-
-
-def transaction_columns() -> dict[str, Column]:
-    day = F.col("o_orderdate").cast("date")
-    lag = F.datediff(F.col("l_shipdate").cast("date"), day)
-    return {
-        "order_id": F.col("l_orderkey").cast("string"),
-        "customer_id": F.col("o_custkey").cast("string"),
-        "product_id": F.col("l_partkey").cast("string"),
-        "order_date": day,
-        "date_key": date_key(day),
-        "quantity": F.col("l_quantity"),
-        "list_price": F.col("l_extendedprice"),
-        "unit_price": F.col("l_extendedprice") / F.col("l_quantity"),
-        # 12 digits keep the product within 18, the widest decimal held as one long
-        "revenue": F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)")),
-        "discount_pct": F.round(F.col("l_discount") * 100).cast("double"),
-        "category": null_every(11, F.col("p_type")),
-        "brand": F.col("p_brand"),
-        "payment_method": F.col("o_orderpriority"),
-        "city": F.col("n_name"),
-        "state": null_every(13, F.col("r_name")),
-        "is_prime_member": F.when(F.col("o_custkey") % 10 != 7, F.col("o_custkey") % 3 == 0),
-        "delivery_days": null_every(17, F.pmod(lag, F.lit(46))),
-        "customer_rating": null_every(5, (10 + spread() % 41).cast("double") / 10),
-        "is_returned": F.col("l_returnflag") == "R",
-        "tx_id": F.struct(*TIE_BREAK),
-        "tx_slice": F.floor(F.col("l_orderkey") / SLICE),
-        "line_number": F.col("l_linenumber"),
-        "spread_key": spread(),
-    }
+# deterministic spread of nulls and dirty values over the lines
+SPREAD = "(l_orderkey * 7 + l_partkey + l_linenumber)"
+ORDER_DAY = "cast(o_orderdate as date)"
+
+TRANSACTION_SQL = {
+    "order_id": "cast(l_orderkey as string)",
+    "customer_id": "cast(o_custkey as string)",
+    "product_id": "cast(l_partkey as string)",
+    "order_date": ORDER_DAY,
+    "date_key": f"year({ORDER_DAY}) * 10000 + month({ORDER_DAY}) * 100 + day({ORDER_DAY})",
+    "quantity": "l_quantity",
+    "list_price": "l_extendedprice",
+    "unit_price": "l_extendedprice / l_quantity",
+    # 12 digits keep the product within 18, the widest decimal held as one long
+    "revenue": "cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))",
+    "discount_pct": "cast(round(l_discount * 100) as double)",
+    "category": f"if({SPREAD} % 11 <> 0, p_type, null)",
+    "brand": "p_brand",
+    "payment_method": "o_orderpriority",
+    "city": "n_name",
+    "state": f"if({SPREAD} % 13 <> 0, r_name, null)",
+    "is_prime_member": "if(o_custkey % 10 <> 7, o_custkey % 3 = 0, null)",
+    "delivery_days": f"if({SPREAD} % 17 <> 0, pmod(datediff(cast(l_shipdate as date), {ORDER_DAY}), 46), null)",
+    "customer_rating": f"if({SPREAD} % 5 <> 0, cast(10 + {SPREAD} % 41 as double) / 10, null)",
+    "is_returned": "l_returnflag = 'R'",
+    "tx_id": f"struct({', '.join(TIE_BREAK)})",
+    "tx_slice": f"floor(l_orderkey / {SLICE})",
+    "line_number": "l_linenumber",
+    "spread_key": SPREAD,
+}
+
+
+ISO_DAY = "date_format(order_date, 'yyyy-MM-dd')"
+PAID = "cast(list_price as string)"
+
+RAW_SQL = {
+    "order_id": "order_id",
+    "line_number": "cast(line_number as string)",
+    "customer_id": "customer_id",
+    "product_id": "product_id",
+    "quantity": "cast(cast(quantity as int) as string)",
+    "order_date": f"""case spread_key % 6 when 1 then date_format(order_date, 'dd/MM/yyyy')
+        when 2 then date_format(order_date, 'dd-MM-yy') when 3 then 'not-a-date' when 4 then null else {ISO_DAY} end""",
+    "price": f"""case spread_key % 7 when 0 then concat('₹ ', {PAID}) when 1 then concat('(', {PAID}, ')') when 2 then 'N/A'
+        when 3 then concat('Rs. ', {PAID}) when 4 then null
+        when 5 then concat(cast(floor(list_price) as string), '00') else {PAID} end""",
+    "rating": """case spread_key % 6 when 0 then '4 stars' when 1 then '3/5' when 2 then '4.5' when 3 then 'bad'
+        when 5 then '9/10' end""",
+    "city": """case spread_key % 7 when 0 then 'Bangalore' when 1 then 'bengaluru ' when 2 then 'Hydrabad'
+        when 3 then 'New Delhi' when 4 then 'Nowhere' when 6 then 'MUMBAI' end""",
+    "prime": "case spread_key % 6 when 0 then 'Yes' when 1 then 'n' when 2 then 'TRUE' when 3 then '0' when 4 then 'maybe' end",
+    "delivery": """case spread_key % 7 when 0 then 'Same Day' when 1 then '2-4 days' when 2 then '5' when 3 then '90 days'
+        when 4 then '-3' when 6 then 'Express' end""",
+    "payment": """case spread_key % 8 when 0 then 'PhonePe' when 1 then 'C.O.D' when 2 then 'CREDIT_CARD' when 3 then 'debit card'
+        when 4 then 'NetBanking' when 5 then 'Store wallet' when 7 then 'Bank Account' end""",
+    "category": """case spread_key % 4 when 0 then ' Electronics & Accessories ' when 1 then 'ELECTRONIC'
+        when 2 then 'Home   Decor' end""",
+    "tx_id": "struct(order_date as order_day, tx_id)",
+}
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Use every core for an input of fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 class Retail:
@@ -70,7 +97,6 @@ class Retail:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def transactions(self, *columns: str) -> DataFrame:
-        available = transaction_columns()
         asked = set(columns)
         fact = self.table("lineitem")
         if asked & FROM_ORDERS:
@@ -81,38 +107,29 @@ class Retail:
             fact = fact.join(people, F.col("o_custkey") == F.col("c_custkey"))
         if asked & FROM_PART:
             fact = fact.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        return fact.select(*[available[c].alias(c) for c in columns])
+        return fact.selectExpr(*[f"{TRANSACTION_SQL[c]} as {c}" for c in columns])
 
     def products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").filter(key % 20 != 0).select(
-            key.cast("string").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.when(key % 8 != 0, F.col("p_brand")).alias("brand"),
-            F.when(key % 9 != 0, F.col("p_type")).alias("category"),
-            (1995 + key % 7).cast("int").alias("launch_year"),
-            F.col("p_retailprice").cast("decimal(18,2)").alias("base_price_2015"),
+        return self.table("part").filter("p_partkey % 20 <> 0").selectExpr(
+            "cast(p_partkey as string) as product_id",
+            "p_name as product_name",
+            "if(p_partkey % 8 <> 0, p_brand, null) as brand",
+            "if(p_partkey % 9 <> 0, p_type, null) as category",
+            "cast(1995 + p_partkey % 7 as int) as launch_year",
+            "cast(p_retailprice as decimal(18,2)) as base_price_2015",
         )
 
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        ages = ["18-25", "26-35", "36-45", "46-55", "56+"]
-        age = F.when(key % 6 == 0, F.lit(ages[0]))
-        for i, label in enumerate(ages[1:], start=1):
-            age = age.when(key % 6 == i, F.lit(label))
-        return (
-            self.table("customer")
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.cast("string").alias("customer_id"),
-                F.col("c_name").alias("customer_name"),
-                age.alias("age_group"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
-                (key % 4 == 0).alias("is_prime_member"),
-                F.col("c_mktsegment").alias("segment"),
-            )
+        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        people = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        return people.selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "c_name as customer_name",
+            "try_element_at(array('18-25', '26-35', '36-45', '46-55', '56+'), cast(c_custkey % 6 as int) + 1) as age_group",
+            "n_name as city",
+            "r_name as state",
+            "c_custkey % 4 = 0 as is_prime_member",
+            "c_mktsegment as segment",
         )
 
     def calendar(self) -> DataFrame:
@@ -123,42 +140,4 @@ class Retail:
         needed = ["order_id", "customer_id", "product_id", "order_date", "quantity", "list_price",
                   "spread_key", "line_number", "tx_id"]
         base = spread_out(self.transactions(*needed))
-        return base.select(*[c.alias(name) for name, c in raw_columns().items() if not columns or name in columns])
-
-
-def spread_out(df: DataFrame) -> DataFrame:
-    """Use every core for an input of fewer splits than cores; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def pick_by(k: Column, *values: Column | str | None) -> Column:
-    """values[k], nulls included."""
-    cases = [F.lit(v) if isinstance(v, str) else v for v in values]
-    return F.element_at(F.array(*[F.lit(None).cast("string") if v is None else v for v in cases]), (k + 1).cast("int"))
-
-
-def raw_columns() -> dict[str, Column]:
-    k = F.col("spread_key")
-    day, paid = F.col("order_date"), F.col("list_price").cast("string")
-    iso = F.date_format(day, "yyyy-MM-dd")
-    whole = F.floor("list_price").cast("bigint").cast("string")
-    return {
-        "order_id": F.col("order_id"),
-        "line_number": F.col("line_number").cast("string"),
-        "customer_id": F.col("customer_id"),
-        "product_id": F.col("product_id"),
-        "quantity": F.col("quantity").cast("int").cast("string"),
-        "order_date": pick_by(k % 6, iso, F.date_format(day, "dd/MM/yyyy"), F.date_format(day, "dd-MM-yy"),
-                              "not-a-date", None, iso),
-        "price": pick_by(k % 7, F.concat(F.lit("₹ "), paid), F.concat(F.lit("("), paid, F.lit(")")), "N/A",
-                         F.concat(F.lit("Rs. "), paid), None, F.concat(whole, F.lit("00")), paid),
-        "rating": pick_by(k % 6, "4 stars", "3/5", "4.5", "bad", None, "9/10"),
-        "city": pick_by(k % 7, "Bangalore", "bengaluru ", "Hydrabad", "New Delhi", "Nowhere", None, "MUMBAI"),
-        "prime": pick_by(k % 6, "Yes", "n", "TRUE", "0", "maybe", None),
-        "delivery": pick_by(k % 7, "Same Day", "2-4 days", "5", "90 days", "-3", None, "Express"),
-        "payment": pick_by(k % 8, "PhonePe", "C.O.D", "CREDIT_CARD", "debit card", "NetBanking", "Store wallet",
-                           None, "Bank Account"),
-        "category": pick_by(k % 4, " Electronics & Accessories ", "ELECTRONIC", "Home   Decor", None),
-        "tx_id": F.struct(day.alias("order_day"), F.col("tx_id")),
-    }
+        return base.selectExpr(*[f"{RAW_SQL[c]} as {c}" for c in columns or RAW_SQL])
