@@ -18,9 +18,11 @@ def smooth(y: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """
     alpha, beta, gamma = weights.T
     year1, year2 = y[:SEASON].mean(), y[SEASON:2 * SEASON].mean()
-    rows = len(weights)
-    level, trend = np.full(rows, year1), np.full(rows, (year2 - year1) / SEASON)
-    seasons = np.tile(y[:SEASON] - year1, (rows, 1))
+    rows, slope = len(weights), (year2 - year1) / SEASON
+    centre = (SEASON - 1) / 2
+    # start one step before the first month, with the trend taken out of the first year
+    level, trend = np.full(rows, year1 - slope * (centre + 1)), np.full(rows, slope)
+    seasons = np.tile(y[:SEASON] - year1 - slope * (np.arange(SEASON) - centre), (rows, 1))
     errors = np.zeros(rows)
     for t, value in enumerate(y):
         s = t % SEASON

@@ -42,28 +42,50 @@ def write_run(rows: DataFrame, cfg: CleaningConfig, config_name: str, out_folder
     return rows.sparkSession.read.json(f"{out_folder}/report")
 
 
+PRODUCTS = ("product_id string, product_name string, brand string, category string, subcategory string, "
+            "launch_year int, base_price_2015 decimal(18,2), weight_kg decimal(12,3)")
+CUSTOMERS = "customer_id string, city string, state string, is_prime_member boolean"
+
+
+def typed_catalog(rows: DataFrame) -> DataFrame:
+    kinds = {"launch_year": "double", "base_price_2015": "decimal(18,2)", "weight_kg": "decimal(12,3)"}
+    typed = rows.withColumns({c: F.col(c).try_cast(k) for c, k in kinds.items() if c in rows.columns})
+    return typed.withColumn("launch_year", F.col("launch_year").cast("int")) if "launch_year" in rows.columns else typed
+
+
 def load_folder(spark: SparkSession, cleaned_folder: str, warehouse: str, calendar_start="2015-01-01",
                 calendar_end="2025-12-31") -> dict[str, DataFrame]:
     """Star schema from cleaned CSVs: calendar, products, customers and the fact.
 
-    Every dimension is written to a new folder and returned from there, so a failed run
-    leaves the earlier tables as they were.
+    Files without a date or revenue column add no facts; files named as catalogs add
+    products. Dimensions go to a new folder per run, so a failed run leaves the earlier
+    tables as they were.
     """
-    raw = files.scan_folder(spark, cleaned_folder)
-    facts = wh.normalize_fact(raw.withColumn("source_file", F.col("source_file")), F.col("source_file"))
+    paths = [row.path for row in files.list_csv(spark, cleaned_folder).collect()]
+    groups = files.scan_groups(spark, paths)
+    order = F.struct("_src", "_row")
+    facts = people = None
+    goods = spark.createDataFrame([], PRODUCTS)
+    for rows in groups:
+        catalogs = rows.filter(F.lower("source_file").contains("catalog"))
+        if "product_id" in rows.columns:
+            goods = wh.upsert_products(goods, typed_catalog(catalogs), order)
+        part = wh.normalize_fact(rows, F.col("source_file"))
+        if part is None:
+            continue
+        buyers = wh.pick_columns(rows, keep=["_src", "_row"]).withColumn("is_prime_member", wh.boolean(F.col("is_prime_member")))
+        buyers = buyers.select("customer_id", "city", "state", "is_prime_member", "_src", "_row")
+        facts = part if facts is None else facts.unionByName(part)
+        people = buyers if people is None else people.unionByName(buyers)
     if facts is None:
-        raise ValueError("the files have no date or no revenue column")
+        raise ValueError("no file has both a date and a revenue column")
     wh.append_fact(facts, f"{warehouse}/transactions")
     loaded = spark.read.parquet(f"{warehouse}/transactions")
     run = uuid4().hex
-    order = F.struct("_src", "_row")
-    people = wh.pick_columns(raw, keep=["_src", "_row"]).withColumn("is_prime_member", wh.boolean(F.col("is_prime_member")))
-    empty_people = spark.createDataFrame([], "customer_id string, city string, state string, is_prime_member boolean")
-    empty_goods = spark.createDataFrame([], "product_id string, product_name string, brand string, category string, launch_year int")
     tables = {
         "time_dimension": wh.time_dimension(spark, calendar_start, calendar_end),
-        "products": wh.upsert_product_ids(empty_goods, loaded),
-        "customers": wh.upsert_customers(empty_people, people, order),
+        "products": wh.upsert_product_ids(goods, loaded),
+        "customers": wh.upsert_customers(spark.createDataFrame([], CUSTOMERS), people, order),
     }
     out = {"transactions": loaded}
     for name, df in tables.items():

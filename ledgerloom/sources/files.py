@@ -23,7 +23,8 @@ def dataset_name(path: Column) -> Column:
     plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
     parts = F.split(plain, "/")
     folder = F.try_element_at(parts, F.lit(-2))
-    return F.when(F.lower(folder).endswith(".csv"), folder).otherwise(F.element_at(parts, -1))
+    name = F.when(F.lower(folder).endswith(".csv"), folder).otherwise(F.element_at(parts, -1))
+    return F.regexp_replace(name, "^source_file=", "")  # a cleaned file keeps the name of its input
 
 
 def list_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,21 +107,23 @@ def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]]
     return {p: n for p, n, e in found if e is None}, {p: e for p, _, e in found if e is not None}
 
 
-def scan_files(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
-               multi_line: bool = False) -> DataFrame | None:
-    """Union of CSV files with different headers; missing columns are null.
-
-    Files are read in groups of equal headers, so the plan has one scan per header, not per file.
-    """
+def scan_groups(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
+                multi_line: bool = False) -> list[DataFrame]:
+    """One scan per distinct header, not per file. Unreadable files are skipped with a message."""
     known, skipped = headers(spark, paths)
     for path, reason in skipped.items():
         print(f"skipped {path}: {reason}")
     groups = defaultdict(list)
     for path, names in known.items():
         groups[tuple(names)].append(path)
+    return [scan_csv(spark, members, casts, list(names), multi_line) for names, members in groups.items()]
+
+
+def scan_files(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
+               multi_line: bool = False) -> DataFrame | None:
+    """Union of CSV files with different headers; missing columns are null."""
     whole = None
-    for names, members in groups.items():
-        part = scan_csv(spark, members, casts, list(names), multi_line)
+    for part in scan_groups(spark, paths, casts, multi_line):
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     return whole
 
