@@ -95,8 +95,16 @@ def impute_mode(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
         c: F.coalesce(F.col(c), F.col(f"_stat_{c}").cast(kinds[c])) for c in columns}).drop(*[f"_stat_{c}" for c in columns])
 
 
+def with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that hold a null at all; one cheap pass that spares the others their statistics."""
+    if not columns:
+        return []
+    row = df.agg(*[F.bool_or(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]
+
+
 def impute_missing(df: DataFrame, cfg: Missing, by: Sequence[str] = ()) -> DataFrame:
-    targets = imputed_columns(df, cfg, by)
+    targets = with_nulls(df, imputed_columns(df, cfg, by))
     numeric = [c for c in targets if is_numeric(df, c)]
     text = [c for c in targets if c not in numeric]
     return impute_mode(impute_numeric(df, numeric, cfg.numeric_strategy, by), text, by)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so that several branches can read it
-    and a lost executor costs no recomputation of what lies before."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder once and read it from there.
+
+    Several branches can then use it, each reading only its columns, and a lost executor
+    costs no recomputation of what lies before.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
