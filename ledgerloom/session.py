@@ -22,8 +22,6 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         # no Python stack capture per column call: building a wide plan is several times faster
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        # the JVM never compiles methods above 8000 bytes; let Spark split such stages instead
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
