@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,20 +49,27 @@ def pieces(
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids``."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path, kind)
         for batch in batches:
+            texts = (t.as_py() for t in batch.column("body"))
             rows = [
-                (doc, n, at, len(part) // 4, zlib.crc32(part), part)
-                for doc, ids in zip(batch["id"].astype("object"), coder.encode(batch["body"]))
+                (i, n, at, len(part) // 4, zlib.crc32(part), part if with_ids else b"")
+                for i, ids in enumerate(coder.encode(texts))
                 for n, at, part in cut(ids + end, capacity)
             ]
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out if with_ids else out.drop(columns="ids")
+            row, n, at, length, crc, part = zip(*rows) if rows else [()] * 6
+            out = {
+                "doc_id": batch.column("id").take(pa.array(row, pa.int64())),
+                "piece": pa.array(n, pa.int32()),
+                "start": pa.array(at, pa.int64()),
+                "length": pa.array(length, pa.int64()),
+                "ids_crc32": pa.array(crc, pa.int64()),
+            }
+            yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(part, pa.binary())} if with_ids else {}))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    return rows.mapInPandas(run, PIECES + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import fingerprints, packing, quality
+from ledgerloom.llm import containment, fingerprints, near, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op2_near_dedup")
+def op2(spark, sf_dir):
+    return near.near_classes(table(spark, sf_dir, "documents")).drop("words_md5")
+
+
 @query("op3_quality")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,3 +71,27 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 )
 def op5(spark, sf_dir):
     return fingerprints.exact_groups(table(spark, sf_dir, "documents"))
+
+
+#: containment of word shingles as nested loops over distinct shingles
+CONTAINMENT_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_split_to_array(trim(regexp_replace(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_split_to_array(trim(regexp_replace(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ')
+  FROM benchmark),
+shingle AS (
+  SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words),
+size AS (SELECT id, count(*) AS n FROM shingle WHERE kind = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(size.n) AS n_shingles, count(*) AS n_found,
+  count(*) / any_value(size.n) AS containment
+FROM shingle d JOIN shingle i ON d.s = i.s AND d.kind = 'd' AND i.kind = 'i' JOIN size ON size.id = i.id
+WHERE i.s <> '' GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(size.n)
+"""
+
+
+@query("op6_decontamination", CONTAINMENT_SQL)
+def op6(spark, sf_dir):
+    return containment.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
