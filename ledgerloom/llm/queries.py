@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, near, packing, quality
+from ledgerloom.llm import containment, fingerprints, near, packing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,10 @@ WHERE i.s <> '' GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(size.n)
 @query("op6_decontamination", CONTAINMENT_SQL)
 def op6(spark, sf_dir):
     return containment.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_warc")
+def op10(spark, sf_dir):
+    archives, folder = warc.write_archives(table(spark, sf_dir, "pages"))
+    members, folder = warc.normalise(archives, folder)
+    return warc.read_records(members, folder)
