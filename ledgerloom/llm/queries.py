@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, near, packing, quality, warc
+from ledgerloom.llm import containment, fingerprints, near, packing, quality, repeats, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,11 @@ def op10(spark, sf_dir):
     archives, folder = warc.write_archives(table(spark, sf_dir, "pages"))
     members, folder = warc.normalise(archives, folder)
     return warc.read_records(members, folder)
+
+
+@query("op7_substring_dedup")
+def op7(spark, sf_dir):
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,15 @@ def keep(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that only finished work had used.
+
+    It does so when the driver collects its garbage, which a driver with little to do rarely does.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def open_folder(uri: str):
     """The file system and the path in it of a shared folder; usable in tasks."""
     from pyarrow import fs
