@@ -96,43 +96,124 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
     full = F.lit((1 << width) - 1)
     n = F.size(a)
 
+    def let(value: Column, then) -> Column:
+        """``then(value)`` with the value worked out once."""
+        return F.transform(F.array(value), then)[0]
+
     def flip(x: Column) -> Column:
         return x.bitwiseXOR(full)
 
+    def bit(x: Column, k: Column) -> Column:
+        return F.call_function("shiftright", x, k).bitwiseAND(F.lit(1))
+
     def column(state: Column, j: Column) -> Column:
-        char = F.get(b, j - 1)
-        same = reduce(
-            lambda x, y: x.bitwiseOR(y),
-            [F.when(F.get(a, j - 1 - edits + k) == char, 1 << k).otherwise(0) for k in range(width)],
-        )
-        # each step is a struct of its own, so that nothing is worked out twice
         up, down = state["up"], state["down"]
-        level = (
-            ((same.bitwiseAND(up) + up).bitwiseXOR(up)).bitwiseOR(same).bitwiseOR(down).bitwiseAND(full)
-        )
-        return F.transform(F.array(F.struct(level.alias("level"))), lambda s: _next(state, s["level"], j))[0]
 
-    def _next(state: Column, level: Column, j: Column) -> Column:
-        up, down = state["up"], state["down"]
-        right_up = down.bitwiseOR(flip(level.bitwiseOR(up)))
-        right_down = level.bitwiseAND(up)
-        below = F.shiftright(level, 1)
-        # along the lowest diagonal of the band down to the last row, then along that row
-        row = F.shiftleft(F.lit(1), F.lit(0)) if False else None  # noqa: F841
-        bit = n - j + edits  # the last row's place in this column
-        last = F.element_at(F.array(*[F.lit(1 << k) for k in range(width)]), F.least(F.greatest(bit, F.lit(0)), F.lit(width - 1)) + 1)
-        step = F.when(
-            j + edits <= n, F.when(level.bitwiseAND(F.lit(1 << (width - 1))) == 0, 1).otherwise(0)
-        ).otherwise(
-            F.when(right_up.bitwiseAND(last) != 0, 1).when(right_down.bitwiseAND(last) != 0, -1).otherwise(0)
-        )
-        return F.struct(
-            right_down.bitwiseOR(flip(below.bitwiseOR(right_up))).alias("up"),
-            below.bitwiseAND(right_up).alias("down"),
-            (state["distance"] + step).alias("distance"),
+        def step(level: Column, right_up: Column, right_down: Column) -> Column:
+            below = F.shiftright(level, 1)
+            # along the lowest diagonal of the band down to the last row, then along that row
+            last = n - j + edits
+            more = F.when(j + edits <= n, 1 - F.shiftright(level, width - 1)).otherwise(
+                bit(right_up, last) - bit(right_down, last)
+            )
+            return F.struct(
+                right_down.bitwiseOR(flip(below.bitwiseOR(right_up))).alias("up"),
+                below.bitwiseAND(right_up).alias("down"),
+                (state["distance"] + more).alias("distance"),
+            )
+
+        char = F.get(b, j - 1)
+        same = [F.when(F.get(a, j - 1 - edits + k) == char, 1 << k).otherwise(0) for k in range(width)]
+        return let(
+            reduce(lambda x, y: x + y, same),
+            lambda eq: let(
+                (eq.bitwiseAND(up) + up).bitwiseXOR(up).bitwiseOR(eq).bitwiseOR(down).bitwiseAND(full),
+                lambda level: let(
+                    down.bitwiseOR(flip(level.bitwiseOR(up))),
+                    lambda right_up: step(level, right_up, level.bitwiseAND(up)),
+                ),
+            ),
         )
 
     start = F.struct(
-        F.lit(((1 << (edits + 1)) - 1) << edits).alias("up"), F.lit(0).alias("down"), F.lit(edits).alias("distance")
+        F.lit((((1 << (edits + 1)) - 1) << edits)).alias("up"), F.lit(0).alias("down"), F.lit(edits).alias("distance")
     )
     return F.aggregate(F.sequence(F.lit(1), F.size(b)), start, column)["distance"]
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    parts = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.posexplode(parts).alias("line_no", "line")).select(
+        "doc", "line_no", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), F.col("line")).alias("g")
+    )
+
+
+def edit_links(nodes: DataFrame) -> DataFrame:
+    """Links ``x, y`` between rows of ``node, line`` (distinct lines) within ``EDITS`` edits."""
+    length = F.length("line")
+    long = nodes.where(length >= SHORTEST).withColumn("counts", class_counts(F.col("line")))
+    # keys are exploded before anything is shuffled; texts stay behind
+    indexed = long.select("node", "counts", F.explode(F.array(*index_keys(F.col("line"), length))).alias("key"))
+    looked = [
+        F.struct(F.lit(shorter).alias("shorter"), key.alias("key")) for shorter, key in probe_keys(F.col("line"), length)
+    ]
+    probed = (
+        long.select("node", "counts", F.explode(F.array(*looked)).alias("p"))
+        .select("node", "counts", "p.shorter", "p.key")
+        .where("key is not null")
+    )
+    i, p = indexed.alias("i"), probed.alias("p")
+    candidates = keep(
+        p.join(i, F.col("p.key") == F.col("i.key"))
+        # lines of one length find each other twice
+        .where((F.col("p.node") < F.col("i.node")) | ((F.col("p.shorter") > 0) & (F.col("p.node") != F.col("i.node"))))
+        .where(counts_apart(F.col("p.counts"), F.col("i.counts")) <= 2 * EDITS)
+        .select(F.col("p.node").alias("x"), F.col("i.node").alias("y"))
+        .distinct(),
+        "line-candidates",
+    )
+    free(nodes.sparkSession)
+    asked = candidates.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    texts = keep(nodes.join(asked, "node", "left_semi"), "line-texts")
+    free(nodes.sparkSession)
+
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
+
+    distance = banded_distance(F.split("x_line", ""), F.split("y_line", ""))
+    return candidates.join(side("x"), "x").join(side("y"), "y").where(distance <= EDITS).select("x", "y")
+
+
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per line: ``doc_id, line_no, class_doc_id, class_line_no, n_links, kept``.
+
+    The class is named by its first line; ``n_links`` counts the different lines linked to this one.
+    """
+    rows = _rows(docs, id_col, text_col)
+    place = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("line_no").alias("line_no"))
+    firsts = rows.drop("line").groupBy("h", "g").agg(F.min(place).alias("first"))
+    is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("line_no") == F.col("first.line_no"))
+    # the copies of a line are passed over within the join
+    nodes = rows.join(firsts, ["h", "g"]).where(is_first).select("h", "g", "first", "line").dropDuplicates(["h", "g"])
+    nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
+    free(docs.sparkSession)
+    links = keep(edit_links(nodes.select("node", "line")), "line-links")
+    free(docs.sparkSession)
+    names = components(links)
+    count = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    linked = (
+        nodes.select("node", "h", "g", "first")
+        .join(names, "node", "left")
+        .join(count, "node", "left")
+        .select("h", "g", "first", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    )
+    lead = linked.groupBy("component").agg(F.min("first").alias("lead"))
+    known = keep(linked.join(lead, "component").select("h", "g", "lead", "n_links"), "line-classes")
+    return rows.drop("line").join(known, ["h", "g"]).select(
+        F.col("doc").alias("doc_id"),
+        "line_no",
+        F.col("lead.doc").alias("class_doc_id"),
+        F.col("lead.line_no").alias("class_line_no"),
+        "n_links",
+        (F.col("doc").eqNullSafe(F.col("lead.doc")) & (F.col("line_no") == F.col("lead.line_no"))).alias("kept"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, near, packing, quality, repeats, warc
+from ledgerloom.llm import containment, fingerprints, lines, near, packing, quality, repeats, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,8 @@ def op7(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op8_line_dedup")
+def op8(spark, sf_dir):
+    return lines.line_classes(table(spark, sf_dir, "documents"))
