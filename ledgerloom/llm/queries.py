@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, lines, near, packing, quality, repeats, warc
+from ledgerloom.llm import containment, fingerprints, lines, near, packing, quality, repeats, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,8 @@ def op7(spark, sf_dir):
 @query("op8_line_dedup")
 def op8(spark, sf_dir):
     return lines.line_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secrets")
+def op9(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"), path_col="source")
