@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, lines, near, packing, quality, repeats, secrets, warc
+from ledgerloom.llm import containment, fingerprints, idfiles, lines, near, packing, quality, repeats, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,9 @@ def op8(spark, sf_dir):
 @query("op9_secrets")
 def op9(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"), path_col="source")
+
+
+@query("op4_token_files")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return idfiles.read_ids(*idfiles.write_ids(docs, vocabulary("byte_bpe_50k.json"), "opens"))

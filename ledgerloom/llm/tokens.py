@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import os
 import re
+import string
+import struct
 from collections.abc import Iterable, Iterator
 
 #: words remembered by one task; then it starts anew
 REMEMBERED = 500_000
 #: characters that Python counts as white space and the tokenizers do not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_MARKS = string.punctuation
 #: a space between white space, or between white space and the end: its run is one unit
 _RUNS = re.compile(r"\s (?=\s|$)|^ (?=\s|$)")
 
@@ -34,10 +37,22 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        coded = self.whole.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
+        coded = (c.ids for c in self.whole.encode_batch_fast(parts, add_special_tokens=False))
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in coded]
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode new words. Letters and the punctuation behind them are separate units of both vocabularies."""
+        cores = {w: w.rstrip(_MARKS) for w in words}
+        units = {}
+        for w, core in cores.items():
+            letters = core[1:] if core[:1] == " " else core
+            if len(core) < len(w) and letters.isalpha():
+                units[w] = (core, w[len(core) :])
+        wanted = {u for pair in units.values() for u in pair} | (words - units.keys())
+        order = list(wanted.difference(self.known))
+        self.known.update(zip(order, self._encode(order)))
+        known = self.known
+        known.update({w: known[core] + known[tail] for w, (core, tail) in units.items()})
 
     def _parts(self, text: str) -> list[str] | None:
         if _ODD_SPACE.search(text):
@@ -67,8 +82,7 @@ class WordTokenizer:
         split = [self._parts(t) for t in texts]
         new = {w for words in split if words for w in words}.difference(self.known)
         if new:
-            order = list(new)
-            self.known.update(zip(order, self._encode(order)))
+            self._learn(new)
         known = self.known.__getitem__
         for text, words in zip(texts, split):
             yield self._encode([text])[0] if words is None else b"".join(map(known, words))
