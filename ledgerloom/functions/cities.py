@@ -12,16 +12,38 @@ from pyspark.sql import Column, functions as F
 ASCII_SPACE = r"[\t-\r\x1c-\x20]+"
 
 
-def plain_name(text: str) -> str:
-    """Accents dropped, spaces collapsed, title case."""
-    folded = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
-    return " ".join(folded.split()).title()
+class Spellings:
+    """Canonical names, and the one that a spelling is closest to.
+
+    Spellings are compared in a form of their own: unaccented ASCII letters, single spaces, a
+    capital at the start of each word.
+    """
+
+    def __init__(self, canonical: Sequence[str], cutoff: float):
+        self.cutoff = cutoff
+        self.by_form = {self.form(name): name for name in canonical}
+
+    @staticmethod
+    def form(text: str) -> str:
+        letters = (c for c in unicodedata.normalize("NFKD", text) if c.isascii())
+        return " ".join("".join(letters).title().split())
+
+    def closest(self, text: str) -> str | None:
+        """The name with the most in common, ``cutoff`` or more; of equals the last in the alphabet."""
+        own, best = self.form(text), (self.cutoff, "")
+        scorer = difflib.SequenceMatcher(b=own)
+        for form in self.by_form:
+            scorer.set_seq1(form)
+            # two cheap bounds first: they leave out most names
+            if scorer.real_quick_ratio() >= best[0] and scorer.quick_ratio() >= best[0]:
+                best = max(best, (scorer.ratio(), form))
+        return self.by_form.get(best[1])
 
 
 def exact_city(c: Column, canonical: Sequence[str], mappings: dict[str, str]) -> Column:
     """Listed spelling, or an ASCII value that equals a canonical name but for case and spaces."""
     out = F.when(c.isin(list(mappings)), F.try_element_at(literal_map(mappings), c)) if mappings else F.lit(None).cast("string")
-    names = {plain_name(name).lower(): name for name in canonical}
+    names = {Spellings.form(name).lower(): name for name in canonical}
     if not names:
         return out
     tidy = F.lower(F.trim(F.regexp_replace(c, ASCII_SPACE, " ")))
@@ -38,17 +60,13 @@ def close_city(canonical: Sequence[str], cutoff: float):
     Callers pass null for values that the exact rules already resolve. Each distinct
     spelling is looked up once per task; no shuffle and no join is needed.
     """
-    names = {plain_name(name): name for name in canonical}
+    names = Spellings(canonical, cutoff)
 
     @F.pandas_udf("string")
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, str | None] = {}
         for batch in batches:
-            for raw in batch.dropna().unique():
-                if raw not in known:
-                    tidy = plain_name(raw)
-                    near = [tidy] if tidy in names else difflib.get_close_matches(tidy, list(names), n=1, cutoff=cutoff)
-                    known[raw] = names[near[0]] if near else None
-            yield batch.map(known, na_action="ignore").astype(object).where(batch.notna(), None)
+            known.update({raw: names.closest(raw) for raw in set(batch.dropna()).difference(known)})
+            yield pd.Series([known.get(raw) for raw in batch], index=batch.index, dtype=object)
 
     return match

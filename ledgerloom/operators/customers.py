@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.functions.order_stats import column_medians, level, with_rank
-from ledgerloom.operators.revenue import revenue_sum, share_of, top
+from ledgerloom.operators.revenue import column_names, revenue_sum, share_of, top
 from ledgerloom.operators.warehouse import in_range, label_products
 from ledgerloom.session import cut_lineage
 
@@ -25,21 +25,23 @@ def rfm_base(orders: DataFrame) -> DataFrame:
     base = cut_lineage(orders.groupBy("customer_id").agg(
         F.max("day").alias("last_order"), F.count("day").alias("F"), F.sum("revenue").alias("M"))
         .filter(F.col("last_order").isNotNull()))
-    newest = base.agg(F.max("last_order")).scalar()
+    newest = F.lit(base.agg(F.max("last_order")).first()[0])
     return base.select("customer_id", F.datediff(newest, F.col("last_order")).alias("R"), "F", "M")
 
 
 def rfm_scored(base: DataFrame, segment: bool = True) -> DataFrame:
-    """Scores 1..5 from exact global ranks."""
-    n = base.agg(F.count(F.lit(1))).scalar()
+    """Scores 1..5 from exact global ranks; a customer without a measure keeps its row, with a null score."""
+    counts = base.agg(*[F.count(m).alias(m) for m in ("R", "F", "M")]).first()
     ranked = base
     for measure in ("R", "F", "M"):
         ranked = with_rank(ranked, measure, "customer_id", f"_rank_{measure}")
     scored = ranked.select(
         "customer_id", "R", "F", "M",
-        *[level(F.col(f"_rank_{m}"), n, reverse=(m == "R")).alias(f"{m}_score") for m in ("R", "F", "M")])
+        *[F.when(F.col(m).isNotNull(), level(F.col(f"_rank_{m}"), F.lit(counts[m]), reverse=(m == "R"))).alias(f"{m}_score")
+          for m in ("R", "F", "M")])
     if segment:
-        scored = scored.withColumn("segment", F.concat(*[F.col(f"{m}_score").cast("string") for m in ("R", "F", "M")]))
+        digits = [F.coalesce(F.col(f"{m}_score").cast("string"), F.lit("-")) for m in ("R", "F", "M")]
+        scored = scored.withColumn("segment", F.concat(*digits))
     return scored
 
 
@@ -96,7 +98,8 @@ def category_transitions(facts, calendar, products, start, end) -> DataFrame:
 def transition_matrix(pairs: DataFrame, categories: list[str]) -> DataFrame:
     """From by to, 0 where a step never happened; one column per category, in lower case."""
     cells = pairs.groupBy("cat_from").pivot("cat_to", categories).agg(F.sum("transitions"))
-    return cells.select("cat_from", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c.lower()) for c in categories])
+    return cells.select("cat_from", *[
+        F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(name) for c, name in column_names(categories).items()])
 
 
 def with_member(sums: DataFrame, customers: DataFrame) -> DataFrame:

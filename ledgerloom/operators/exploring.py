@@ -8,9 +8,10 @@ from ledgerloom.functions.dates import parse_date
 from ledgerloom.functions.numeric import to_number
 from ledgerloom.operators.customers import rfm_base, rfm_scored
 from ledgerloom.operators.products import histogram
-from ledgerloom.operators.revenue import month_matrix, revenue_sum, share_of, top, with_line
+from ledgerloom.operators.revenue import column_names, month_matrix, revenue_sum, share_of, top, with_line
 from ledgerloom.operators.warehouse import pick
 from ledgerloom.presets import EXPLORE_COLUMNS, EXPLORE_DATE_FORMATS
+from ledgerloom.session import cut_lineage
 
 
 def coerce_date(c: Column) -> Column:
@@ -46,7 +47,8 @@ def month_heatmap(data: DataFrame) -> DataFrame:
 def category_seasonality(data: DataFrame, categories: list[str]) -> DataFrame:
     """Month by category, 0 where nothing was sold; one column per category, in lower case."""
     cells = data.filter(F.col("month").isNotNull()).groupBy("month").pivot("category", categories).agg(F.sum("revenue"))
-    return cells.select("month", *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c.lower()) for c in categories])
+    return cells.select("month", *[
+        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(name) for c, name in column_names(categories).items()])
 
 
 def rfm(data: DataFrame) -> DataFrame:
@@ -59,8 +61,14 @@ def payment_share(data: DataFrame) -> DataFrame:
     return known.groupBy("year", "payment_method").agg(revenue_sum()).withColumn("share", share_of("revenue", "year"))
 
 
-def payment_share_matrix(shares: DataFrame, methods: list[str]) -> DataFrame:
-    """Year by method; columns s0.. follow the order of ``methods``."""
+def payment_share_matrix(shares: DataFrame, methods: list[str] | None = None) -> DataFrame:
+    """Year by method; columns s0.. follow the order of ``methods``, by default all there are, by name.
+
+    The shares have a row per year and method; they are written, and the names read from there.
+    """
+    if methods is None:
+        shares = cut_lineage(shares)
+        methods = sorted(r[0] for r in shares.select("payment_method").distinct().collect())
     cells = shares.groupBy("year").pivot("payment_method", methods).agg(F.max("share"))
     return cells.select("year", *[F.coalesce(F.col(f"`{m}`"), F.lit(0.0)).alias(f"s{i}") for i, m in enumerate(methods)])
 

@@ -13,6 +13,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.operators.warehouse import in_range, label_products
 
+def column_names(labels: Sequence[str]) -> dict[str, str]:
+    """A column name per label: in lower case, numbered where labels differ in case alone."""
+    names: dict[str, str] = {}
+    for label in labels:
+        name, n = label.lower(), 2
+        while name in names.values():
+            name, n = f"{label.lower()}_{n}", n + 1
+        names[label] = name
+    return names
+
+
 def revenue_sum() -> Column:
     return F.sum("revenue").alias("revenue")
 

@@ -61,10 +61,16 @@ def pick_columns(df: DataFrame, candidates: dict[str, list[str]] = LOADER_COLUMN
 def normalize_fact(df: DataFrame, source_file: Column, candidates: dict[str, list[str]] = LOADER_COLUMNS) -> DataFrame | None:
     """Text columns to the fact's types; unreadable values become null."""
     names = picked_names(df, candidates)
-    picked = pick_columns(df.withColumn("source_file", source_file), candidates, keep=["source_file"])
+    # rows of a scanned file carry their place, which identifies and orders them
+    placed = [c for c in ("_src", "_row") if c in df.columns]
+    picked = pick_columns(df.withColumn("source_file", source_file), candidates, keep=["source_file", *placed])
     if picked is None:
         return None
     day = parse_iso(F.col("order_date").cast("string"))
+    position = [
+        F.struct("source_file", "_src", "_row").alias("tx_id"),
+        F.struct("source_file", "_src", F.col("_row.start").alias("start"), F.shiftright("_row.n", 12).alias("n")).alias("tx_slice"),
+    ] if len(placed) == 2 else []
     whole_days = F.col("delivery_days").cast("string").try_cast("decimal(20,4)")
     special = {
         "order_date": day,
@@ -77,7 +83,7 @@ def normalize_fact(df: DataFrame, source_file: Column, candidates: dict[str, lis
     return picked.select(*[
         special.get(c, F.col(c).cast("string").try_cast(kind) if kind.startswith("decimal") else F.col(c).cast(kind)).alias(c)
         for c, kind in FACT_TYPES.items() if c in special or c in picked.columns
-    ])
+    ], *position)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Column, sums: Sequence[Column] = ()) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import customers as cu
-from ledgerloom.operators.revenue import distinct_labels, top
+from ledgerloom.operators.revenue import top
 from ledgerloom.plans.registry import END, START, query
 from ledgerloom.plans.revenue import RANGE, iso
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.retail import Retail
 
 BASIC = ("order_date", "date_key", "customer_id", "revenue")
@@ -65,10 +66,9 @@ def rfm_drilldown(r: Retail):
 
 
 TRANSITIONS = f"""
-, b AS (SELECT customer_id, cat, row_number() OVER (PARTITION BY customer_id ORDER BY date, tx_id) AS rn
+, steps AS (SELECT cat AS cat_from, lead(cat) OVER (PARTITION BY customer_id ORDER BY date, tx_id) AS cat_to
   FROM star WHERE {RANGE} AND customer_id IS NOT NULL),
-pairs AS (SELECT x.cat AS cat_from, y.cat AS cat_to, count(*) AS transitions
-  FROM b x JOIN b y ON x.customer_id = y.customer_id AND y.rn = x.rn + 1 GROUP BY 1, 2)
+pairs AS (SELECT cat_from, cat_to, count(*) AS transitions FROM steps WHERE cat_to IS NOT NULL GROUP BY ALL)
 """
 
 
@@ -89,9 +89,10 @@ STEP_CELLS = ", ".join(
 
 @query("bi_transition_matrix", TRANSITIONS + f"SELECT cat_from, {STEP_CELLS} FROM pairs GROUP BY 1")
 def transition_matrix(r: Retail):
-    """The column list is a short label list, read once."""
-    seen = [row[0] for row in distinct_labels(r.products(), r.transactions("category"), "category").collect()]
-    return cu.transition_matrix(transitions_of(r), sorted({*seen, "Unknown"}))
+    """The columns are the labels that the counted pairs have: a short list, read from their written table."""
+    pairs = cut_lineage(transitions_of(r))
+    seen = pairs.select(F.explode(F.array("cat_from", "cat_to")).alias("c")).distinct().collect()
+    return cu.transition_matrix(pairs, sorted(row["c"] for row in seen))
 
 
 @query("bi_top_transitions", TRANSITIONS + "SELECT * FROM pairs ORDER BY transitions DESC, cat_from, cat_to LIMIT 50")
@@ -134,7 +135,8 @@ def cohort_active(r: Retail):
     return iso(cohorts_of(r), "cohort")
 
 
-MONTHS = 83  # offsets between the first and the last month of the range
+# offsets between the first and the last month of the range
+MONTHS = (int(END[:4]) - int(START[:4])) * 12 + int(END[5:7]) - int(START[5:7])
 OFFSET_CELLS = ", ".join(f"CAST(coalesce(sum(active) FILTER (m = {i}), 0) AS BIGINT) AS m{i}" for i in range(MONTHS + 1))
 
 

@@ -78,7 +78,7 @@ def payment_share(r: Retail):
 
 @query("eda_payment_share_matrix", SHARES + f"SELECT year, {METHOD_CELLS} FROM q GROUP BY 1")
 def payment_share_matrix(r: Retail):
-    return ex.payment_share_matrix(payment_share(r), METHODS)
+    return ex.payment_share_matrix(payment_share(r))
 
 
 @query("eda_category_latest_year", """

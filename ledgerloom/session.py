@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -27,7 +29,22 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application: they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), "ledgerloom")
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "ledgerloom"))
+        _shipped.add(app)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -99,7 +99,7 @@ def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]]
         try:
             names = reader(spark, False).csv(path).columns
             return path, names, None if names else "no header"
-        except Exception as error:  # an unreadable file is skipped, whatever the cause
+        except Exception as error:  # the caller decides what an unreadable file means
             return path, [], str(error).splitlines()[0]
 
     with ThreadPoolExecutor(HEADER_READERS) as pool:
@@ -108,10 +108,12 @@ def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]]
 
 
 def scan_groups(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
-                multi_line: bool = False) -> list[DataFrame]:
-    """One scan per distinct header, not per file. Unreadable files are skipped with a message."""
-    known, skipped = headers(spark, paths)
-    for path, reason in skipped.items():
+                multi_line: bool = False, skip_unreadable: bool = False) -> list[DataFrame]:
+    """One scan per distinct header, not per file. An unreadable file is an error unless it is to be skipped."""
+    known, failed = headers(spark, paths)
+    if failed and not skip_unreadable:
+        raise ValueError("unreadable files: " + "; ".join(f"{path}: {reason}" for path, reason in sorted(failed.items())))
+    for path, reason in failed.items():
         print(f"skipped {path}: {reason}")
     groups = defaultdict(list)
     for path, names in known.items():
@@ -120,16 +122,17 @@ def scan_groups(spark: SparkSession, paths: list[str], casts: dict[str, str] | N
 
 
 def scan_files(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
-               multi_line: bool = False) -> DataFrame | None:
+               multi_line: bool = False, skip_unreadable: bool = False) -> DataFrame | None:
     """Union of CSV files with different headers; missing columns are null."""
     whole = None
-    for part in scan_groups(spark, paths, casts, multi_line):
+    for part in scan_groups(spark, paths, casts, multi_line, skip_unreadable):
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     return whole
 
 
 def scan_folder(spark: SparkSession, folder: str, casts: dict[str, str] | None = None) -> DataFrame | None:
-    return scan_files(spark, [row.path for row in list_csv(spark, folder).collect()], casts)
+    """All CSVs of a folder for a first look: files that cannot be read are named and left out."""
+    return scan_files(spark, [row.path for row in list_csv(spark, folder).collect()], casts, skip_unreadable=True)
 
 
 def processed_files(spark: SparkSession, out_folder: str) -> DataFrame:
