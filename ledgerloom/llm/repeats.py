@@ -164,7 +164,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     by_window = keep(by_window, "by-window")
     free(spark)
     judged = (
-        extents.withColumn("kind", kind)
+        extents.select("anchor", kind.alias("kind"), "doc", "text_id", "start", F.size("windows").alias("n"))
         .join(classes, ["anchor", "kind"])
         .join(by_window, ["anchor", "kind"], "left")
         .select(
@@ -172,7 +172,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             "text_id",
             "start",
             F.when(F.col("lows").isNotNull(), F.transform("lows", lambda low: low < F.col("doc")))
-            .otherwise(F.transform("windows", lambda _: F.col("low") < F.col("doc")))
+            .otherwise(F.array_repeat(F.col("low") < F.col("doc"), F.col("n")))
             .alias("marks"),
         )
         .where(F.exists("marks", lambda m: m))
@@ -203,18 +203,22 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             total, gone, kept, spots = [], [], [], []
             for text, found in zip(batch.column("body"), batch.column("found")):
-                data, starts, ends, _ = text_words(text.as_py()) if text.is_valid else text_words(None)
-                turn = np.zeros(len(starts) + 1, dtype=np.int64)
-                for one in found.as_py() or ():
+                # bytes are split at the very characters that separate words
+                own = as_bytes(text.as_py()).tobytes().split()
+                total.append(len(own))
+                if not found.is_valid:
+                    gone.append(0)
+                    kept.append(b" ".join(own))
+                    spots.append([])
+                    continue
+                turn = np.zeros(len(own) + 1, dtype=np.int64)
+                for one in found.as_py():
                     at = one["start"] + np.flatnonzero(one["marks"])
-                    np.add.at(turn, at, 1)
-                    np.add.at(turn, at + WINDOW, -1)
+                    turn[at] += 1
+                    turn[at + WINDOW] -= 1
                 cover = np.cumsum(turn)[:-1] > 0
-                raw = data.tobytes()
-                stay = np.flatnonzero(~cover).tolist()
-                total.append(len(starts))
                 gone.append(int(cover.sum()))
-                kept.append(b" ".join([raw[starts[i] : ends[i]] for i in stay]))
+                kept.append(b" ".join([own[i] for i in np.flatnonzero(~cover).tolist()]))
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]])))
                 spots.append([[int(a), int(b)] for a, b in zip(edge[::2], edge[1::2])])
             yield pa.RecordBatch.from_pydict({
