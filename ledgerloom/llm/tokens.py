@@ -19,6 +19,18 @@ REMEMBERED = 500_000
 #: characters that Python counts as white space and the tokenizers do not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = string.punctuation
+#: letters that stay single letters when lower-cased, with a space before them or not
+_LATIN = re.compile("[ ]?(?:[A-Za-z]+|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01bf]+)")
+
+
+def _byte_chars() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself where it is visible."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in seen else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARS = _byte_chars()
 #: a space between white space, or between white space and the end: its run is one unit
 _RUNS = re.compile(r"\s (?=\s|$)|^ (?=\s|$)")
 
@@ -33,6 +45,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
+        self.merges = self.whole.model.tokenize
         self.opens = kind == "opens"
         self.known: dict[str, bytes] = {}
 
@@ -40,19 +53,33 @@ class WordTokenizer:
         coded = (c.ids for c in self.whole.encode_batch_fast(parts, add_special_tokens=False))
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in coded]
 
+    def _letters(self, unit: str) -> bytes:
+        """A space, if any, and letters: one unit of the vocabulary, so its merges alone decide."""
+        if not unit.isascii():
+            unit = "".join(map(_BYTE_CHARS.__getitem__, (unit if self.opens else unit.lower()).encode()))
+        elif self.opens:
+            unit = unit.replace(" ", _BYTE_CHARS[32])
+        else:
+            unit = unit.lower()
+        ids = [t.id for t in self.merges(unit)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, words: set[str]) -> None:
-        """Encode new words. Letters and the punctuation behind them are separate units of both vocabularies."""
-        cores = {w: w.rstrip(_MARKS) for w in words}
-        units = {}
-        for w, core in cores.items():
-            letters = core[1:] if core[:1] == " " else core
-            if len(core) < len(w) and letters.isalpha():
-                units[w] = (core, w[len(core) :])
-        wanted = {u for pair in units.values() for u in pair} | (words - units.keys())
-        order = list(wanted.difference(self.known))
-        self.known.update(zip(order, self._encode(order)))
-        known = self.known
-        known.update({w: known[core] + known[tail] for w, (core, tail) in units.items()})
+        """Encode new words. Letters, and the punctuation behind them, are units that never merge."""
+        known, whole = self.known, []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if not _LATIN.fullmatch(core):
+                whole.append(w)
+                continue
+            tail = w[len(core) :]
+            if core not in known:
+                known[core] = self._letters(core)
+            if tail:
+                if tail not in known:
+                    known[tail] = self._encode([tail])[0]
+                known[w] = known[core] + known[tail]
+        known.update(zip(whole, self._encode(whole)))
 
     def _parts(self, text: str) -> list[str] | None:
         if _ODD_SPACE.search(text):
