@@ -16,7 +16,7 @@ from ledgerloom.config import (
 )
 from ledgerloom.functions import dates as fd, parsing
 from ledgerloom.functions.cities import close_city, exact_city
-from ledgerloom.functions.numeric import half_even, to_number
+from ledgerloom.functions.numeric import PLAIN_NUMBER, half_even, to_number
 from ledgerloom.functions.order_stats import medians
 from ledgerloom.functions.text import lookup
 from ledgerloom.operators.warehouse import first_rows
@@ -31,11 +31,11 @@ def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add the columns of ``stats``: one row in all, or one row per value of ``by``.
 
     A single row is read once and becomes literals, so later steps do not plan its
-    aggregate again. ``by`` is the input file; the driver has listed those files, so the
-    table has as many rows as that list.
+    aggregate again. ``by`` is the input file: a row per file, broadcast only where Spark finds
+    the table small enough.
     """
     if by:
-        return df.join(F.broadcast(cut_lineage(stats)), list(by), "left")
+        return df.join(cut_lineage(stats), list(by), "left")
     row = stats.first()
     return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in stats.schema.fields})
 
@@ -95,17 +95,27 @@ def impute_mode(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
         c: F.coalesce(F.col(c), F.col(f"_stat_{c}").cast(kinds[c])) for c in columns}).drop(*[f"_stat_{c}" for c in columns])
 
 
-def with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The columns that hold a null at all; one cheap pass that spares the others their statistics."""
+def with_nulls(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], set[str]]:
+    """The columns that hold a null at all, and the text columns that hold nothing but plain numbers.
+
+    One cheap pass; it spares whole columns their statistics. A number with a leading zero is an
+    id, so its column stays text.
+    """
     if not columns:
-        return []
-    row = df.agg(*[F.bool_or(F.col(c).isNull()).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+        return [], set()
+    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+
+    def number(c: str) -> Column:
+        return F.col(c).rlike(PLAIN_NUMBER) & ~F.col(c).rlike("^[-+]?0[0-9]")
+
+    row = df.agg(*[F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+                 *[F.bool_and(number(c)).alias(f"number_{c}") for c in text]).first()
+    return [c for c in columns if row[f"null_{c}"]], {c for c in text if row[f"number_{c}"]}
 
 
 def impute_missing(df: DataFrame, cfg: Missing, by: Sequence[str] = ()) -> DataFrame:
-    targets = with_nulls(df, imputed_columns(df, cfg, by))
-    numeric = [c for c in targets if is_numeric(df, c)]
+    targets, numbers = with_nulls(df, imputed_columns(df, cfg, by))
+    numeric = [c for c in targets if is_numeric(df, c) or c in numbers]
     text = [c for c in targets if c not in numeric]
     return impute_mode(impute_numeric(df, numeric, cfg.numeric_strategy, by), text, by)
 

@@ -107,56 +107,35 @@ def return_rates(facts, calendar, products, start, end, n=50) -> DataFrame:
                            F.col("quantity").cast("double").alias("units")), "return_rate", "category", n=n)
 
 
-def pairs_within(items: DataFrame) -> DataFrame:
-    """Pairs a < b that share an order, counted."""
-    a, b = items.alias("a"), items.alias("b")
-    both = a.join(b, (F.col("a.order_id") == F.col("b.order_id")) & (F.col("a.product_id") < F.col("b.product_id")))
-    return both.groupBy(F.col("a.product_id").alias("prod_a"), F.col("b.product_id").alias("prod_b")).agg(
-        F.count(F.lit(1)).alias("co_occurs"))
+def pairs_within(items: DataFrame, per_slice: int = 256) -> DataFrame:
+    """Pairs a < b that share an order, counted; ``items`` has distinct (order_id, product_id).
 
-
-def pairs_sliced(items: DataFrame, slices: int) -> DataFrame:
-    """The same counts, with one side of each order dealt to ``slices`` tasks and the other side copied to each."""
-    left = items.select("order_id", F.col("product_id").alias("pa"),
-                        F.pmod(F.xxhash64("product_id"), F.lit(slices)).cast("int").alias("s"))
-    right = items.select("order_id", F.col("product_id").alias("pb"),
-                         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("s"))
-    both = left.join(right, ["order_id", "s"]).filter(F.col("pa") < F.col("pb"))
-    return both.groupBy(F.col("pa").alias("prod_a"), F.col("pb").alias("prod_b")).agg(F.count(F.lit(1)).alias("co_occurs"))
+    One side of an order is dealt to as many slices as it has ``per_slice`` products, the other side
+    is copied to each of them, so no task holds a large order whole.
+    """
+    sizes = items.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / per_slice).cast("int").alias("slices"))
+    sliced = items.join(sizes, "order_id")
+    left = sliced.select("order_id", F.col("product_id").alias("prod_a"),
+                         F.pmod(F.xxhash64("product_id"), F.col("slices")).cast("int").alias("slice"))
+    right = sliced.select("order_id", F.col("product_id").alias("prod_b"),
+                          F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    both = left.join(right, ["order_id", "slice"]).filter(F.col("prod_a") < F.col("prod_b"))
+    return both.groupBy("prod_a", "prod_b").agg(F.count(F.lit(1)).alias("co_occurs"))
 
 
-def product_pairs(facts, calendar, start, end, n=100, big_basket=256, slices=64) -> DataFrame:
+def product_pairs(facts, calendar, start, end, n=100, leading=400, per_slice=256) -> DataFrame:
     """The ``n`` product pairs bought together most often, exact.
 
-    Pairs are formed only inside orders of up to ``big_basket`` products. The few larger
-    orders are not expanded: a pair seen together in small orders is looked up in them, and
-    as long as the n-th best count exceeds the number of large orders, no pair that lives in
-    large orders alone can enter the result. Only if that bound fails are the large orders
-    expanded too, limited to products frequent enough to matter and spread over slices.
+    Pairs among the ``leading`` most frequent products are counted first. Their n-th count is a lower
+    bound of the n-th best, and both products of a better pair are in at least as many orders: all
+    rarer products drop out before the pairs of all orders are formed.
     """
     known = facts.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
     items = cut_lineage(in_range(known, calendar, start, end).select("order_id", "product_id").distinct())
-    big_orders = cut_lineage(items.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
-                             .filter(F.col("size") > big_basket).select("order_id"))
+    support = cut_lineage(items.groupBy("product_id").agg(F.count(F.lit(1)).alias("orders")))
     ranked = [F.desc("co_occurs"), F.col("prod_a"), F.col("prod_b")]
-    n_big = big_orders.count()
-    if n_big == 0:
-        return pairs_within(items).orderBy(*ranked).limit(n)
-
-    small = cut_lineage(pairs_within(items.join(big_orders, "order_id", "left_anti")))
-    in_big = cut_lineage(items.join(big_orders, "order_id", "left_semi"))
-    nth = small.orderBy(*ranked).limit(n).agg(F.when(F.count(F.lit(1)) == n, F.min("co_occurs"))).first()[0] or 0
-    candidates = small.filter(F.col("co_occurs") >= nth - n_big)
-    first = candidates.join(in_big.select("order_id", F.col("product_id").alias("prod_a")), "prod_a")
-    shared = first.join(in_big.select("order_id", F.col("product_id").alias("prod_b")), ["order_id", "prod_b"], "left_semi")
-    extra = shared.groupBy("prod_a", "prod_b").agg(F.count(F.lit(1)).alias("more"))
-    totals = candidates.join(extra, ["prod_a", "prod_b"], "left").select(
-        "prod_a", "prod_b", (F.col("co_occurs") + F.coalesce("more", F.lit(0))).alias("co_occurs"))
-    best = cut_lineage(totals.orderBy(*ranked).limit(n))
-    bound = best.agg(F.when(F.count(F.lit(1)) == n, F.min("co_occurs"))).first()[0] or 0
-    if bound > n_big:
-        return best.orderBy(*ranked)
-    frequent = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("s")).filter(F.col("s") >= bound)
-    wide = pairs_sliced(in_big.join(frequent, "product_id", "left_semi"), slices)
-    every = small.unionByName(wide).groupBy("prod_a", "prod_b").agg(F.sum("co_occurs").alias("co_occurs"))
-    return every.orderBy(*ranked).limit(n)
+    first = support.orderBy(F.desc("orders"), "product_id").limit(leading).select("product_id")
+    sure = pairs_within(items.join(first, "product_id", "left_semi"), per_slice).orderBy(*ranked).limit(n)
+    bound = sure.agg(F.when(F.count(F.lit(1)) == n, F.min("co_occurs"))).first()[0] or 1
+    frequent = support.filter(F.col("orders") >= bound).select("product_id")
+    return pairs_within(items.join(frequent, "product_id", "left_semi"), per_slice).orderBy(*ranked).limit(n)

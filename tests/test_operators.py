@@ -49,8 +49,8 @@ def baskets():
     return [(o, str(p), 20200101) for o, items in orders.items() for p in items]
 
 
-@pytest.mark.parametrize("big,n", [(256, 10), (5, 10), (5, 2000), (2, 30), (1, 25)])
-def test_product_pairs_match_brute_force(spark, big, n):
+@pytest.mark.parametrize("leading,n", [(400, 10), (5, 10), (5, 2000), (2, 30), (1, 25)])
+def test_product_pairs_match_brute_force(spark, leading, n):
     rows = baskets()
     counts = Counter()
     for _, group in itertools.groupby(sorted(rows), key=lambda r: r[0]):
@@ -58,7 +58,7 @@ def test_product_pairs_match_brute_force(spark, big, n):
     expected = sorted(((-c, a, b) for (a, b), c in counts.items()))[:n]
     facts = spark.createDataFrame(rows, "order_id string, product_id string, date_key int")
     calendar = wh.time_dimension(spark, "2020-01-01", "2020-01-02")
-    got = pd.product_pairs(facts, calendar, "2020-01-01", "2020-01-02", n, big, slices=3).collect()
+    got = pd.product_pairs(facts, calendar, "2020-01-01", "2020-01-02", n, leading, per_slice=3).collect()
     assert [(-r["co_occurs"], r["prod_a"], r["prod_b"]) for r in got] == expected
 
 
