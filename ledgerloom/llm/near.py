@@ -12,11 +12,12 @@ Texts that agree in an entry are candidates. At a similarity of 0.8 a pair is mi
 probability below 1 in 1,000; texts of up to ``SHORT`` shingles also get entries of two.
 
 Large buckets: texts of equal words are one node (similarity 1) before anything else. Every node
-of a bucket is first compared with the bucket's smallest node only. Nodes that are not linked by
-this are then compared with the rest of the bucket, except where an exact bound rules a link out:
-the triangle inequality of the multiset Jaccard distance, the ratio of lengths, or counts of
-shingles by hash class. So a large group of near copies costs one comparison per text, and a
-link between texts of a bucket is not lost.
+of a bucket is first compared with the bucket's smallest node, then, if they are still in
+different components of the links found, with its largest. What is apart after that is compared
+pair by pair, except where an exact bound rules a link out: the triangle inequality of the multiset
+Jaccard distance, the ratio of lengths, or counts of shingles by hash class. A large group of near
+copies has become one component by then, but for a few texts; no link that joins two
+components is lost.
 
 Classes are connected components of the links; ``class_id`` is the smallest id in it.
 
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components
-from ledgerloom.llm.store import keep
+from ledgerloom.llm.store import free, keep
 from ledgerloom.llm.words import NON_WORD, as_bytes, mix, shingles, spans, word_hashes
 
 WORDS = 5
@@ -214,43 +215,79 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     sketches = keep(_sketches(docs, id_col, text_col), "sketches")
     same = keep(sketches.groupBy("digest").agg(F.min("row").alias("node")), "nodes")
     rows = sketches.select("id", "digest").join(same, "digest").select("id", "digest", "node")
-    first = sketches.join(same.select("node"), F.col("row") == F.col("node"), "left_semi")
-    nodes = first.select(F.col("row").alias("node"), "id", "digest")
-    entries = first.select(F.col("row").alias("node"), "n", "counts", F.explode("entries").alias("entry"))
+    first = sketches.join(same.select("node"), F.col("row") == F.col("node"), "left_semi").drop("id", "digest")
+    nodes = sketches.select("row", "id", "digest").join(same.select("node"), F.col("row") == F.col("node")).drop("row")
+    entries = first.select(F.col("row").alias("node"), F.explode("entries").alias("entry"))
     shared = (
-        entries.groupBy("entry")
-        .agg(F.min("node").alias("lead"), F.max("node").alias("other"))
-        .where("lead < other")
-        .select("entry", "lead")
+        entries.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     )
-    buckets = keep(entries.select("entry", "node").join(shared, "entry").where("node > lead"), "buckets")
-    stars = keep(buckets.select(F.col("node").alias("x"), F.col("lead").alias("y")).distinct(), "stars")
-    asked = stars.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    texts = _texts(docs, id_col, text_col, nodes, asked)
-    compared = keep(_verified(stars, texts), "compared")
-    linked = compared.where("similarity > 0")
-
-    # nodes not linked to their bucket's first node, against the others of the bucket
-    judged = buckets.join(
-        compared.select(F.col("x").alias("node"), F.col("y").alias("lead"), "distance", "similarity"), ["node", "lead"]
-    ).join(first.select(F.col("row").alias("node"), "n", "counts"), "node")
-    judged = keep(judged, "judged")
-    u, v = judged.where("similarity = 0").alias("u"), judged.alias("v")
-    apart = F.aggregate(
+    facts = first.select(F.col("row").alias("node"), "n", "counts")
+    buckets = keep(entries.join(shared, "entry").join(facts, "node"), "buckets")
+    # a node's words are needed if it shares a bucket
+    texts = _texts(docs, id_col, text_col, nodes, buckets.select("node").distinct())
+    free(docs.sparkSession)
+
+    compared = keep(_verified(_star(buckets, "low"), texts), "compared")
+    found = compared.where("similarity > 0").select("x", "y", "similarity")
+    # a second star around the bucket's last node, for what the first has left apart
+    named = _named(buckets, found)
+    found = keep(found.unionByName(_verified(_star(named, "high"), texts).where("similarity > 0").drop("distance")), "found")
+    # the rest of each bucket, between parts that are still apart
+    left = _left(_named(buckets, found), compared, first.select(F.col("row").alias("node"), "entries"))
+    more = _verified(left, texts).where("similarity > 0").drop("distance")
+    return rows, keep(found.unionByName(more), "links")
+
+
+def _possible() -> Column:
+    """Whether rows ``u`` and ``v`` can be linked, by their numbers of shingles and counts by hash class."""
+    gap = F.aggregate(
         F.zip_with(F.col("u.counts"), F.col("v.counts"), lambda a, b: F.abs(a - b)), F.lit(0), lambda a, b: a + b
     )
-    left = (
+    # every shingle too many or too few in a class costs an insertion or deletion; (n + m) / 9 are allowed
+    return (F.least("u.n", "v.n") >= SIMILAR * F.greatest("u.n", "v.n")) & (
+        gap <= (F.col("u.n") + F.col("v.n")) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
+    )
+
+
+def _star(buckets: DataFrame, middle: str) -> DataFrame:
+    """Pairs of each node with the node in the ``middle`` column of its bucket, if a link is possible."""
+    u, v = buckets.alias("u"), buckets.where(F.col("node") == F.col(middle)).alias("v")
+    pairs = u.join(v, F.col("u.entry") == F.col("v.entry")).where((F.col("u.node") != F.col("v.node")) & _possible())
+    if "component" in buckets.columns:
+        pairs = pairs.where("u.component != v.component")
+    return pairs.select(F.col("u.node").alias("x"), F.col("v.node").alias("y")).distinct()
+
+
+def _named(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Bucket rows with the component that their node belongs to so far."""
+    return keep(
+        buckets.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node")), "named"
+    )
+
+
+def _left(named: DataFrame, compared: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs of nodes in a bucket and in different components that no bound rules out as links."""
+    from_low = compared.select(F.col("x").alias("node"), F.col("y").alias("low"), "distance")
+    # only buckets with several components matter; the first node is as far from itself as nothing
+    several = (
+        named.groupBy("entry").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("entry")
+    )
+    apart = F.when(F.col("node") == F.col("low"), 0.0).otherwise(F.col("distance"))
+    rows = keep(
+        named.join(several, "entry").join(from_low, ["node", "low"], "left").join(entries, "node")
+        .select("entry", "node", "component", apart.alias("distance"), "n", "counts", "entries"),
+        "apart",
+    )
+    u, v = rows.alias("u"), rows.alias("v")
+    far = F.abs(F.col("u.distance") - F.col("v.distance")) > 1 - SIMILAR + 1e-9  # null where one is not known
+    return (
         u.join(v, F.col("u.entry") == F.col("v.entry"))
-        .where((F.col("v.similarity") > 0) & (F.col("u.node") != F.col("v.node")) | (F.col("u.node") < F.col("v.node")))
-        .where(F.abs(F.col("u.distance") - F.col("v.distance")) <= 1 - SIMILAR + 1e-9)
-        .where(F.least("u.n", "v.n") >= SIMILAR * F.greatest("u.n", "v.n"))
-        # every shingle too many or too few in a class costs an insertion or deletion; (n + m) / 9 are allowed
-        .where(apart <= (F.col("u.n") + F.col("v.n")) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9)
+        .where((F.col("u.node") < F.col("v.node")) & (F.col("u.component") != F.col("v.component")))
+        .where(~F.coalesce(far, F.lit(False)) & _possible())
+        # a pair is looked at in the smallest of the entries that it shares
+        .where(F.array_min(F.array_intersect("u.entries", "v.entries")) == F.col("u.entry"))
         .select(F.col("u.node").alias("x"), F.col("v.node").alias("y"))
-        .distinct()
     )
-    more = _verified(left, texts).where("similarity > 0")
-    return rows, keep(linked.unionByName(more).select("x", "y", "similarity"), "links")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

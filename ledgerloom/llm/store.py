@@ -7,10 +7,11 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.session import shared_folder
+from ledgerloom.session import shared_folder, ship_package
 
 
 def new_folder(spark: SparkSession, what: str) -> str:
+    ship_package(spark)
     return f"{shared_folder(spark).rstrip('/')}/{what}-{uuid4().hex}"
 
 
