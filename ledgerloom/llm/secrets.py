@@ -93,8 +93,12 @@ def _by_row():
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
     """The most frequent four-letter pieces of words in the bounded sample; at most ``DICTIONARY`` strings."""
-    sample = docs.select(F.col(text_col).alias("t")).where("t is not null")
-    sample = sample.orderBy(F.xxhash64(F.left("t", F.lit(200)))).limit(DICTIONARY_DOCS)
+    hashed = docs.select(F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where("t is not null")
+    # the bound is found on hashes alone, so texts are not gathered to choose among them
+    last = hashed.select("h").distinct().orderBy("h").limit(DICTIONARY_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    sample = hashed.where(F.col("h") <= last).dropDuplicates(["h"])
     words = sample.select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
     pieces = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 3), lambda i: F.substring("w", i, 4))).alias("p"))
     top = pieces.groupBy("p").count().orderBy(F.desc("count"), "p").limit(DICTIONARY)
