@@ -92,14 +92,20 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
     column ``j`` bit ``k`` stands for row ``j - edits + k``; ``up`` and ``down`` mark rows whose value
     is one more or less than the row above, ``level`` rows equal to their upper left neighbour.
     """
+    # an array that is given as an expression would be made anew for every element
+    return _let(F.struct(a.alias("a"), b.alias("b")), lambda pair: _banded(pair["a"], pair["b"], edits))
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
     width = 2 * edits + 1
     full = F.lit((1 << width) - 1)
     n = F.size(a)
 
-    def let(value: Column, then) -> Column:
-        """``then(value)`` with the value worked out once."""
-        return F.transform(F.array(value), then)[0]
-
     def flip(x: Column) -> Column:
         return x.bitwiseXOR(full)
 
@@ -124,11 +130,11 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
 
         char = F.get(b, j - 1)
         same = [F.when(F.get(a, j - 1 - edits + k) == char, 1 << k).otherwise(0) for k in range(width)]
-        return let(
+        return _let(
             reduce(lambda x, y: x + y, same),
-            lambda eq: let(
+            lambda eq: _let(
                 (eq.bitwiseAND(up) + up).bitwiseXOR(up).bitwiseOR(eq).bitwiseOR(down).bitwiseAND(full),
-                lambda level: let(
+                lambda level: _let(
                     down.bitwiseOR(flip(level.bitwiseOR(up))),
                     lambda right_up: step(level, right_up, level.bitwiseAND(up)),
                 ),
@@ -150,8 +156,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def edit_links(nodes: DataFrame) -> DataFrame:
     """Links ``x, y`` between rows of ``node, line`` (distinct lines) within ``EDITS`` edits."""
-    length = F.length("line")
-    long = nodes.where(length >= SHORTEST).withColumn("counts", class_counts(F.col("line")))
+    length = F.col("n")  # a column, so that characters are counted once and not for every key
+    long = nodes.withColumn("n", F.length("line")).where(length >= SHORTEST)
+    long = long.withColumn("counts", class_counts(F.col("line")))
     # keys are exploded before anything is shuffled; texts stay behind
     indexed = long.select("node", "counts", F.explode(F.array(*index_keys(F.col("line"), length))).alias("key"))
     looked = [
