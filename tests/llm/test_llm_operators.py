@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -347,12 +348,17 @@ def test_lines_run_no_python(spark, messy):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def encoded(path, text):
+@functools.cache
+def library(path):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
     coder.encode_special_tokens = True
-    return coder.encode(text or "", add_special_tokens=False).ids
+    return coder
+
+
+def encoded(path, text):
+    return library(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "dropped"), ("byte_bpe_50k.json", "opens")])
