@@ -234,7 +234,7 @@ def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The blocks' ids again."""
     lengths = np.array(sizes, dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
-    at = np.concatenate([[0], np.cumsum([len(p) // 2 for p in payloads])])[:-1]
+    at = np.cumsum([0, *(len(p) // 2 for p in payloads)], dtype=np.int64)[:-1]
     words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u2").astype(np.uint64)
     ids = np.zeros((int(lengths.max(initial=0)), len(sizes)), dtype=np.uint16)
     _run(_Coder(len(sizes), words, at[order]), lengths[order], ids)
