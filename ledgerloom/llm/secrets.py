@@ -12,8 +12,8 @@ a name that means a secret is one; everything else is none.
 All steps are DataFrame and ``pyspark.ml`` operations.
 
 Bounds (parameters): at most ``SAMPLE`` findings of either label train the forest, those with the
-smallest hashes; the dictionary has the ``DICTIONARY`` most frequent four-letter pieces of words in
-at most ``DICTIONARY_DOCS`` documents. Candidates come from whole texts, and all are scored.
+smallest hashes; the dictionary has the ``DICTIONARY`` most frequent four-letter pieces of words,
+counted over all documents. Candidates come from whole texts, and all are scored.
 
 Defined results: a null or empty text has no candidates. With fewer than two labels in the sample
 every candidate has the share of positive labels as its probability (0 without any). Repeated rows
@@ -33,7 +33,6 @@ from ledgerloom.llm.store import keep
 SHORTEST = 16
 SAMPLE = 4000
 DICTIONARY = 400
-DICTIONARY_DOCS = 2000
 TREES = 30
 DEPTH = 6
 THRESHOLD = 0.5
@@ -92,16 +91,13 @@ def _by_row():
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The most frequent four-letter pieces of words in the bounded sample; at most ``DICTIONARY`` strings."""
-    hashed = docs.select(F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where("t is not null")
-    # the bound is found on hashes alone, so texts are not gathered to choose among them
-    last = hashed.select("h").distinct().orderBy("h").limit(DICTIONARY_DOCS).agg(F.max("h")).first()[0]
-    if last is None:
-        return []
-    sample = hashed.where(F.col("h") <= last).dropDuplicates(["h"])
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
-    pieces = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 3), lambda i: F.substring("w", i, 4))).alias("p"))
-    top = pieces.groupBy("p").count().orderBy(F.desc("count"), "p").limit(DICTIONARY)
+    """The most frequent four-letter pieces of the words of all documents; at most ``DICTIONARY`` strings."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
+    # equal words are counted first, so each is cut into pieces once; there are 26**4 pieces at most
+    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    cut = F.transform(F.sequence(F.lit(1), F.length("w") - 3), lambda i: F.substring("w", i, 4))
+    pieces = counted.select("n", F.explode(cut).alias("p"))
+    top = pieces.groupBy("p").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "p").limit(DICTIONARY)
     return [r["p"] for r in top.collect()]
 
 

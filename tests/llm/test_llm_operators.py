@@ -574,6 +574,20 @@ def test_secrets(spark, messy, empty):
     assert {r["is_secret"] for r in secrets.scan(messy).collect()} <= {False}
 
 
+def test_dictionary_counts_all_documents(spark):
+    # 3,000 distinct texts: each word's count needs every one of them
+    texts = [f"{w} {i}" for i in range(3000) for w in ("alfa" if i % 3 else "brav",)] + ["zulu " * 2001]
+    rows = docs_of(spark, [(i, t) for i, t in enumerate(texts)])
+    assert secrets.dictionary(rows) == ["zulu", "alfa", "brav"]
+    long = " ".join(words(3000, 8, size=9)).upper()
+    rows = docs_of(spark, [(i, long[i * 5 : i * 5 + 200]) for i in range(2500)] + [(1, None), (2, "")])
+    count = collections.Counter()
+    for r in rows.collect():
+        for w in re.findall("[a-z]{4,}", (r["text"] or "").lower()):
+            count.update(w[i : i + 4] for i in range(len(w) - 3))
+    assert secrets.dictionary(rows) == sorted(count, key=lambda p: (-count[p], p))[: secrets.DICTIONARY]
+
+
 def test_secrets_run_no_python(spark, messy):
     found = secrets.with_features(secrets.candidates(messy), ["abcd"])
     assert not re.search("Python|Pandas|Arrow", found._jdf.queryExecution().executedPlan().toString())
