@@ -1,13 +1,17 @@
 """Duplicate and nearly equal lines by a segment-partition edit join; DataFrame operations only.
 
-Lines are what stands between line feeds, unchanged. Equal lines are one node. Nodes of
-``SHORTEST`` characters or more are linked when their edit distance is at most ``EDITS``.
+Lines are what stands between line feeds, unchanged. Equal lines are one node. Nodes are linked when
+their edit distance is at most ``edits_allowed`` of the shorter one: ``EDITS`` from ``SHORTEST``
+characters on, one from ``ONE_EDIT`` on, none below (very short words would all be alike).
 
-A line is cut into ``EDITS + 1`` segments of almost equal length; of two lines within ``EDITS``
+A line of ``SHORTEST`` characters or more is cut into ``EDITS + 1`` segments of almost equal length; of two lines within ``EDITS``
 edits, one has a segment that the other contains, moved by no more than the edits allow. Segments
 are indexed under their number and the length of their line; a longer (or equally long) line looks
 up, for each length that may match, just those of its substrings that the edits left and right
-of a segment permit. Candidates whose counts of characters by class differ by more than ``EDITS``
+of a segment permit. Lines that may differ by one edit
+are few characters long, so segments would say little: they are looked up without each of their
+characters in turn, under its place for a line of the same length, and as a whole for a line that has
+one less. Candidates whose counts of characters by class differ by more than ``EDITS``
 edits can explain are passed over within the join. The rest are decided by a banded bit-parallel
 edit distance: a column of the distance table is held as bits, ``2 * EDITS + 1`` of them, and moves
 down the diagonal with each character.
@@ -15,8 +19,8 @@ down the diagonal with each character.
 Classes are connected components; of each class the first line stays, by document id and line
 number.
 
-Defined results: a null text is one empty line. Lines shorter than ``SHORTEST`` are only compared
-for equality (with two edits, any two very short words would be alike). Equal lines are told by
+Defined results: a null text is one empty line. Lines shorter than ``ONE_EDIT`` are only linked when
+they are equal. Equal lines are told by
 two 64-bit hashes. Repeated rows give rows each, all of them marked like the first. A null id is
 larger than any other. Other columns are ignored.
 """
@@ -32,12 +36,20 @@ from ledgerloom.llm.graph import components
 from ledgerloom.llm.store import free, keep
 
 EDITS = 2
-SHORTEST = 20
+SHORTEST = 13
+ONE_EDIT = 5
+
+_LOOKED = "array<struct<shorter:int,key:bigint>>"
 
 #: characters counted together
 CLASSES = ("e", "t", "n", "i", "a", "ro", "sh", "ldu")
 
 
+def edits_allowed(shorter: Column) -> Column:
+    """Edits by which two lines may differ, by the length of the shorter one."""
+    return F.when(shorter >= SHORTEST, EDITS).when(shorter >= ONE_EDIT, 1).otherwise(0)
+
+
 def _segment(length: Column, i: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment ``i`` of a line; the longer segments come last."""
     parts = EDITS + 1
@@ -64,11 +76,39 @@ def probe_keys(line: Column, length: Column) -> list[tuple[int, Column]]:
             first = max(-i, shorter - (EDITS - i))
             last = min(i, shorter + (EDITS - i))
             for move in range(first, last + 1):
-                fits = (start + move >= 0) & (start + move + size <= length)
+                fits = (other >= SHORTEST) & (start + move >= 0) & (start + move + size <= length)
                 found.append((shorter, F.when(fits, _key(line, other, i, start + move, size))))
     return found
 
 
+def _without_each(line: Column, length: Column, key) -> Column:
+    """``key(place, rest)`` for each character, ``rest`` being the line without it."""
+    return F.transform(
+        F.sequence(F.lit(1), length),
+        lambda p: key(p, F.concat(F.substring(line, F.lit(1), p - 1), F.substring(line, p + 1, length))),
+    )
+
+
+def short_index_keys(line: Column, length: Column) -> Column:
+    """Keys of a line that one edit may change: the whole line, and what is left without each character."""
+    rests = _without_each(line, length, lambda p, rest: F.xxhash64(p, length, rest))
+    return F.concat(F.array(F.xxhash64(F.lit(0), length, line)), rests)
+
+
+def short_probe_keys(line: Column, length: Column) -> Column:
+    """Like ``probe_keys``, for lines that one edit may change."""
+
+    def found(shorter: int, key: Column) -> Column:
+        return F.struct(F.lit(shorter).alias("shorter"), key.alias("key"))
+
+    return F.concat(
+        _without_each(line, length, lambda p, rest: found(0, F.when(length < SHORTEST, F.xxhash64(p, length, rest)))),
+        _without_each(
+            line, length, lambda p, rest: found(1, F.when(length > ONE_EDIT, F.xxhash64(F.lit(0), length - 1, rest)))
+        ),
+    )
+
+
 def class_counts(line: Column) -> Column:
     """Characters by class, eight counts modulo 256 in a long."""
     counts = [(F.length(line) - F.length(F.translate(line, c, ""))) % 256 for c in CLASSES]
@@ -155,17 +195,24 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def edit_links(nodes: DataFrame) -> DataFrame:
-    """Links ``x, y`` between rows of ``node, line`` (distinct lines) within ``EDITS`` edits."""
+    """Links ``x, y`` between rows of ``node, line`` (distinct lines) within the edits allowed."""
     length = F.col("n")  # a column, so that characters are counted once and not for every key
-    long = nodes.withColumn("n", F.length("line")).where(length >= SHORTEST)
-    long = long.withColumn("counts", class_counts(F.col("line")))
+    line = F.col("line")
+    long = nodes.withColumn("n", F.length("line")).where(length >= ONE_EDIT)
+    long = long.withColumn("counts", class_counts(line))
     # keys are exploded before anything is shuffled; texts stay behind
-    indexed = long.select("node", "counts", F.explode(F.array(*index_keys(F.col("line"), length))).alias("key"))
+    own = F.when(length >= SHORTEST, F.array(*index_keys(line, length))).otherwise(short_index_keys(line, length))
+    indexed = long.select("node", "counts", F.explode(own).alias("key"))
     looked = [
-        F.struct(F.lit(shorter).alias("shorter"), key.alias("key")) for shorter, key in probe_keys(F.col("line"), length)
+        F.struct(F.lit(shorter).alias("shorter"), key.alias("key")) for shorter, key in probe_keys(line, length)
     ]
+    # of lines of SHORTEST characters, those with one less are looked for as short ones
+    asked = F.concat(
+        F.when(length >= SHORTEST, F.array(*looked)).otherwise(F.array().cast(_LOOKED)),
+        F.when(length <= SHORTEST, short_probe_keys(line, length)).otherwise(F.array().cast(_LOOKED)),
+    )
     probed = (
-        long.select("node", "counts", F.explode(F.array(*looked)).alias("p"))
+        long.select("node", "counts", F.explode(asked).alias("p"))
         .select("node", "counts", "p.shorter", "p.key")
         .where("key is not null")
     )
@@ -180,15 +227,16 @@ def edit_links(nodes: DataFrame) -> DataFrame:
         "line-candidates",
     )
     free(nodes.sparkSession)
-    asked = candidates.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    texts = keep(nodes.join(asked, "node", "left_semi"), "line-texts")
+    met = candidates.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    texts = keep(nodes.join(met, "node", "left_semi"), "line-texts")
     free(nodes.sparkSession)
 
     def side(name: str) -> DataFrame:
         return texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
 
     distance = banded_distance(F.split("x_line", ""), F.split("y_line", ""))
-    return candidates.join(side("x"), "x").join(side("y"), "y").where(distance <= EDITS).select("x", "y")
+    allowed = edits_allowed(F.least(F.length("x_line"), F.length("y_line")))
+    return candidates.join(side("x"), "x").join(side("y"), "y").where(distance <= allowed).select("x", "y")
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -335,6 +335,31 @@ def test_line_classes(spark, messy, empty):
     assert lines.line_classes(messy).count() == sum(len((t or "").split("\n")) for _, t in messy_rows())
 
 
+def test_short_lines_are_linked(spark):
+    def allowed(n):
+        return 2 if n >= 13 else 1 if n >= 5 else 0
+
+    r = random.Random(12)
+    known = {"Contact us", "Contact us.", "Home", "Home.", "Homes.", "été 日本", "été 日本語", "", "a", "ab", "Contact vs", "Kontakt us."}
+    for n in range(3, 18):
+        for _ in range(12):
+            base = "".join(r.choice("abü") for _ in range(n))
+            known |= {base, base[:-1], base[1:], base + "b", _edited(base, r), _edited(base, r)}
+    known = sorted(known)
+    rows = [(i, "\n".join(known[i : i + 9])) for i in range(0, len(known), 9)]
+    want = collections.Counter()
+    for i, x in enumerate(known):
+        for y in known[:i]:
+            most = allowed(min(len(x), len(y)))
+            if abs(len(x) - len(y)) <= most and distance(x, y) <= most:
+                want.update((x, y))
+    text = dict(rows)
+    got = lines.line_classes(docs_of(spark, rows)).collect()
+    assert {text[g["doc_id"]].split("\n")[g["line_no"]]: g["n_links"] for g in got} == {x: want[x] for x in known}
+    place = {text[g["doc_id"]].split("\n")[g["line_no"]]: (g["class_doc_id"], g["class_line_no"]) for g in got}
+    assert place["Contact us"] == place["Contact us."] == place["Contact vs"] and place["Home"] != place["Homes."]
+
+
 def _edited(text, r):
     chars = list(text)
     for _ in range(r.choice([0, 0, 1, 2, 3])):
