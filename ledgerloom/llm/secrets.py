@@ -1,7 +1,9 @@
 """Secret scan: candidate strings, and a random forest that removes the false ones.
 
-A candidate is a run of ``SHORTEST`` or more ASCII letters, digits and ``+ / = _ -`` that holds a
-digit or is longer than a word is likely to be. Its features are its length, how its characters
+A candidate is a run of ``SHORTEST`` or more ASCII letters, digits and ``+ / = _ -``, and any value,
+whatever its length and characters, that is assigned to a name with one of ``NAMES`` in it: what a
+quotation mark closes on the same line, otherwise what stands before white space or the next such
+assignment. Both are looked for independently and may overlap; equal ones are one candidate. Its features are its length, how its characters
 follow each other (changes between letters and digits, upper and lower case, repeated characters,
 vowels next to consonants), how much of it words of a dictionary cover, the kind of path it was
 found under and the words around it. The forest is trained on labelled findings, rows of features
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.store import keep
@@ -40,6 +42,14 @@ THRESHOLD = 0.5
 CANDIDATE = rf"[A-Za-z0-9+/=_\-]{{{SHORTEST},}}"
 #: names that announce a secret (fixed values)
 NAMES = r"(?i)(api[_-]?key|access[_-]?key|auth|bearer|credential|passwd|password|private[_-]?key|secret|token)"
+_ASSIGNED = NAMES + r"""\w{0,30}["'`\])]{0,3}\s{0,20}(?::\s{1,20}[\w.\[\]]{1,40}\s{1,20}(?==))?[:=]{1,3}>?\s{0,20}(?:(?i:bearer|basic)\s{1,20})?"""
+#: an assignment; its third group is a value in quotation marks, the fourth any other
+VALUE = (
+    _ASSIGNED
+    + r"""(?:("{3}|'{3}|["'`])(.+?)(?<!\\)(?=\2)|["'`]{0,3}+((?!["'`])(?:(?!"""
+    + _ASSIGNED.replace("(api", "(?:api")
+    + r""")\S)++))"""
+)
 
 FEATURES = [
     "length", "digits", "uppers", "symbols", "switches", "case_switches", "repeats", "vowel_turns", "distinct",
@@ -59,35 +69,60 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         path.alias("path"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("hits"),
-        F.split(text, CANDIDATE, -1).alias("gaps"),
-    ).where(F.size("hits") > 0)
-    each = found.select(
+        text.alias("text"),
+        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("runs"),
+        F.regexp_extract_all(text, F.lit(VALUE), F.lit(0)).alias("values"),
+    ).where((F.size("runs") > 0) | (F.size("values") > 0))
+    quoted, bare = (F.regexp_extract_all("text", F.lit(VALUE), F.lit(group)) for group in (3, 4))
+    some = F.size("values") > 0
+    cut = found.select(
+        "row", "doc_id", "path", "runs", "values",
+        F.split("text", CANDIDATE, -1).alias("run_gaps"),
+        F.when(some, F.split("text", VALUE, -1)).alias("value_gaps"),
+        F.when(some, F.zip_with(quoted, bare, lambda a, b: F.concat(a, b))).alias("assigned"),
+    )
+    runs = _around("runs", "run_gaps", lambda hit, i: hit)
+    values = F.when(some, _around("values", "value_gaps", lambda hit, i: F.get("assigned", i)))
+    each = cut.select(
         "row",
         "doc_id",
         "path",
-        F.posexplode(
-            F.transform(
-                "hits",
-                lambda hit, i: F.struct(
-                    hit.alias("finding"),
-                    F.length(F.get("gaps", i)).alias("gap"),
-                    F.right(F.get("gaps", i), F.lit(60)).alias("before"),
-                    F.left(F.get("gaps", i + 1), F.lit(60)).alias("after"),
-                ),
-            )
-        ).alias("nth", "c"),
-    )
+        F.explode(F.concat(_marked(0, F.coalesce(values, F.array().cast(_AROUND))), _marked(1, runs))).alias("e"),
+    ).select("row", "doc_id", "path", "e.kind", "e.nth", "e.c")
+    # one deal by the row serves both windows
     moved = F.sum(F.expr("c.gap + length(c.finding)")).over(_by_row())
-    return each.select(
-        "doc_id", "nth", (moved - F.length("c.finding")).alias("start"), "c.finding", "c.before", "c.after", "path"
-    ).where((_count(F.col("finding"), "[0-9]") > 0) | (F.length("finding") >= 2 * SHORTEST))
+    placed = each.repartition("row").withColumn("start", moved - F.length("c.finding"))
+    first = F.row_number().over(Window.partitionBy("row", "start", F.length("c.finding")).orderBy("kind"))
+    return placed.withColumn("first", first).where("first = 1").select(
+        "doc_id", "nth", "start", "c.finding", "c.before", "c.after", "path"
+    )
 
 
-def _by_row():
-    from pyspark.sql import Window
+_AROUND = "array<struct<finding:string,gap:int,before:string,after:string>>"
+
+
+def _around(hits: str, gaps: str, value) -> Column:
+    """Of every hit its value, the characters between the last value and it, and the text around it."""
 
-    return Window.partitionBy("row").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def one(hit: Column, i: Column) -> Column:
+        found, gap = value(hit, i), F.get(gaps, i)
+        lead = F.concat(gap, F.left(hit, F.length(hit) - F.length(found)))
+        return F.struct(
+            found.alias("finding"),
+            F.length(lead).alias("gap"),
+            F.right(lead, F.lit(60)).alias("before"),
+            F.left(F.get(gaps, i + 1), F.lit(60)).alias("after"),
+        )
+
+    return F.transform(hits, one)
+
+
+def _marked(kind: int, all_of: Column) -> Column:
+    return F.transform(all_of, lambda c, i: F.struct(F.lit(kind).alias("kind"), i.alias("nth"), c.alias("c")))
+
+
+def _by_row():
+    return Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:

@@ -599,6 +599,24 @@ def test_secrets(spark, messy, empty):
     assert {r["is_secret"] for r in secrets.scan(messy).collect()} <= {False}
 
 
+def test_any_assigned_value_is_a_candidate(spark):
+    rows = [
+        (1, 'password = "Tr0ub4dor3"\nuser = "me"', ["Tr0ub4dor3"]), (2, "passwd: p@ss!word#2024 and", ["p@ss!word#2024"]),
+        (3, "Authorization: Bearer ab.cd.ef9\n", ["ab.cd.ef9"]), (4, "my key is abcdefghijklmnopqrst here", ["abcdefghijklmnopqrst"]),
+        (5, '{"auth_token": "a b\\"c", "n": 1}', ['a b\\"c']), (6, 'secret = ""', []), (7, "token=e1,secret=f2", ["e1,", "f2"]),
+        (8, "MY_DATABASE_PASSWORD=p@ss", ["MY_DATABASE_PASSWORD=p", "p@ss"]), (9, "a token of words", []),
+        (10, 'token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"', ["9b0b3c6a43eb78aa99cbd7049c572391524f37a8"]),
+        (11, 'password: str = "é日x" # token', ["é日x"]), (12, "api_key: YWJjZA==", ["YWJjZA=="]), (13, "secret='x", ["x"]),
+        (14, "token=" * 20_000, None),
+    ]
+    text = {i: t for i, t, _ in rows}
+    got = collections.defaultdict(list)
+    for r in secrets.scan(docs_of(spark, [(i, t) for i, t, _ in rows])).collect():
+        assert text[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["finding"]
+        got[r["doc_id"]].append(r["finding"])
+    assert {i: sorted(got[i]) for i, _, want in rows if want is not None} == {i: sorted(w) for i, _, w in rows if w is not None}
+
+
 def test_dictionary_counts_all_documents(spark):
     # 3,000 distinct texts: each word's count needs every one of them
     texts = [f"{w} {i}" for i in range(3000) for w in ("alfa" if i % 3 else "brav",)] + ["zulu " * 2001]
