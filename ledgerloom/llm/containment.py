@@ -9,7 +9,9 @@ partitioned by size into classes ``(u/2, u]``, ``u`` a power of two times 8, and
 that occurs the documents are covered by overlapping windows of ``2u`` shingles, ``u`` apart: an
 item's passage lies in one window as a whole. Within a class the Jaccard index of an item and its
 window is then at least ``0.8/(2*2 + 0.2)``, about 0.19, however long the document is, and
-``HASHES`` minima miss it with a probability below 1 in 10,000. Minima of wide windows are minima
+``HASHES`` minima miss it with a probability below 1 in 10,000. The first class, of one to ``BLOCK``
+shingles, has no lower end, so there every distinct shingle is a key, of items and documents: an item
+that is contained shares one at least. Minima of wide windows are minima
 of narrow ones, so each shingle is hashed once per function.
 
 Only minima that some item has can match. A bitmap of ``2**BITS`` places, whose size does not
@@ -66,6 +68,11 @@ def keys(low: np.ndarray, size: int) -> np.ndarray:
     return mix(low ^ _MARKS[size][:, None])
 
 
+def own_keys(hashes: np.ndarray, size: int) -> np.ndarray:
+    """What an item of a class is found by: all its shingles in the first class, minima in others."""
+    return mix(hashes ^ _MARKS[0][0]) if size == 0 else keys(minima(hashes), size).ravel()
+
+
 def window_keys(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
     """Distinct keys of all windows of a text for the given classes (ascending)."""
     found = []
@@ -78,6 +85,13 @@ def window_keys(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
     return np.concatenate(found)
 
 
+def document_keys(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Keys by which items of the given classes are found in a text."""
+    wide = [size for size in sizes if size]
+    exact = [own_keys(hashes, 0)] if 0 in sizes else []
+    return np.concatenate(exact + ([window_keys(hashes, wide)] if wide else []))
+
+
 def _shingle_text(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, i: int) -> str:
     return " ".join(data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[i : i + WORDS], ends[i : i + WORDS]))
 
@@ -95,14 +109,14 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 hashes, first = np.unique(shingles(words, WORDS), return_index=True)
                 texts = sorted({_shingle_text(data, starts, ends, j) for j in first.tolist()})
                 size = size_class(len(hashes))
-                rows.append((i, size, keys(minima(hashes), size).ravel().view(np.int64), hashes.view(np.int64), texts))
-            row, size, own_keys, hashes, texts = zip(*rows) if rows else [()] * 5
+                rows.append((i, size, own_keys(hashes, size).view(np.int64), hashes.view(np.int64), texts))
+            row, size, found_by, hashes, texts = zip(*rows) if rows else [()] * 5
             row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "item": batch.column("item").take(row),
                 "own": batch.column("own").take(row),
                 "size": pa.array(size, pa.int32()),
-                "keys": pa.array(own_keys, pa.list_(pa.int64())),
+                "keys": pa.array(found_by, pa.list_(pa.int64())),
                 "hashes": pa.array(hashes, pa.list_(pa.int64())),
                 "texts": pa.array(texts, pa.list_(pa.string())),
             })
@@ -146,7 +160,7 @@ def _search(docs: DataFrame, sizes: list[int], wanted_keys, wanted_shingles, id_
                 if not len(words):
                     continue
                 hashes = shingles(words, WORDS)
-                found = window_keys(hashes, sizes)
+                found = document_keys(hashes, sizes)
                 found = np.unique(found[_marked(have, found)]).view(np.int64).tolist()
                 if not found:
                     continue

@@ -599,6 +599,18 @@ def test_secrets(spark, messy, empty):
     assert {r["is_secret"] for r in secrets.scan(messy).collect()} <= {False}
 
 
+def test_items_of_one_and_two_shingles_in_long_documents(spark):
+    r, hidden, items = random.Random(21), [], []
+    for i in range(1500):
+        item = words(5 + i % 2, 10_000 + i, size=9)
+        rest = words(12 if i % 3 else 60, 20_000 + i, size=9)
+        k = r.randrange(len(rest) + 1)
+        hidden.append((i, " ".join(rest[:k] + item + rest[k:])))
+        items.append((i, " ".join(item)))
+    found = containment.contained(docs_of(spark, hidden), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {r["doc_id"] for r in found.collect() if r["doc_id"] == r["item_id"]} == set(range(1500))
+
+
 def test_any_assigned_value_is_a_candidate(spark):
     rows = [
         (1, 'password = "Tr0ub4dor3"\nuser = "me"', ["Tr0ub4dor3"]), (2, "passwd: p@ss!word#2024 and", ["p@ss!word#2024"]),
