@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import containment, fingerprints, idfiles, lines, near, packing, quality, repeats, secrets, warc
+from ledgerloom.llm import (
+    containment, fingerprints, idfiles, lines, near, packing, periods, quality, repeats, secrets, warc,
+)
 from ledgerloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +130,19 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return idfiles.read_ids(*idfiles.write_ids(docs, vocabulary("byte_bpe_50k.json"), "opens"))
+
+
+@query("op12_periods")
+def op12(spark, sf_dir):
+    found = periods.periodic_runs(table(spark, sf_dir, "documents"), change=periods.rebuilt)
+    best = F.col("best")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periods.run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
