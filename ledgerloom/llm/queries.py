@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    containment, fingerprints, idfiles, lines, near, packing, periods, quality, repeats, secrets, warc,
+    containment, fingerprints, idfiles, lines, mixing, near, packing, periods, quality, repeats, secrets, warc,
 )
 from ledgerloom.session import ship_package
 
@@ -146,3 +146,8 @@ def op12(spark, sf_dir):
         F.sha2(periods.run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_mixing")
+def op11(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
