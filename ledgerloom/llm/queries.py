@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    containment, fingerprints, idfiles, lines, mixing, near, packing, periods, quality, repeats, secrets, warc,
+    containment, fingerprints, idfiles, lines, mixing, near, packing, periods, quality, repeats, secrets, trie,
+    warc,
 )
 from ledgerloom.session import ship_package
 
@@ -151,3 +152,8 @@ def op12(spark, sf_dir):
 @query("op11_mixing")
 def op11(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_prefix_trie")
+def op13(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
