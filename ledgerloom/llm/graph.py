@@ -1,40 +1,47 @@
-"""Connected components of a link table, by rounds of joins."""
+"""Connected components of a link table, by rounds of contraction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.store import keep
 
 
+def _first(node: str) -> Column:
+    """Nodes in an order without long descents, whatever their names: by hash."""
+    return F.min(F.struct(F.xxhash64(node).alias("hash"), F.col(node).alias("node")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node with a link; a component's name is its smallest node.
 
-    Each round, every node takes the smallest name among its own and its neighbours', then the
-    name of the node by which it is named. Both steps are joins on the node, with the minimum
-    taken before the shuffle; names at least halve their distance, so rounds grow with the
-    logarithm of the longest chain. Every round is written, so no lineage builds up.
+    Each round, every node moves to the first by hash among itself and its neighbours, and on to where
+    that one moved. Links are renamed at both ends, loops and repeats dropped, so that nodes and links shrink
+    by a factor each round and the rounds grow with the logarithm of the largest component. Minima
+    are taken before the shuffle. Every round is written, so no lineage builds up.
     """
-    both = links.select(F.col("x").alias("a"), F.col("y").alias("b"))
-    back = links.select(F.col("y").alias("a"), F.col("x").alias("b"))
-    both = keep(both.unionByName(back).distinct(), "both")
-    names = keep(both.groupBy("a").agg(F.min("b").alias("b")).select(
-        F.col("a").alias("node"), F.least("a", "b").alias("component")), "names")
-    while True:
-        near = (
-            both.join(names.withColumnRenamed("node", "b"), "b")
-            .groupBy("a").agg(F.min("component").alias("near")).withColumnRenamed("a", "node")
-        )
-        lower = names.join(near, "node").select("node", "component", F.least("component", "near").alias("lower"))
-        jump = names.select(F.col("node").alias("lower"), F.col("component").alias("further"))
-        # a name is a node of the component, so it has a row
-        step = keep(
-            lower.join(jump, "lower").select(
-                "node", F.least("lower", "further").alias("component"),
-                (F.least("lower", "further") < F.col("component")).alias("changed")),
-            "names",
-        )
-        names = step.select("node", "component")
-        if not step.where("changed").take(1):
-            return names
+    ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    edges = keep(links.select(*ends).where("a < b").distinct(), "edges")
+    names = None
+    while edges.take(1):
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        own = F.struct(F.xxhash64("a").alias("hash"), F.col("a").alias("node"))
+        moved = both.groupBy("a").agg(_first("b").alias("next")).select("a", F.least(own, F.col("next"))["node"].alias("to"))
+        moved = keep(moved, "moved")
+        on = moved.select(F.col("a").alias("to"), F.col("to").alias("further"))
+        step = keep(moved.join(on, "to").select("a", F.col("further").alias("to")), "step")
+        renamed = edges.join(step, "a").select("b", F.col("to").alias("x"))
+        renamed = renamed.join(step.withColumnRenamed("a", "b"), "b").select("x", F.col("to").alias("y"))
+        edges = keep(renamed.select(*ends).where("a < b").distinct(), "edges")
+        if names is None:
+            names = step.select(F.col("a").alias("node"), F.col("to").alias("root"))
+        else:
+            later = step.select(F.col("a").alias("root"), "to")
+            names = names.join(later, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+        names = keep(names, "names")
+    if names is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    # the node that a component was drawn together to is one of its nodes
+    least = names.groupBy("root").agg(F.min("node").alias("component"))
+    return keep(names.join(least, "root").select("node", "component"), "components")

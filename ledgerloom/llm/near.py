@@ -12,8 +12,8 @@ Texts that agree in an entry are candidates. At a similarity of 0.8 a pair is mi
 probability below 1 in 1,000; texts of up to ``SHORT`` shingles also get entries of two.
 
 Large buckets: texts of equal words are one node (similarity 1) before anything else. Every node
-of a bucket is first compared with the bucket's smallest node, then, if they are still in
-different components of the links found, with its largest. What is apart after that is compared
+is first compared with one other, the smallest node of any of its buckets. Then, while they are still in
+different components of the links found, with the smallest and the largest of each bucket. What is apart after that is compared
 pair by pair, except where an exact bound rules a link out: the triangle inequality of the multiset
 Jaccard distance, the ratio of lengths, or counts of shingles by hash class. A large group of near
 copies has become one component by then, but for a few texts; no link that joins two
@@ -202,10 +202,9 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, asked:
     """``node, words`` of the asked nodes, each from one of the rows with its words."""
     wanted = nodes.join(asked, "node", "left_semi")
     words = plain(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("own_id"), words.alias("words"))
-    found = rows.join(wanted, F.col("own_id").eqNullSafe(F.col("id"))).where(
-        F.unhex(F.md5("words")) == F.col("digest")
-    )
+    rows = docs.select(F.col(id_col).cast("long").alias("own_id"), F.unhex(F.md5(words)).alias("own_digest"), words.alias("words"))
+    # the digest is a key of the join: rows without an id, or with one id, do not all meet
+    found = rows.join(wanted, (F.col("own_digest") == F.col("digest")) & F.col("own_id").eqNullSafe(F.col("id")))
     # several rows can have the same id and the same words: any of them will do
     return keep(found.dropDuplicates(["node"]).select("node", "words"), "texts")
 
@@ -227,9 +226,14 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     texts = _texts(docs, id_col, text_col, nodes, buckets.select("node").distinct())
     free(docs.sparkSession)
 
-    compared = keep(_verified(_star(buckets, "low"), texts), "compared")
+    # one comparison per node: in a group of near copies nearly all are linked by it
+    nearest = buckets.groupBy(F.col("node").alias("x")).agg(F.min("low").alias("y")).where("x != y")
+    compared = keep(_verified(_likely(nearest, facts), texts), "compared")
+    found = compared.where("similarity > 0").select("x", "y", "similarity")
+    # then around the first and the last node of each bucket, for what is still apart
+    pairs = _star(_named(buckets, found), "low").join(compared.select("x", "y"), ["x", "y"], "left_anti")
+    compared = keep(compared.unionByName(_verified(pairs, texts)), "compared")
     found = compared.where("similarity > 0").select("x", "y", "similarity")
-    # a second star around the bucket's last node, for what the first has left apart
     named = _named(buckets, found)
     found = keep(found.unionByName(_verified(_star(named, "high"), texts).where("similarity > 0").drop("distance")), "found")
     # the rest of each bucket, between parts that are still apart
@@ -249,12 +253,17 @@ def _possible() -> Column:
     )
 
 
+def _likely(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """The pairs ``x, y`` that can be linked."""
+    u, v = facts.alias("u"), facts.alias("v")
+    both = pairs.join(u, F.col("x") == F.col("u.node")).join(v, F.col("y") == F.col("v.node"))
+    return both.where(_possible()).select("x", "y")
+
+
 def _star(buckets: DataFrame, middle: str) -> DataFrame:
-    """Pairs of each node with the node in the ``middle`` column of its bucket, if a link is possible."""
+    """Pairs of nodes in different components, each with the node in its bucket's ``middle`` column, if a link is possible."""
     u, v = buckets.alias("u"), buckets.where(F.col("node") == F.col(middle)).alias("v")
-    pairs = u.join(v, F.col("u.entry") == F.col("v.entry")).where((F.col("u.node") != F.col("v.node")) & _possible())
-    if "component" in buckets.columns:
-        pairs = pairs.where("u.component != v.component")
+    pairs = u.join(v, F.col("u.entry") == F.col("v.entry")).where((F.col("u.component") != F.col("v.component")) & _possible())
     return pairs.select(F.col("u.node").alias("x"), F.col("v.node").alias("y")).distinct()
 
 
@@ -291,10 +300,11 @@ def _left(named: DataFrame, compared: DataFrame, entries: DataFrame) -> DataFram
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, class_id, class_size, kept``, and ``words_md5`` of its plain words.
+    """One row per document: ``doc_id, class_id, class_size, kept, class_md5``, and ``words_md5`` of its plain words.
 
     Kept are the rows with the smallest id of the class and, should that id occur with several
-    texts, the smallest ``words_md5`` among them.
+    texts, the smallest ``words_md5`` among them, which is the class's ``class_md5``: it tells classes apart
+    that have an id in common.
     """
     rows, edges = links(docs, id_col, text_col)
     rows = keep(
@@ -310,5 +320,6 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("stays.id").alias("class_id"),
         "class_size",
         (F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("digest") == F.col("stays.digest"))).alias("kept"),
+        F.lower(F.hex("stays.digest")).alias("class_md5"),
         F.col("digest").alias("words_md5"),
     )
