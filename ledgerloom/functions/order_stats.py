@@ -1,9 +1,12 @@
 """Exact global ranks and exact quantiles without pulling a column into one task.
 
 Both count equal values first (map-side combine collapses hot values) and then place the
-values into order-preserving buckets: the exponent of the double and the leading bits of its
+values into order-preserving buckets: the exponent of the double (its octave) and the leading bits of its
 fraction. Values that crowd around any number, near zero or far from it, are told apart as long as
-they differ in their first five digits or so.
+they differ in their first five digits or so. Counts are added up in two levels, over the octaves and inside
+each octave, so that no task sees all buckets.
+
+Infinities have a bucket each, at the ends. NaN is a missing value to quantiles, and comes after infinity in ranks.
 """
 
 from __future__ import annotations
@@ -14,18 +17,35 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PARTS_OF_OCTAVE = 1 << 16
 LOWEST_EXPONENT = -1074
-NULL_BUCKET = 2**31 - 1
+# whole octaves behind all finite values
+INFINITE_BUCKET = (1024 - LOWEST_EXPONENT + 1) * PARTS_OF_OCTAVE
+NAN_BUCKET = INFINITE_BUCKET + PARTS_OF_OCTAVE
+NULL_BUCKET = NAN_BUCKET + PARTS_OF_OCTAVE
 
 
 def order_bucket(value: Column) -> Column:
     """An integer that never decreases as ``value`` grows."""
     x = value.cast("double")
-    size = F.abs(x)
+    infinite = F.abs(x) == F.lit(float("inf"))
+    size = F.when(~infinite & ~F.isnan(x), F.abs(x))
     octave = F.floor(F.log2(size))
     # a logarithm rounded up at an octave's edge gives a part of -1: the same bucket
     part = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * PARTS_OF_OCTAVE)
     bucket = (octave - LOWEST_EXPONENT) * PARTS_OF_OCTAVE + part + 1
-    return F.when(x == 0, 0).otherwise(F.signum(x) * bucket).cast("int")
+    return F.when(F.isnan(x), NAN_BUCKET).when(infinite, F.signum(x) * INFINITE_BUCKET).when(x == 0, 0).otherwise(
+        F.signum(x) * bucket).cast("int")
+
+
+def with_starts(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_before``, the count in the buckets before, and ``n``, the count in all, to (keys, ``_b``, ``_bc``)."""
+    octaves = buckets.withColumn("_o", F.floor(F.col("_b") / PARTS_OF_OCTAVE).cast("int"))
+    whole = Window.partitionBy(*keys)
+    totals = octaves.groupBy(*keys, "_o").agg(F.sum("_bc").alias("_oc")).select(
+        *keys, "_o", (F.sum("_oc").over(whole.orderBy("_o")) - F.col("_oc")).alias("_ob"), F.sum("_oc").over(whole).alias("n"))
+    inside = Window.partitionBy(*keys, "_o").orderBy("_b")
+    placed = octaves.withColumn("_in", F.sum("_bc").over(inside) - F.col("_bc"))
+    return placed.alias("f").join(totals.alias("o"), same_key("f", "o", [*keys, "_o"])).select(
+        *[F.col(f"f.{k}").alias(k) for k in keys], "_b", "_bc", (F.col("_ob") + F.col("_in")).alias("_before"), "n")
 
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -37,7 +57,7 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -50,12 +70,7 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[
     """
     keys = list(keys)
     binned = counts.withColumn("_b", order_bucket(F.col("_v")))
-    group = Window.partitionBy(*keys)
-    buckets = (
-        binned.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-        .withColumn("_before", F.sum("_bc").over(group.orderBy("_b")) - F.col("_bc"))
-        .withColumn("n", F.sum("_bc").over(group))
-    )
+    buckets = with_starts(binned.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc")), keys)
     # zero-based position of each quantile between two neighbouring ranks
     spots = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     low = [F.floor(s) for s in spots]
@@ -79,8 +94,10 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[
         *[at(k).alias(f"_l{i}") for i, k in enumerate(low)],
         *[at(k).alias(f"_h{i}") for i, k in enumerate(high)],
     )
+    # equal neighbours are not interpolated: between infinities that would give NaN
     values = [
-        F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (spots[i] - low[i]) for i in range(len(probs))
+        F.when(F.col(f"_l{i}") == F.col(f"_h{i}"), F.col(f"_l{i}")).otherwise(
+            F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (spots[i] - low[i])) for i in range(len(probs))
     ]
     return picked.select(*keys, F.array(*values).alias(out), "n")
 
@@ -112,8 +129,7 @@ def with_rank(df: DataFrame, value: str, id_col: str, out: str) -> DataFrame:
     slices = slices.withColumn("_b", F.coalesce(order_bucket(F.col(value)), F.lit(NULL_BUCKET)))
     in_bucket = Window.partitionBy("_b").orderBy(value, "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     slices = slices.withColumn("_end", F.sum("_c").over(in_bucket))
-    totals = slices.groupBy("_b").agg(F.sum("_c").alias("_bc"))
-    starts = totals.select("_b", (F.sum("_bc").over(Window.orderBy("_b")) - F.col("_bc")).alias("_before"))
+    starts = with_starts(slices.groupBy("_b").agg(F.sum("_c").alias("_bc")), []).select("_b", "_before")
     offsets = slices.join(starts, "_b").select(
         F.col(value).alias("_val"), F.col("_s").alias("_sl"),
         (F.col("_before") + F.col("_end") - F.col("_c")).alias("_off"))

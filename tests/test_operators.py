@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.order_stats import quantiles, with_rank
-from ledgerloom.operators import customers as cu, forecast as fc, products as pd, revenue as rv, warehouse as wh
+from ledgerloom.config import Outliers
+from ledgerloom.operators import cleaning as cl, customers as cu, forecast as fc, products as pd, revenue as rv, warehouse as wh
 from ledgerloom.plans import jobs
 from ledgerloom.plans.registry import END, START
 from ledgerloom.session import shared_folder
@@ -41,6 +42,32 @@ def test_rank_is_a_permutation_in_order(spark):
     assert [r["v"] for r in ranked] == sorted(r["v"] for r in ranked)
 
 
+INF, NAN = float("inf"), float("nan")
+
+
+def test_infinities_and_nan(spark):
+    values = [INF, -INF, NAN, 1e308, -1e308, 5e-324, 0.0, 1.5, INF]
+    rows = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v double")
+    known = sorted(v for v in values if v == v)
+    got = quantiles(rows, [], "v", [0.0, 0.25, 0.5, 0.75, 0.95, 1.0]).first()
+    assert got["n"] == 8 and got["q"][0] == -INF and got["q"][5] == got["q"][4] == INF
+    assert got["q"][2] == (known[3] + known[4]) / 2
+    ranked = [r["v"] for r in sorted(with_rank(rows, "v", "id", "r").collect(), key=lambda r: r["r"])]
+    assert ranked[:8] == known and ranked[8] != ranked[8]
+
+
+def test_infinite_values_do_not_stop_a_column(spark):
+    """A number too large for a double reads as infinity: imputation, outliers and bands go on."""
+    rows = spark.createDataFrame([("1e999", "a"), ("5", "b"), (None, "c"), ("7", "d"), ("-1e999", "e"), ("6", "f")], "v string, k string")
+    typed = rows.withColumn("v", F.col("v").cast("double"))
+    filled = {r["k"]: r["v"] for r in cl.impute_numeric(typed, ["v"]).collect()}
+    assert (filled["c"], filled["a"], filled["e"]) == (6.0, INF, -INF)
+    kept = {r["k"]: r["v"] for r in cl.clean_one(cl.outliers_step, rows, Outliers("v"), ()).collect()}
+    assert (kept["a"], kept["d"], kept["c"]) == (INF, 7.0, None)
+    orders = typed.selectExpr("k as customer_id", "date'2020-01-01' as day", "v as revenue")
+    assert {r["customer_id"]: r["M_score"] for r in cu.rfm_scored(cu.rfm_base(orders)).collect()}["a"] == 5
+
+
 def baskets():
     """Small baskets, and two large ones that hold most rows."""
     rng = random.Random(3)
