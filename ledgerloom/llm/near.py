@@ -46,6 +46,8 @@ ENTRIES = 32
 PICKED = 6
 SHORT = 24
 CLASSES = 64
+#: classes for the last bound, where many texts of a bucket stand just apart
+FINE = 256
 
 _rng = np.random.default_rng(20_240_601)
 _FACTORS = _rng.integers(0, 1 << 63, size=ENTRIES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,16 +155,18 @@ def compare(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, counts, entries = [], [], []
+            sizes, counts, fine, entries = [], [], [], []
             for text in batch.column("words"):
                 x = text_shingles(text.as_py())
                 sizes.append(len(x))
-                counts.append(np.bincount((x >> np.uint64(58)).astype(np.int64), minlength=CLASSES))
+                fine.append(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=FINE))
+                counts.append(fine[-1].reshape(CLASSES, -1).sum(axis=1))
                 entries.append(sketch(labelled(x)).view(np.int64))
             yield pa.RecordBatch.from_pydict({
                 **{name: batch.column(name) for name in ("row", "id", "digest")},
                 "n": pa.array(sizes, pa.int32()),
                 "counts": pa.array(counts, pa.list_(pa.int32())),
+                "fine": pa.array(fine, pa.list_(pa.int32())),
                 "entries": pa.array(entries, pa.list_(pa.int64())),
             })
 
@@ -172,7 +176,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).cast("long").alias("id"),
         F.unhex(F.md5(words)).alias("digest"),
         words.alias("words"),
-    ).mapInArrow(run, "row bigint, id bigint, digest binary, n int, counts array<int>, entries array<bigint>")
+    ).mapInArrow(run, "row bigint, id bigint, digest binary, n int, counts array<int>, fine array<int>, entries array<bigint>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -237,20 +241,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     named = _named(buckets, found)
     found = keep(found.unionByName(_verified(_star(named, "high"), texts).where("similarity > 0").drop("distance")), "found")
     # the rest of each bucket, between parts that are still apart
-    left = _left(_named(buckets, found), compared, first.select(F.col("row").alias("node"), "entries"))
+    left = _left(_named(buckets, found), compared, first.select(F.col("row").alias("node"), "entries", "fine"))
     more = _verified(left, texts).where("similarity > 0").drop("distance")
     return rows, keep(found.unionByName(more), "links")
 
 
 def _possible() -> Column:
     """Whether rows ``u`` and ``v`` can be linked, by their numbers of shingles and counts by hash class."""
+    return (F.least("u.n", "v.n") >= SIMILAR * F.greatest("u.n", "v.n")) & _counts_agree("counts")
+
+
+def _counts_agree(counts: str) -> Column:
     gap = F.aggregate(
-        F.zip_with(F.col("u.counts"), F.col("v.counts"), lambda a, b: F.abs(a - b)), F.lit(0), lambda a, b: a + b
+        F.zip_with(F.col(f"u.{counts}"), F.col(f"v.{counts}"), lambda a, b: F.abs(a - b)), F.lit(0), lambda a, b: a + b
     )
     # every shingle too many or too few in a class costs an insertion or deletion; (n + m) / 9 are allowed
-    return (F.least("u.n", "v.n") >= SIMILAR * F.greatest("u.n", "v.n")) & (
-        gap <= (F.col("u.n") + F.col("v.n")) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
-    )
+    return gap <= (F.col("u.n") + F.col("v.n")) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
 
 
 def _likely(pairs: DataFrame, facts: DataFrame) -> DataFrame:
@@ -284,7 +290,7 @@ def _left(named: DataFrame, compared: DataFrame, entries: DataFrame) -> DataFram
     apart = F.when(F.col("node") == F.col("low"), 0.0).otherwise(F.col("distance"))
     rows = keep(
         named.join(several, "entry").join(from_low, ["node", "low"], "left").join(entries, "node")
-        .select("entry", "node", "component", apart.alias("distance"), "n", "counts", "entries"),
+        .select("entry", "node", "component", apart.alias("distance"), "n", "counts", "fine", "entries"),
         "apart",
     )
     u, v = rows.alias("u"), rows.alias("v")
@@ -292,7 +298,7 @@ def _left(named: DataFrame, compared: DataFrame, entries: DataFrame) -> DataFram
     return (
         u.join(v, F.col("u.entry") == F.col("v.entry"))
         .where((F.col("u.node") < F.col("v.node")) & (F.col("u.component") != F.col("v.component")))
-        .where(~F.coalesce(far, F.lit(False)) & _possible())
+        .where(~F.coalesce(far, F.lit(False)) & _possible() & _counts_agree("fine"))
         # a pair is looked at in the smallest of the entries that it shares
         .where(F.array_min(F.array_intersect("u.entries", "v.entries")) == F.col("u.entry"))
         .select(F.col("u.node").alias("x"), F.col("v.node").alias("y"))
