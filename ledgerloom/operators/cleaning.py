@@ -9,17 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from ledgerloom.config import (
     Booleans, Categorical, CleaningConfig, Dates, Dedup, Delivery, Geo, Missing, Outliers, Payment, Price, Ratings,
 )
 from ledgerloom.functions import dates as fd, parsing
 from ledgerloom.functions.cities import close_city, exact_city
-from ledgerloom.functions.numeric import PLAIN_NUMBER, half_even, to_number
-from ledgerloom.functions.order_stats import medians
+from ledgerloom.functions.numeric import half_even, to_number
+from ledgerloom.functions.order_stats import quantiles_of_counts, same_key
 from ledgerloom.functions.text import lookup
-from ledgerloom.operators.warehouse import first_rows
 from ledgerloom.session import cut_lineage
 
 REPORT = ["step", "field", "metric", "value"]
@@ -40,10 +39,27 @@ def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in stats.schema.fields})
 
 
-def long_columns(df: DataFrame, columns: Sequence[str], kind: str, by: Sequence[str]) -> DataFrame:
-    """(by, column, value): all columns below each other, read in one pass."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns])
-    return df.select(*by, F.explode(pairs).alias("x")).select(*by, "x.*").filter(F.col("value").isNotNull())
+def value_counts(df: DataFrame, columns: Sequence[str], kind: str, by: Sequence[str]) -> DataFrame:
+    """(by, column, value, n): how often each value occurs in each column, nulls and NaN left out.
+
+    Every column is counted on its own, so ``df`` should be a stored table: each count then reads one
+    column of it, and rows are never multiplied. Nulls are told by their count: a filter on the value would be pushed
+    below the rules that made it, and work them through once more.
+    """
+    whole = None
+    for c in columns:
+        values = df.select(*by, F.col(c).cast(kind).alias("value"))
+        known = F.nanvl("value", F.lit(None).cast(kind)) if kind == "double" else F.col("value")
+        counts = values.groupBy(*by, "value").agg(F.count(known).alias("n")).filter("n > 0")
+        part = counts.select(*by, F.lit(c).alias("column"), "value", "n")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
+def stored(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``df`` cut to some columns; written once if several counts are to read it."""
+    narrow = df.select(*by, *columns)
+    return cut_lineage(narrow) if len(columns) > 1 else narrow
 
 
 def widen(long: DataFrame, value: str, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -55,14 +71,18 @@ def column_centres(df: DataFrame, columns: Sequence[str], strategy: str, by: Seq
     """Mean or median of each column as ``_stat_<column>``."""
     if strategy == "mean":
         return df.groupBy(*by).agg(*[F.avg(F.col(c).cast("double")).alias(f"_stat_{c}") for c in columns])
-    long = long_columns(df, columns, "double", by)
-    return widen(medians(long, [*by, "column"], "value", "m"), "m", columns, by)
+    counts = value_counts(df, columns, "double", by).withColumnsRenamed({"value": "_v", "n": "_c"})
+    found = quantiles_of_counts(counts, [*by, "column"], [0.5], "_q").withColumn("m", F.col("_q")[0])
+    return widen(found, "m", columns, by)
 
 
 def column_modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Most frequent value of each column as text, the smallest one on ties."""
-    counts = long_columns(df, columns, "string", by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy(*by, "column").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("m"))
+    counts = value_counts(df, columns, "string", by)
+    # no value is carried along while the largest count is looked for
+    most = counts.groupBy(*by, "column").agg(F.max("n").alias("most"))
+    best = counts.alias("a").join(most.alias("b"), same_key("a", "b", [*by, "column"]) & (F.col("a.n") == F.col("b.most")))
+    best = best.groupBy(*[F.col(f"a.{k}").alias(k) for k in [*by, "column"]]).agg(F.min("a.value").alias("m"))
     return widen(best, "m", columns, by)
 
 
@@ -78,46 +98,61 @@ def imputed_columns(df: DataFrame, cfg: Missing, by: Sequence[str] = ()) -> list
 
 
 def impute_numeric(df: DataFrame, columns: Sequence[str], strategy: str = "median", by: Sequence[str] = ()) -> DataFrame:
-    """Nulls of numeric columns become the mean or median; the columns become doubles."""
+    """Nulls and NaN of numeric columns become the mean or median; the columns become doubles."""
     if not columns:
         return df
+    df = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns})
     with_stats = attach(df, column_centres(df, columns, strategy, by), by)
     return with_stats.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), F.col(f"_stat_{c}")) for c in columns}).drop(*[f"_stat_{c}" for c in columns])
+        c: F.coalesce(F.col(c), F.col(f"_stat_{c}")) for c in columns}).drop(*[f"_stat_{c}" for c in columns])
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     if not columns:
         return df
     kinds = {c: df.schema[c].dataType for c in columns}
-    with_stats = attach(df, column_modes(df, columns, by), by)
-    return with_stats.withColumns({
-        c: F.coalesce(F.col(c), F.col(f"_stat_{c}").cast(kinds[c])) for c in columns}).drop(*[f"_stat_{c}" for c in columns])
+    return fill(attach(df, column_modes(stored(df, columns, by), columns, by), by), kinds)
 
 
-def with_nulls(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], set[str]]:
-    """The columns that hold a null at all, and the text columns that hold nothing but plain numbers.
+def fill(df: DataFrame, kinds: dict[str, T.DataType]) -> DataFrame:
+    """Nulls of text and other columns by the statistic that stands beside them."""
+    return df.withColumns({
+        c: F.coalesce(F.col(c), F.col(f"_stat_{c}").cast(k)) for c, k in kinds.items()}).drop(*[f"_stat_{c}" for c in kinds])
 
-    One cheap pass; it spares whole columns their statistics. A number with a leading zero is an
-    id, so its column stays text.
-    """
-    if not columns:
-        return [], set()
-    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
 
-    def number(c: str) -> Column:
-        return F.col(c).rlike(PLAIN_NUMBER) & ~F.col(c).rlike("^[-+]?0[0-9]")
+def impute_missing(df: DataFrame, cfg: Missing, by: Sequence[str] = (), holes: Sequence[str] | None = None) -> DataFrame:
+    """Numeric columns by their mean or median, all others by their mode.
 
-    row = df.agg(*[F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-                 *[F.bool_and(number(c)).alias(f"number_{c}") for c in text]).first()
-    return [c for c in columns if row[f"null_{c}"]], {c for c in text if row[f"number_{c}"]}
+    A column's type decides; scans of files settle it per file (``sources.types``). ``holes`` are the columns
+    that have nulls at all, where a caller knows them; others are left as they are.
+    """
+    targets = [c for c in imputed_columns(df, cfg, by) if holes is None or c in holes]
+    columns = df.columns
+    if holes is None:
+        df, holes = copied(df, targets)
+        targets = [c for c in targets if c in holes]
+    numeric = [c for c in targets if is_numeric(df, c)]
+    text = [c for c in targets if c not in numeric]
+    filled = impute_numeric(df, numeric, cfg.numeric_strategy, by)
+    modes = attach(filled, column_modes(df, text, by), by) if text else filled
+    return fill(modes, {c: df.schema[c].dataType for c in text}).select(*columns)
 
 
-def impute_missing(df: DataFrame, cfg: Missing, by: Sequence[str] = ()) -> DataFrame:
-    targets, numbers = with_nulls(df, imputed_columns(df, cfg, by))
-    numeric = [c for c in targets if is_numeric(df, c) or c in numbers]
-    text = [c for c in targets if c not in numeric]
-    return impute_mode(impute_numeric(df, numeric, cfg.numeric_strategy, by), text, by)
+def copied(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` written once, with a row id ``_place``, and those of ``columns`` that hold a null or NaN.
+
+    Everything later reads columns of the copy, so the input, its joins and its parsing are worked through
+    once. The nulls are noted while it is written.
+    """
+    df = df.withColumn("_place", F.monotonically_increasing_id())
+    if not columns:
+        return cut_lineage(df), []
+    seen = Observation()
+    missing = {c: F.col(c).isNull() | F.isnan(c) if isinstance(df.schema[c].dataType, T.FractionalType) else F.col(c).isNull() for c in columns}
+    observed = df.observe(seen, *[F.max(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(missing.values())])
+    copy = cut_lineage(observed)
+    row = seen.get
+    return copy, [c for i, c in enumerate(columns) if row.get(f"n{i}")]
 
 
 class Counted:
@@ -236,8 +271,8 @@ def usable_keys(df: DataFrame, cfg: Dedup) -> list[str]:
 def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = (), totals: Sequence[str] = ()) -> DataFrame:
     """Keep the first row per key, or one row per key with the quantities added up.
 
-    ``totals`` are counter columns: they are added up over the rows of a key, so that their
-    sum stays that of the input and a report needs no second pass over it.
+    For an added-up row ``totals`` are counter columns: they are added up over the rows of a key, so that their
+    sum stays that of the input.
     """
     keys = usable_keys(df, cfg)
     if not keys:
@@ -250,7 +285,25 @@ def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = ()
         units = F.coalesce(F.sum(to_number(F.col(quantity))), F.lit(0.0)).alias(quantity)
         return df.groupBy(*keys).agg(units, *[
             F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest], *sums)
-    return first_rows(df, keys, order, sums)
+    return without_later(df, keys, order)
+
+
+def without_later(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """Drop the rows that are not the first of their key.
+
+    Only keys and positions are grouped: the first position of every key that occurs several times, then the
+    rows behind it. Those are few and named by ``_place``, so whole rows are not sorted, and shuffled
+    only if the copies are too many to broadcast. A position that is one number is a hash aggregate.
+    """
+    own = df if "_place" in df.columns else cut_lineage(df.withColumn("_place", F.monotonically_increasing_id()))
+    single = isinstance(own.select(order.alias("o")).schema["o"].dataType, T.IntegralType)
+    at = order if single else F.struct(order.alias("o"), F.col("_place"))
+    narrow = own.select(*keys, "_place", at.alias("_at"))
+    several = narrow.groupBy(*keys).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = narrow.alias("a").join(several.alias("b"), same_key("a", "b", keys)).filter(F.col("a._at") != F.col("b._first"))
+    later = cut_lineage(later.select("a._place"))
+    kept = own.join(later, "_place", "left_anti")
+    return kept if "_place" in df.columns else kept.drop("_place")
 
 
 def outliers_step(t: Counted, cfg: Outliers, by: Sequence[str]) -> Column | None:
@@ -295,16 +348,18 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
                  report: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """All steps in their fixed order. Returns the cleaned frame and the long-form report.
 
-    The frame is written to the shared folder once, after duplicates are gone: the outlier
-    median, the last steps and the report read that copy instead of repeating the shuffle.
-    Counters of the earlier steps travel with the rows, so the input is not read for them.
+    The input is written to the shared folder once; every statistic, the duplicate keys, the report and
+    the result read the columns they need of that copy. Steps are column expressions, so a statistic
+    evaluates only those that its column went through.
     """
     columns = [c for c in df.columns if not c.startswith("_")]
     checked = [c for c in columns if c not in by]
-    t = Counted(df.withColumn("_order", F.struct("_src", "_row") if order is None else order), report)
+    targets = imputed_columns(df, cfg.missing, by)
+    copy, holes = copied(df if order is None else df.withColumn("_order", order), targets)
+    t = Counted(copy, report)
     t.change({}, ("dq", "", "rows_before", F.lit(True)),
              *[("dq", c, "missing_before", F.col(c).isNull()) for c in checked])
-    t.df = impute_missing(t.df, cfg.missing, by)
+    t.df = impute_missing(t.df, cfg.missing, by, holes)
     dates_step(t, cfg.dates)
     prices_step(t, cfg.price)
     ratings_step(t, cfg.ratings, by)
@@ -313,7 +368,13 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
     booleans_step(t, cfg.booleans)
     delivery_step(t, cfg.delivery)
 
-    unique = cut_lineage(deduplicate(t.df, cfg.dedup, F.col("_order"), by, t.flag_names()))
+    position = F.col("_order") if order is not None else F.col("_position")
+    if order is None and usable_keys(df, cfg.dedup):
+        t.df = with_position(t.df)
+    added_up = cfg.dedup.strategy == "aggregate" and cfg.dedup.quantity_field in t.df.columns and usable_keys(df, cfg.dedup)
+    unique = deduplicate(t.df, cfg.dedup, position, by, t.flag_names())
+    if added_up:
+        unique = cut_lineage(unique)
     u = Counted(unique.drop(*t.flag_names()), report)
     outliers_step(u, cfg.outliers, by)
     payment_step(u, cfg.payment)
@@ -321,24 +382,40 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
     cleaned = u.clean().select(*columns, *raw_texts)
     if not report:
         return cleaned, None
-    earlier = measure(unique, t.items() + dedup_items(t, df, cfg.dedup), by)
-    imputed = earlier.filter((F.col("metric") == "missing_before") & F.col("field").isin(imputed_columns(df, cfg.missing, by)))
+    earlier = cut_lineage(measure(unique if added_up else t.df, t.items(), by))
+    imputed = earlier.filter((F.col("metric") == "missing_before") & F.col("field").isin(targets))
     imputed = imputed.withColumns({"step": F.lit("missing"), "metric": F.lit("imputed")})
     median = [("outliers", cfg.outliers.column, "median", F.max("_median"))] if "_median" in u.df.columns else []
-    later = measure(u.df, u.items() + median + [("dq", "", "rows_after", F.count(F.lit(1)))] +
-                    null_counts(u.df, "dq", "missing_after", [*checked, *raw_texts]), by)
-    return cleaned, earlier.unionByName(imputed).unionByName(later)
+    later = cut_lineage(measure(u.df, u.items() + median + [("dq", "", "rows_after", F.count(F.lit(1)))] +
+                                null_counts(u.df, "dq", "missing_after", [*checked, *raw_texts]), by))
+    whole = earlier.unionByName(imputed).unionByName(later)
+    return cleaned, whole.unionByName(dedup_report(whole, df, cfg.dedup, by)) if cfg.dedup.key_fields else whole
 
 
-def dedup_items(t: Counted, df: DataFrame, cfg: Dedup) -> list[tuple[str, str, str, Column]]:
-    """Rows dropped and kept, and a line for each key column that the input lacks."""
-    if not cfg.key_fields:
-        return []
-    before = next(name for s, f, m, name in t.flags if m == "rows_before")
-    kept = F.count(F.lit(1))
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``_position``: the place of a scanned row in the order of files, as one number.
+
+    Splits are numbered in the order of files and starts (a row for every 128 MB of input or so); a running id
+    orders the rows inside a split.
+    """
+    split = ["_src", "_start"]
+    rows = df.withColumn("_start", F.col("_row.start"))
+    splits = rows.select(*split).distinct()
+    splits = splits.withColumn("_split", F.row_number().over(Window.orderBy(*split)))
+    inside = F.col("_row.n").bitwiseAND((1 << 33) - 1)
+    return rows.join(splits, split).withColumn("_position", F.shiftleft(F.col("_split").cast("long"), 33) + inside).drop("_split", "_start")
+
+
+def dedup_report(counted: DataFrame, df: DataFrame, cfg: Dedup, by: Sequence[str]) -> DataFrame:
+    """Rows dropped and kept, and a line for each key column that the input lacks, from the rows before and after."""
+    sides = counted.filter(F.col("metric").isin("rows_before", "rows_after")).groupBy(*by).pivot(
+        "metric", ["rows_before", "rows_after"]).agg(F.sum("value")).fillna(0, ["rows_before", "rows_after"])
     absent = [k for k in cfg.key_fields if k not in df.columns]
-    return [("dedup", "", "dropped", F.coalesce(F.sum(before), F.lit(0)) - kept), ("dedup", "", "kept", kept),
-            *[("dedup", k, "missing_key", F.lit(1) + F.lit(0) * kept) for k in absent]]
+    lines = [("", "dropped", F.col("rows_before") - F.col("rows_after")), ("", "kept", F.col("rows_after")),
+             *[(k, "missing_key", F.lit(1.0)) for k in absent]]
+    rows = F.array(*[F.struct(F.lit("dedup").alias("step"), F.lit(f).alias("field"), F.lit(m).alias("metric"), v.alias("value"))
+                     for f, m, v in lines])
+    return sides.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
 def clean_one(step, df: DataFrame, *settings) -> DataFrame:

@@ -92,9 +92,9 @@ SELECT order_id, line_number, quantity,
 FROM transactions
 """)
 def impute_numeric(r: Retail):
-    df = r.transactions(*KEYS, "quantity", "customer_rating", "delivery_days")
+    df, _ = cl.copied(r.transactions(*KEYS, "quantity", "customer_rating", "delivery_days"), [])
     done = cl.impute_numeric(df, ["quantity", "customer_rating", "delivery_days"])
-    return done.withColumn("customer_rating", half_even(F.col("customer_rating"), 6))
+    return done.drop("_place").withColumn("customer_rating", half_even(F.col("customer_rating"), 6))
 
 
 @query("cln_impute_mode", f"""
@@ -253,13 +253,20 @@ def in_row_order(r: Retail, *columns: str):
 
 
 @query("src_csv_scan", """
-SELECT order_id, CAST(line_number AS INT) AS line_number, order_date, CASE WHEN price <> 'N/A' THEN price END AS price, city, category,
-  'lines.csv' AS source_file FROM raw
+SELECT CAST(order_id AS BIGINT) AS order_id, CAST(line_number AS BIGINT) AS line_number, order_date,
+  CASE WHEN price <> 'N/A' THEN price END AS price, CAST(list_price AS DOUBLE) AS list_price, strftime(paid_on, '%Y-%m-%d') AS paid_on,
+  city, category, 'lines.csv' AS source_file
+FROM raw JOIN (SELECT tx_id, list_price, order_date AS paid_on FROM transactions) USING (tx_id)
 """, raw=True)
 def csv_scan(r: Retail):
+    """Types as the values have them: whole numbers, numbers, days, and text."""
     path = f"{csv_folder(r)}/lines.csv"
-    files.csv_writer(r.raw(*CSV_COLUMNS)).csv(path)
-    return files.scan_csv(r.spark, path, {"line_number": "int"}).select(*CSV_COLUMNS, "source_file")
+    rows = r.raw(*CSV_COLUMNS, "tx_id").withColumns({
+        "list_price": F.col("tx_id.tx_id.l_extendedprice"), "paid_on": F.col("tx_id.order_day")}).drop("tx_id")
+    files.csv_writer(rows).csv(path)
+    typed, = files.scan_groups(r.spark, [path], types=True)
+    assert dict(typed.dtypes)["list_price"] == "double" and dict(typed.dtypes)["paid_on"] == "date"
+    return typed.select(*CSV_COLUMNS, "list_price", F.date_format("paid_on", "yyyy-MM-dd").alias("paid_on"), "source_file")
 
 
 @query("src_multi_file_union", """

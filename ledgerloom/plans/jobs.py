@@ -19,13 +19,16 @@ CONFIGS = {"transactions": presets.TRANSACTIONS, "catalog": presets.CATALOG}
 def clean_file(spark: SparkSession, path: str, cfg: CleaningConfig, out_folder: str,
                casts: dict[str, str] | None = None) -> DataFrame:
     """Clean one CSV and write it with its report; returns the report as written."""
-    return write_run(files.scan_csv(spark, path, casts, multi_line=True), cfg, "single", out_folder)
+    report = None
+    for rows in files.scan_groups(spark, [path], casts, multi_line=True, types=True):
+        report = write_run(rows, cfg, "single", out_folder)
+    return report
 
 
 def clean_folder(spark: SparkSession, folder: str, out_folder: str, overwrite: bool = False,
                  configs: dict[str, CleaningConfig] | None = None, casts: dict[str, str] | None = None,
                  multi_line: bool = True) -> DataFrame | None:
-    """Clean every new CSV of a folder: one Spark job per configuration, statistics per file.
+    """Clean every new CSV of a folder: one run per configuration, header and column types, statistics per file.
 
     With ``multi_line`` a quoted value may hold line breaks; without, huge files can be split.
     """
@@ -34,8 +37,7 @@ def clean_folder(spark: SparkSession, folder: str, out_folder: str, overwrite: b
     report = None
     for name, cfg in configs.items():
         chosen = [row.path for row in routed if row.config == name]
-        rows = files.scan_files(spark, chosen, casts, multi_line) if chosen else None
-        if rows is not None:
+        for rows in files.scan_groups(spark, chosen, casts, multi_line, types=True) if chosen else ():
             report = write_run(rows, cfg, name, out_folder)
     return report
 

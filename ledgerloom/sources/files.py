@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,9 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerloom.functions.numeric import to_number
 from ledgerloom.functions.parsing import boolean
 from ledgerloom.functions.text import null_tokens
-
-HEADER_READERS = 16
-
+from ledgerloom.sources.types import column_kinds, type_of
 
 CSV_NAME = "*.[cC][sS][vV]"
 
@@ -93,37 +92,97 @@ def scan_csv(spark: SparkSession, path: str | list[str], casts: dict[str, str] |
     return read_tokens(positioned(source.csv(path)), casts)
 
 
-def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]], dict[str, str]]:
-    """Column names per file, and the reason for each file that cannot be read."""
-    def columns_of(path: str):
+def unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The reason for each path that is not there. Only asked once a scan of them all was refused."""
+    reasons = {}
+    for path in paths:
         try:
-            names = reader(spark, False).csv(path).columns
-            return path, names, None if names else "no header"
-        except Exception as error:  # the caller decides what an unreadable file means
-            return path, [], str(error).splitlines()[0]
+            spark.read.text(path)
+        except AnalysisException as error:
+            reasons[path] = str(error).splitlines()[0]
+    return reasons
+
+
+def column_names(header: str) -> list[str]:
+    """Names of a header line as the CSV reader gives them: numbered where empty or, but for case, not unique."""
+    names = next(csv.reader([header]))
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
+    """Files by their column names, and the reason for each path that cannot be read.
+
+    One scan for all files: of each the first line that is not blank, the one with the smallest place.
+    """
+    failed = {}
+    try:
+        lines = spark.read.text(paths)
+    except AnalysisException:
+        failed = unreadable(spark, paths)
+        paths = [p for p in paths if p not in failed]
+        if not paths:
+            return {}, failed
+        lines = spark.read.text(paths)
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    # the reader drops a header's byte order mark only at the start of a file, where it stands
+    first = (lines.filter(F.trim("value") != "").select(F.col("_metadata.file_path").alias("path"), "value", place.alias("at"))
+             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups = defaultdict(list)
+    for row in sorted(found, key=lambda r: r["paths"]):
+        groups[tuple(column_names(row["header"]))] += [plain_path(p) for p in row["paths"]]
+    return dict(groups), failed
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        found = list(pool.map(columns_of, paths))
-    return {p: n for p, n, e in found if e is None}, {p: e for p, _, e in found if e is not None}
+
+def plain_path(uri: str) -> str:
+    """A path as readers take it from the encoded one that rows carry."""
+    return unquote(uri)
 
 
 def scan_groups(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
-                multi_line: bool = False, skip_unreadable: bool = False) -> list[DataFrame]:
-    """One scan per distinct header, not per file. An unreadable file is an error unless it is to be skipped."""
+                multi_line: bool = False, skip_unreadable: bool = False, types: bool = False) -> list[DataFrame]:
+    """One scan per distinct header, not per file. An unreadable file is an error unless it is to be skipped.
+
+    With ``types`` columns get the type that all values of their CSV agree on, and there is a scan per header and list
+    of types: a column can be a number in one file and text in another. The kinds are found in one pass over
+    each header's files; ``casts`` go before what is found.
+    """
     known, failed = headers(spark, paths)
     if failed and not skip_unreadable:
         raise ValueError("unreadable files: " + "; ".join(f"{path}: {reason}" for path, reason in sorted(failed.items())))
     for path, reason in failed.items():
         print(f"skipped {path}: {reason}")
+    scans = []
+    for names, members in known.items():
+        if not types:
+            scans.append(scan_csv(spark, members, casts, list(names), multi_line))
+            continue
+        for kinds, own in typed_groups(spark, members, list(names), multi_line).items():
+            found = {n: type_of(k) for n, k in zip(names, kinds)}
+            scans.append(scan_csv(spark, own, found | (casts or {}), list(names), multi_line))
+    return scans
+
+
+def typed_groups(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> dict[tuple[int, ...], list[str]]:
+    """Files with one header by the kinds of their columns; part files of a CSV go together."""
+    rows = scan_csv(spark, paths, None, names, multi_line)
+    kinds = column_kinds(rows, names, ["source_file"])
+    own = rows.groupBy("source_file").agg(F.collect_set("_src").alias("paths"))
     groups = defaultdict(list)
-    for path, names in known.items():
-        groups[tuple(names)].append(path)
-    return [scan_csv(spark, members, casts, list(names), multi_line) for names, members in groups.items()]
+    for row in kinds.join(own, "source_file").orderBy("source_file").collect():
+        groups[tuple(row["kinds"])] += sorted(map(plain_path, row["paths"]))
+    counted = {p for members in groups.values() for p in members}
+    # files with a header and no rows
+    bare = [p for p in paths if p not in counted]
+    if bare:
+        groups[(0,) * len(names)] += bare
+    return dict(groups)
 
 
 def scan_files(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
                multi_line: bool = False, skip_unreadable: bool = False) -> DataFrame | None:
-    """Union of CSV files with different headers; missing columns are null."""
+    """Union of CSV files with different headers, as text; missing columns are null."""
     whole = None
     for part in scan_groups(spark, paths, casts, multi_line, skip_unreadable):
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
@@ -156,10 +215,11 @@ def route_files(spark: SparkSession, folder: str, out_folder: str | None = None,
 def write_clean(cleaned: DataFrame, report: DataFrame, out_folder: str) -> None:
     """Cleaned rows as CSV, one folder per source file, and the report as JSON lines.
 
-    Writing a file again replaces its folder only. The report is written last: a file
-    counts as done once it is there.
+    Rows are dealt by file first, in parts of the advisory size: a file's folder gets as many parts as its
+    size asks for, not one from every task. Writing a file again replaces its folder only. The report is written
+    last: a file counts as done once it is there.
     """
-    (csv_writer(cleaned).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (csv_writer(cleaned.hint("rebalance", "source_file")).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_file").csv(f"{out_folder}/data"))
     (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("config", "file")
      .json(f"{out_folder}/report"))

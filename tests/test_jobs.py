@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.order_stats import order_bucket, with_rank
-from ledgerloom.operators import customers, products, revenue, warehouse as wh
+from ledgerloom.config import CleaningConfig, Dedup, Missing
+from ledgerloom.operators import cleaning, customers, products, revenue, warehouse as wh
 from ledgerloom.operators.exploring import payment_share_matrix
 from ledgerloom.plans import jobs
 from ledgerloom.session import shared_folder
@@ -83,6 +84,76 @@ def test_unreadable_file_stops_a_job(spark, base):
     assert files.scan_files(spark, [f"{base}/in/good.csv", f"{base}/in/absent.csv"], skip_unreadable=True).count() == 1
 
 
+def test_types_are_settled_per_file(spark, base):
+    def put(name, rows, columns):
+        files.csv_writer(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).coalesce(1)).csv(f"{base}/in/{name}.csv")
+
+    names = ["id", "n", "flag", "day", "code"]
+    put("numbers", [("1", "5", "True", "2020-01-02", "007"), ("2", None, "false", None, "008"), ("3", "7", None, "2020-02-03", "1")], names)
+    put("texts one", [("1", "five", "yes", "2020-01-02", "x"), ("2", None, "no", "3 May", "x"), ("3", "five", "no", "2020-02-03", "y")], names)
+    put("more numbers", [("4", "1e999", "true", "2021-01-01", "07"), ("5", "-2.5", "true", "2021-01-01", "08"), ("6", None, None, None, None)], names)
+    put("other", [("a", "1")], ["key", "n"])
+    paths = [r.path for r in files.list_csv(spark, f"{base}/in").collect()]
+    got = {}
+    for scan in files.scan_groups(spark, paths, types=True):
+        kinds = dict(scan.dtypes)
+        for row in scan.select("source_file").distinct().collect():
+            got[row[0]] = [kinds[c] for c in scan.columns[: scan.columns.index("source_file")]]
+    assert got == {
+        "numbers.csv": ["bigint", "bigint", "boolean", "date", "string"],
+        "texts one.csv": ["bigint", "string", "string", "string", "string"],
+        "more numbers.csv": ["bigint", "double", "boolean", "date", "string"],
+        "other.csv": ["string", "bigint"],
+    }
+    cfg = CleaningConfig(missing=Missing(include=("n",)))
+    jobs.clean_folder(spark, f"{base}/in", f"{base}/out", configs={"transactions": cfg})
+
+    def column(name):
+        rows = spark.read.option("header", True).csv(f"{base}/out/data/source_file={name}").collect()
+        return {r["id"]: r["n"] for r in rows}
+
+    assert column("numbers.csv")["2"] == "6.0" and column("texts one.csv")["2"] == "five"  # median here, mode there
+    assert column("more numbers.csv")["6"] == "Infinity"
+
+
+def test_headers_of_many_files_take_one_scan(spark, base):
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(200)], "k int, v string")
+    rows.repartition(200, "k").write.option("header", True).csv(f"{base}/many/a.csv")
+    rows.limit(1).coalesce(1).write.option("header", True).csv(f"{base}/many/b.csv")
+    paths = [r.path for r in files.list_csv(spark, f"{base}/many/a.csv").collect()] + [f"{base}/many/b.csv"]
+    assert len(paths) > 100
+    tracker, group = spark.sparkContext.statusTracker(), f"headers-{uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "headers")
+    found, failed = files.headers(spark, paths)
+    jobs_run = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert failed == {} and list(found) == [("k", "v")] and sum(map(len, found.values())) == len(paths)
+    assert jobs_run < 6
+    assert files.column_names('a,"b,c",,A') == ["a0", "b,c", "_c2", "A3"]
+
+
+def test_a_clean_file_has_few_parts(spark, base):
+    for i in range(6):
+        rows = [(str(n), f"k{n % 50}", str(n % 7)) for n in range(300)]
+        files.csv_writer(spark.createDataFrame(rows, "id string, k string, v string").repartition(4)).csv(f"{base}/in/f{i}.csv")
+    jobs.clean_folder(spark, f"{base}/in", f"{base}/out", configs={"transactions": CleaningConfig(dedup=Dedup(("k",)))})
+    written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{base}/out/data").filter("path like '%.csv'")
+    assert 6 <= written.count() <= 8
+    assert spark.read.option("header", True).csv(f"{base}/out/data").count() == 300
+
+
+def test_first_rows_of_files_without_sorting_rows(spark, base):
+    rows = [(str(i), f"k{i % 40}", f"row {i}") for i in range(2000)]
+    files.csv_writer(spark.createDataFrame(rows, "id string, k string, v string").coalesce(1)).csv(f"{base}/in/a.csv")
+    scan, = files.scan_groups(spark, [f"{base}/in/a.csv"])
+    copy, _ = cleaning.copied(scan, [])
+    kept = cleaning.deduplicate(cleaning.with_position(copy), Dedup(("k",)), F.col("_position"))
+    assert {r["id"] for r in kept.collect()} == {str(i) for i in range(40)}
+    narrow = cleaning.with_position(copy).groupBy("k").agg(F.min("_position"), F.count(F.lit(1)))
+    for df in (kept, narrow):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def sales_csv(spark, path, rows):
     schema = "transaction_id string, date string, customer_id string, product_id string, category string, total string, city string"
     files.csv_writer(spark.createDataFrame(rows, schema).coalesce(1)).csv(path)
