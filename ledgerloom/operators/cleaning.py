@@ -15,7 +15,7 @@ from ledgerloom.config import (
     Booleans, Categorical, CleaningConfig, Dates, Dedup, Delivery, Geo, Missing, Outliers, Payment, Price, Ratings,
 )
 from ledgerloom.functions import dates as fd, parsing
-from ledgerloom.functions.cities import close_city, exact_city
+from ledgerloom.functions.cities import city_form, close_city, exact_city
 from ledgerloom.functions.numeric import half_even, to_number
 from ledgerloom.functions.order_stats import quantiles_of_counts, same_key
 from ledgerloom.functions.text import lookup
@@ -233,7 +233,7 @@ def cities_step(t: Counted, cfg: Geo) -> None:
         exact = t.let(exact_city(F.col(f), cfg.canonical_cities, cfg.city_mappings))
         found = exact
         if cfg.canonical_cities:
-            near = close_city(cfg.canonical_cities, cfg.fuzzy_threshold)(F.when(exact.isNull(), F.col(f)))
+            near = close_city(cfg.canonical_cities, cfg.fuzzy_threshold)(F.when(exact.isNull(), city_form(F.col(f))))
             found = t.let(F.coalesce(exact, t.let(near)))
         t.change({f: F.coalesce(found, F.col(f))}, ("geo", f, "resolved", found.isNotNull()))
 

@@ -109,6 +109,21 @@ def dates(r: Retail):
     return cl.clean_one(cl.dates_step, r.raw(*KEYS, "order_date"), DATES)
 
 
+#: a line's order day in a notation that its line number chooses
+NOTATIONS = """case line_number % 7 when 0 then date_format(order_date, 'yyyy/MM/dd') when 1 then date_format(order_date, 'MMM d, yyyy')
+    when 2 then date_format(order_date, 'd MMMM yyyy') when 3 then date_format(order_date, 'MM/dd/yyyy')
+    when 4 then date_format(order_date, 'yyyyMMdd') when 5 then date_format(order_date, 'd-MMM-yy') else date_format(order_date, 'yyyy-MM-dd 10:20:30') end"""
+#: of two numbers up to 12 the general reading cannot tell the month; the day itself otherwise
+READ_BACK = """SELECT order_id, line_number, strftime(CASE WHEN line_number % 7 = 3 AND day(order_date) <= 12 AND day(order_date) <> month(order_date)
+    THEN {otherwise} ELSE order_date END, '%Y-%m-%d') AS order_date FROM transactions"""
+
+
+@query("cln_dates_general", READ_BACK.format(otherwise="NULL"))
+def dates_general(r: Retail):
+    rows = r.transactions(*KEYS, "order_date").withColumn("order_date", F.expr(NOTATIONS))
+    return cl.clean_one(cl.dates_step, rows, Dates(fields=("order_date",), input_formats=(), invalid_to_null=True))
+
+
 @query("cln_prices", f"""
 SELECT order_id, line_number, {sql_price('price')} AS price, CASE WHEN {sql_price('price')} IS NULL THEN price END AS price_raw FROM raw
 """, raw=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import customers as cu
 from ledgerloom.operators.revenue import top
-from ledgerloom.plans.registry import END, START, query
+from ledgerloom.plans.registry import query
 from ledgerloom.plans.revenue import RANGE, iso
 from ledgerloom.session import cut_lineage
 from ledgerloom.sources.retail import Retail
@@ -27,7 +27,7 @@ rfm AS (SELECT *, CAST(R_score AS VARCHAR) || F_score || M_score AS segment FROM
 
 
 def rfm_of(r: Retail):
-    return cu.rfm(r.transactions(*BASIC), r.calendar(), START, END)
+    return cu.rfm(r.transactions(*BASIC), r.calendar(), *r.span())
 
 
 @query("bi_new_customers", """
@@ -49,7 +49,7 @@ SELECT count(*) AS customers, round_even(quantile_cont(M, 0.5) * 1e4, 0) / 1e4 A
 """)
 def rfm_summary(r: Retail):
     from ledgerloom.plans.revenue import rounded
-    base = cu.rfm_base(cu.orders_in_range(r.transactions(*BASIC), r.calendar(), START, END))
+    base = cu.rfm_base(cu.orders_in_range(r.transactions(*BASIC), r.calendar(), *r.span()))
     return rounded(cu.rfm_summary(base), "median_monetary")
 
 
@@ -74,7 +74,7 @@ pairs AS (SELECT cat_from, cat_to, count(*) AS transitions FROM steps WHERE cat_
 
 def transitions_of(r: Retail):
     facts = r.transactions("customer_id", "product_id", "category", "order_date", "date_key", "tx_id", "tx_slice")
-    return cu.category_transitions(facts, r.calendar(), r.products(), START, END)
+    return cu.category_transitions(facts, r.calendar(), r.products(), *r.span())
 
 
 @query("bi_category_transitions", TRANSITIONS + "SELECT * FROM pairs")
@@ -107,7 +107,7 @@ SELECT prime, count(*) AS orders, count(DISTINCT customer_id) AS customers, CAST
 FROM star WHERE {RANGE} GROUP BY 1
 """)
 def prime_metrics(r: Retail):
-    return cu.prime_metrics(r.transactions(*BASIC, "is_prime_member"), r.calendar(), r.customers(), START, END)
+    return cu.prime_metrics(r.transactions(*BASIC, "is_prime_member"), r.calendar(), r.customers(), *r.span())
 
 
 @query("bi_prime_category_mix", f"""
@@ -116,7 +116,7 @@ SELECT prime, cat AS category, CAST(sum(revenue) AS DOUBLE) AS revenue,
 """)
 def prime_category_mix(r: Retail):
     facts = r.transactions(*BASIC, "is_prime_member", "product_id", "category")
-    return cu.prime_category_mix(facts, r.calendar(), r.products(), r.customers(), START, END)
+    return cu.prime_category_mix(facts, r.calendar(), r.products(), r.customers(), *r.span())
 
 
 COHORTS = f"""
@@ -127,7 +127,7 @@ active AS (SELECT strftime(make_date(c // 12, c % 12 + 1, 1), '%Y-%m-%d') AS coh
 
 
 def cohorts_of(r: Retail):
-    return cu.cohort_active(r.transactions("order_date", "date_key", "customer_id"), r.calendar(), START, END)
+    return cu.cohort_active(r.transactions("order_date", "date_key", "customer_id"), r.calendar(), *r.span())
 
 
 @query("bi_cohort_active", COHORTS + "SELECT * FROM active")
@@ -136,7 +136,8 @@ def cohort_active(r: Retail):
 
 
 # offsets between the first and the last month of the range
-MONTHS = (int(END[:4]) - int(START[:4])) * 12 + int(END[5:7]) - int(START[5:7])
+#: the matrix has a column for each of so many months after the first; the long form has them all
+MONTHS = 83
 OFFSET_CELLS = ", ".join(f"CAST(coalesce(sum(active) FILTER (m = {i}), 0) AS BIGINT) AS m{i}" for i in range(MONTHS + 1))
 
 
@@ -158,7 +159,7 @@ def cohort_retention(r: Retail):
 SELECT coalesce(age_group, 'Unknown') AS age_group, CAST(sum(revenue) AS DOUBLE) AS revenue FROM star WHERE {RANGE} GROUP BY 1
 """)
 def age_revenue(r: Retail):
-    return cu.age_revenue(r.transactions(*BASIC), r.calendar(), r.customers(), START, END)
+    return cu.age_revenue(r.transactions(*BASIC), r.calendar(), r.customers(), *r.span())
 
 
 @query("bi_age_category_mix", f"""
@@ -167,4 +168,4 @@ SELECT coalesce(age_group, 'Unknown') AS age_group, cat AS category, CAST(sum(re
 """)
 def age_category_mix(r: Retail):
     facts = r.transactions(*BASIC, "product_id", "category")
-    return cu.age_category_mix(facts, r.calendar(), r.products(), r.customers(), START, END)
+    return cu.age_category_mix(facts, r.calendar(), r.products(), r.customers(), *r.span())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import exploring as ex
 from ledgerloom.operators.revenue import distinct_labels
+from ledgerloom.plans.cleaning import NOTATIONS, READ_BACK
 from ledgerloom.plans.customers import RFM
 from ledgerloom.plans.registry import query
 from ledgerloom.plans.revenue import MONTH_CELLS, rounded
@@ -31,13 +32,20 @@ def coerce_date(r: Retail):
     return r.raw("order_id", "line_number", "order_date").withColumn("order_date", F.date_format(day, "yyyy-MM-dd"))
 
 
+# the explicit formats come first there, and take the first of two numbers for the day
+@query("eda_dates_general", READ_BACK.format(otherwise="make_date(year(order_date), day(order_date), month(order_date))"))
+def dates_general(r: Retail):
+    rows = r.transactions("order_id", "line_number", "order_date").withColumn("order_date", F.expr(NOTATIONS))
+    return rows.withColumn("order_date", F.date_format(ex.coerce_date(F.col("order_date")), "yyyy-MM-dd"))
+
+
 @query("eda_yearly_trend", """
-, y AS (SELECT year, CAST(sum(revenue) AS DOUBLE) AS rev FROM star WHERE year BETWEEN 1996 AND 2001 GROUP BY 1)
+, y AS (SELECT year, CAST(sum(revenue) AS DOUBLE) AS rev FROM star GROUP BY 1)
 SELECT year, rev AS revenue, round_even((rev / lag(rev) OVER (ORDER BY year) - 1) * 100 * 1e6, 0) / 1e6 AS pct_growth,
   round_even((regr_intercept(rev, year) OVER () + regr_slope(rev, year) OVER () * year) * 100, 0) / 100 AS trend FROM y
 """)
 def yearly_trend(r: Retail):
-    trend = ex.yearly_trend(cleaned(r, "order_date", "revenue"), 1996, 2001)
+    trend = ex.yearly_trend(cleaned(r, "order_date", "revenue"), *[int(day[:4]) for day in r.span()])
     return rounded(rounded(trend, "trend", places=2), "pct_growth", places=6)
 
 

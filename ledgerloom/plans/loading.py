@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import warehouse as wh
-from ledgerloom.plans.registry import END, START, query
+from ledgerloom.plans.registry import query
 from ledgerloom.session import shared_folder
 from ledgerloom.sources.retail import Retail
 
@@ -168,7 +168,7 @@ WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = t.product_id) GR
 """)
 def fk_violations(r: Retail):
     facts = r.transactions("date_key", "customer_id", "product_id")
-    calendar = wh.time_dimension(r.spark, START, "2000-12-31")
+    calendar = wh.time_dimension(r.spark, r.span()[0], "2000-12-31")
     people = r.customers().filter(F.col("segment") != "MACHINERY")
     return wh.fk_violations(facts, calendar, people, r.products())
 
@@ -176,11 +176,11 @@ def fk_violations(r: Retail):
 @query("wh_star_view", """
 SELECT order_id, customer_id, product_id, strftime(date, '%Y-%m-%d') AS date, year, quarter, month,
   quantity, CAST(revenue AS DOUBLE) AS revenue, cat AS category, br AS brand, age_group, prime
-FROM star WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+FROM star
 """)
 def star_view(r: Retail):
     facts = r.transactions("order_id", "customer_id", "product_id", "order_date", "date_key", "quantity", "revenue",
                            "category", "brand", "is_prime_member")
-    star = wh.star_view(facts, r.calendar(), r.products(), r.customers(), START, END)
+    star = wh.star_view(facts, r.calendar(), r.products(), r.customers(), *r.span())
     return star.select("order_id", "customer_id", "product_id", F.date_format("date", "yyyy-MM-dd").alias("date"),
                        "year", "quarter", "month", "quantity", "revenue", "category", "brand", "age_group", "prime")

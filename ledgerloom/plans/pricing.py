@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.operators import pricing as pr
-from ledgerloom.plans.registry import END, START, query
+from ledgerloom.plans.registry import query
 from ledgerloom.plans.revenue import PICKED, RANGE, rounded
 from ledgerloom.sources.retail import Retail
 
@@ -14,7 +14,7 @@ LINES = ("order_date", "date_key", "product_id", "category", "brand", "unit_pric
 
 
 def price_rows(r: Retail, categories=None, brands=None):
-    return pr.price_demand(r.transactions(*LINES), r.calendar(), r.products(), START, END, categories, brands)
+    return pr.price_demand(r.transactions(*LINES), r.calendar(), r.products(), *r.span(), categories, brands)
 
 
 @query("bi_price_demand", f"""
@@ -59,7 +59,7 @@ SELECT cat AS category, disc_bucket, disc_bucket * (CAST(8 AS DOUBLE) / 6) AS di
 """)
 def discount_effect(r: Retail):
     facts = r.transactions("order_date", "date_key", "product_id", "category", "discount_pct", "quantity", "revenue")
-    return pr.discount_effect(facts, r.calendar(), r.products(), START, END, 8, 6, PICKED)
+    return pr.discount_effect(facts, r.calendar(), r.products(), *r.span(), 8, 6, PICKED)
 
 
 BUCKET_CELLS = ", ".join(f"coalesce(CAST(sum(revenue) FILTER (disc_bucket = {b}) AS DOUBLE), 0) AS b{b}" for b in range(8))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import forecast as fc, products as pd
 from ledgerloom.operators.revenue import by_label
-from ledgerloom.plans.registry import END, START, query
+from ledgerloom.plans.registry import query
 from ledgerloom.plans.revenue import RANGE, iso
 from ledgerloom.sources.retail import Retail
 
@@ -29,14 +29,14 @@ FROM star WHERE {RANGE} GROUP BY 1, 2, 3 ORDER BY sum(revenue) DESC, 1, 3 LIMIT
 """)
 def product_kpis(r: Retail):
     facts = r.transactions(*BASIC, "product_id", "category", "quantity", "customer_rating", "is_returned")
-    return pd.product_kpis(facts, r.calendar(), r.products(), START, END)
+    return pd.product_kpis(facts, r.calendar(), r.products(), *r.span())
 
 
 @query("bi_demand_monthly", f"""
 SELECT year, month, sum(quantity) AS units, year || '-' || month AS period FROM star WHERE {RANGE} GROUP BY 1, 2
 """)
 def demand_monthly(r: Retail):
-    return pd.demand_monthly(r.transactions("order_date", "date_key", "quantity"), r.calendar(), START, END)
+    return pd.demand_monthly(r.transactions("order_date", "date_key", "quantity"), r.calendar(), *r.span())
 
 
 @query("bi_rating_by_category", f"""
@@ -44,7 +44,7 @@ SELECT cat AS category, {RATED} AS avg_rating, count(*) AS cnt FROM star WHERE {
 """)
 def rating_by_category(r: Retail):
     facts = r.transactions("order_date", "date_key", "product_id", "category", "customer_rating")
-    return pd.rating_by_category(facts, r.calendar(), r.products(), START, END)
+    return pd.rating_by_category(facts, r.calendar(), r.products(), *r.span())
 
 
 @query("bi_recent_launches", "SELECT product_id, product_name, brand, category, launch_year FROM products WHERE launch_year >= 2001 - 3")
@@ -69,7 +69,7 @@ SELECT CAST(b AS INT) AS bin, lo + (hi - lo) / 30 * (b - 1) AS low, lo + (hi - l
 FROM range(1, 31) AS s(b) CROSS JOIN x LEFT JOIN n ON n.bin = b
 """)
 def delivery_histogram(r: Retail):
-    return pd.delivery_histogram(r.transactions("order_date", "date_key", "delivery_days"), r.calendar(), START, END)
+    return pd.delivery_histogram(r.transactions("order_date", "date_key", "delivery_days"), r.calendar(), *r.span())
 
 
 @query("bi_on_time_rate", f"""
@@ -78,7 +78,7 @@ FROM star WHERE {RANGE} AND delivery_days IS NOT NULL GROUP BY 1, 2
 """)
 def on_time_rate(r: Retail):
     facts = r.transactions("order_date", "date_key", "delivery_days", "state", "city")
-    return pd.on_time_rate(facts, r.calendar(), START, END)
+    return pd.on_time_rate(facts, r.calendar(), *r.span())
 
 
 @query("bi_payment_share", f"""
@@ -87,7 +87,7 @@ SELECT year, payment_method, CAST(sum(revenue) AS DOUBLE) AS revenue,
 FROM star WHERE {RANGE} AND payment_method IS NOT NULL GROUP BY 1, 2
 """)
 def payment_share(r: Retail):
-    return pd.payment_share(r.transactions(*BASIC, "payment_method"), r.calendar(), START, END)
+    return pd.payment_share(r.transactions(*BASIC, "payment_method"), r.calendar(), *r.span())
 
 
 @query("bi_return_rates", f"""
@@ -96,7 +96,7 @@ FROM star WHERE {RANGE} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50
 """)
 def return_rates(r: Retail):
     facts = r.transactions(*BASIC, "product_id", "category", "is_returned", "quantity")
-    return pd.return_rates(facts, r.calendar(), r.products(), START, END)
+    return pd.return_rates(facts, r.calendar(), r.products(), *r.span())
 
 
 @query("bi_product_associations", f"""
@@ -107,14 +107,14 @@ couples AS (SELECT p[i] AS prod_a, unnest(p[i + 1:]) AS prod_b FROM firsts)
 SELECT prod_a, prod_b, count(*) AS co_occurs FROM couples GROUP BY ALL ORDER BY co_occurs DESC, prod_a, prod_b LIMIT 100
 """)
 def product_associations(r: Retail):
-    return pd.product_pairs(r.transactions("order_id", "product_id", "order_date", "date_key"), r.calendar(), START, END)
+    return pd.product_pairs(r.transactions("order_id", "product_id", "order_date", "date_key"), r.calendar(), *r.span())
 
 
 @query("bi_revenue_forecast")
 def revenue_forecast(r: Retail):
     """One model for the total and one per category; a year ahead."""
     facts = r.transactions(*BASIC, "product_id", "category")
-    months = by_label(facts, r.calendar(), r.products(), "category", START, END, ["year", "month"])
+    months = by_label(facts, r.calendar(), r.products(), "category", *r.span(), ["year", "month"])
     month = F.make_date("year", "month", F.lit(1)).alias("ym")
     each = F.explode(F.array(F.lit("all"), F.col("category"))).alias("series")
     monthly = months.select(each, month, "revenue").groupBy("series", "ym").agg(F.sum("revenue").alias("revenue"))

@@ -7,13 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.numeric import at_edge
-from ledgerloom.sources.retail import CALENDAR_END, CALENDAR_START, Retail
+from ledgerloom.sources.retail import Retail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-START, END = CALENDAR_START, CALENDAR_END
-
 VIEWS = """
 WITH base AS (
   SELECT *, l_orderkey * 7 + l_partkey + l_linenumber AS k, CAST(o_orderdate AS DATE) AS od
@@ -49,7 +47,7 @@ WITH base AS (
 ), time_dimension AS (
   SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INT) AS date_key, CAST(d AS DATE) AS date,
     CAST(day(d) AS INT) AS day, CAST(month(d) AS INT) AS month, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year
-  FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) AS s(d)
+  FROM generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY) AS s(d)
 ), star AS (
   SELECT t.order_id, t.customer_id, t.product_id, t.quantity, t.unit_price, t.revenue, t.discount_pct, t.payment_method,
     t.city, t.state, t.delivery_days, t.customer_rating, t.is_returned, t.tx_id, d.date, d.year, d.quarter, d.month,

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.operators import revenue as rv
-from ledgerloom.plans.registry import END, START, query
+from ledgerloom.plans.registry import query
 from ledgerloom.sources.retail import Retail
 
 BASIC = ("order_date", "date_key", "revenue")
 PICKED = ["PROMO", "SMALL", "LARGE"]
-RANGE = "date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'"
+RANGE = "date BETWEEN (SELECT min(date) FROM time_dimension) AND (SELECT max(date) FROM time_dimension)"
 
 
 def iso(df, name="date"):
@@ -44,7 +44,7 @@ SELECT CAST(sum(revenue) AS DOUBLE) AS revenue, count(DISTINCT customer_id) AS a
 FROM star WHERE {RANGE} AND p_category IN ('PROMO', 'SMALL', 'LARGE')
 """)
 def kpi_summary(r: Retail):
-    return rv.kpi_summary(r.transactions(*BASIC, "customer_id", "product_id"), r.calendar(), r.products(), START, END, PICKED)
+    return rv.kpi_summary(r.transactions(*BASIC, "customer_id", "product_id"), r.calendar(), r.products(), *r.span(), PICKED)
 
 
 @query("bi_revenue_yoy", """
@@ -61,14 +61,14 @@ def revenue_yoy(r: Retail):
 SELECT year, CAST(sum(revenue) AS DOUBLE) AS revenue FROM star WHERE {RANGE} AND p_category IN ('PROMO', 'SMALL', 'LARGE') GROUP BY 1
 """)
 def revenue_by_year(r: Retail):
-    return rv.revenue_by_year(r.transactions(*BASIC, "product_id"), r.calendar(), r.products(), START, END, PICKED)
+    return rv.revenue_by_year(r.transactions(*BASIC, "product_id"), r.calendar(), r.products(), *r.span(), PICKED)
 
 
 @query("bi_top_categories", f"""
 SELECT cat AS category, CAST(sum(revenue) AS DOUBLE) AS revenue FROM star WHERE {RANGE} GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 10
 """)
 def top_categories(r: Retail):
-    return rv.top_categories(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), START, END)
+    return rv.top_categories(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), *r.span())
 
 
 @query("bi_mtd_metrics", """
@@ -139,7 +139,7 @@ SELECT year, quarter, rev AS revenue, CAST(idx AS INT) AS period_idx,
 """)
 def revenue_trend(r: Retail):
     facts = r.transactions(*BASIC, "product_id", "category")
-    return rounded(rv.revenue_trend(facts, r.calendar(), r.products(), START, END, "quarter", PICKED), "trend")
+    return rounded(rv.revenue_trend(facts, r.calendar(), r.products(), *r.span(), "quarter", PICKED), "trend")
 
 
 @query("bi_growth_rates", f"""
@@ -149,7 +149,7 @@ SELECT year, month, round_even(rev * 100, 0) / 100 AS revenue, round_even(prev *
   round_even((rev - prev) / nullif(prev, 0) * 100 * 100, 0) / 100 AS growth_pct FROM g
 """)
 def growth_rates(r: Retail):
-    return rv.growth_rates(r.transactions(*BASIC), r.calendar(), r.products(), START, END)
+    return rv.growth_rates(r.transactions(*BASIC), r.calendar(), r.products(), *r.span())
 
 
 @query("bi_seasonal_pattern", f"""
@@ -158,7 +158,7 @@ SELECT month, CAST(sum(rev) AS DOUBLE) / count(*) AS avg_month_rev FROM m GROUP
 """)
 def seasonal_pattern(r: Retail):
     facts = r.transactions(*BASIC, "product_id", "category")
-    return rv.seasonal_pattern(facts, r.calendar(), r.products(), START, END, PICKED)
+    return rv.seasonal_pattern(facts, r.calendar(), r.products(), *r.span(), PICKED)
 
 
 @query("bi_category_share", f"""
@@ -166,7 +166,7 @@ SELECT cat AS category, CAST(sum(revenue) AS DOUBLE) AS revenue,
   CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER () AS DOUBLE) AS share FROM star WHERE {RANGE} GROUP BY 1
 """)
 def category_share(r: Retail):
-    return rv.category_share(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), START, END)
+    return rv.category_share(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), *r.span())
 
 
 @query("bi_category_trend_share", f"""
@@ -174,14 +174,14 @@ SELECT year, cat AS category, CAST(sum(revenue) AS DOUBLE) AS revenue,
   CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY year) AS DOUBLE) AS share FROM star WHERE {RANGE} GROUP BY 1, 2
 """)
 def category_trend_share(r: Retail):
-    return rv.category_trend_share(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), START, END)
+    return rv.category_trend_share(r.transactions(*BASIC, "product_id", "category"), r.calendar(), r.products(), *r.span())
 
 
 @query("bi_state_revenue", f"""
 SELECT coalesce(state, 'Unknown') AS state, CAST(sum(revenue) AS DOUBLE) AS revenue FROM star WHERE {RANGE} GROUP BY 1
 """)
 def state_revenue(r: Retail):
-    return rv.place_revenue(r.transactions(*BASIC, "state"), r.calendar(), START, END, "state")
+    return rv.place_revenue(r.transactions(*BASIC, "state"), r.calendar(), *r.span(), "state")
 
 
 @query("bi_city_revenue", f"""
@@ -189,7 +189,7 @@ SELECT coalesce(city, 'Unknown') AS city, CAST(sum(revenue) AS DOUBLE) AS revenu
 GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 50
 """)
 def city_revenue(r: Retail):
-    return rv.place_revenue(r.transactions(*BASIC, "city"), r.calendar(), START, END, "city", 50)
+    return rv.place_revenue(r.transactions(*BASIC, "city"), r.calendar(), *r.span(), "city", 50)
 
 
 FESTIVAL_DAYS = """
@@ -228,12 +228,12 @@ def festival_summary(r: Retail):
 SELECT brand, CAST(rev AS DOUBLE) AS revenue, CAST(rev AS DOUBLE) / CAST(sum(rev) OVER () AS DOUBLE) AS share FROM s
 """)
 def brand_share(r: Retail):
-    return rv.brand_share(r.transactions(*BASIC, "product_id", "brand"), r.calendar(), r.products(), START, END)
+    return rv.brand_share(r.transactions(*BASIC, "product_id", "brand"), r.calendar(), r.products(), *r.span())
 
 
 @query("bi_brand_trend", f"SELECT year, br AS brand, CAST(sum(revenue) AS DOUBLE) AS revenue FROM star WHERE {RANGE} GROUP BY 1, 2")
 def brand_trend(r: Retail):
-    return rv.brand_trend(r.transactions(*BASIC, "product_id", "brand"), r.calendar(), r.products(), START, END)
+    return rv.brand_trend(r.transactions(*BASIC, "product_id", "brand"), r.calendar(), r.products(), *r.span())
 
 
 MONTH_CELLS = ", ".join(
@@ -249,4 +249,4 @@ def seasonal_matrix(r: Retail):
 SELECT CAST(sum(revenue) AS DOUBLE) AS revenue, count(*) AS orders, count(DISTINCT customer_id) AS customers FROM star WHERE {RANGE}
 """)
 def command_summary(r: Retail):
-    return rv.command_summary(r.transactions(*BASIC, "customer_id"), r.calendar(), START, END)
+    return rv.command_summary(r.transactions(*BASIC, "customer_id"), r.calendar(), *r.span())

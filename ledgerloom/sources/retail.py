@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.warehouse import time_dimension
 
-CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-12-31"
-
 FROM_ORDERS = {"customer_id", "order_date", "date_key", "delivery_days", "payment_method", "is_prime_member", "city", "state"}
 FROM_PART = {"brand", "category"}
 FROM_GEO = {"city", "state"}
@@ -86,6 +84,7 @@ class Retail:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.days = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -128,8 +127,16 @@ class Retail:
             "c_mktsegment as segment",
         )
 
+    def span(self) -> tuple[str, str]:
+        """The first and last order day: one row, found once."""
+        if self.days is None:
+            day = F.col("o_orderdate").cast("date").cast("string")
+            self.days = tuple(self.table("orders").agg(F.min(day), F.max(day)).first())
+        return self.days
+
     def calendar(self) -> DataFrame:
-        return time_dimension(self.spark, CALENDAR_START, CALENDAR_END)
+        """Every day from the first order to the last, so that no order line falls outside."""
+        return time_dimension(self.spark, *self.span())
 
     def raw(self, *columns: str) -> DataFrame:
         """Dirty order lines: every column is text and follows from the row's spread key."""

@@ -211,3 +211,29 @@ def test_numbers_read_as_text_get_their_median(spark, base):
     jobs.clean_folder(spark, f"{base}/in", f"{base}/out")
     out = spark.read.option("header", True).csv(f"{base}/out/data/source_file=sales.csv").collect()
     assert {r["order_id"]: float(r["quantity"]) for r in out} == {"1": 1, "2": 1, "3": 5, "4": 9, "5": 3}
+
+
+def test_calendar_follows_the_orders(spark, base, tmp_path):
+    """An order of 2030 is in the reports, without a fixed calendar to fall out of."""
+    import shutil
+
+    from compare import differences, duck
+    from conftest import SF
+
+    from ledgerloom.plans import ORACLES, QUERIES, load_all
+
+    load_all()
+    folder = f"{tmp_path}/late"
+    shutil.copytree(SF, folder)
+    os.remove(f"{folder}/orders.parquet")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    kind = orders.schema["o_orderdate"].dataType
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    late = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") == first, F.lit("2030-06-01").cast(kind)).otherwise(F.col("o_orderdate")))
+    late.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{tmp_path}/orders.parquet").toPandas().to_parquet(f"{folder}/orders.parquet", coerce_timestamps="us")
+    con = duck(folder)
+    for key in ("bi_revenue_by_year", "bi_category_share", "eda_yearly_trend", "wh_star_view", "bi_cohort_active"):
+        assert differences(QUERIES[key](spark, folder), con, ORACLES[key]) == "", key
+    assert {r["year"] for r in QUERIES["bi_revenue_by_year"](spark, folder).collect()} >= {1995, 2030}
+    assert {r["year"] for r in QUERIES["eda_yearly_trend"](spark, folder).collect()} >= {1995, 2030}

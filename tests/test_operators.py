@@ -13,7 +13,6 @@ from ledgerloom.functions.order_stats import quantiles, with_rank
 from ledgerloom.config import Outliers
 from ledgerloom.operators import cleaning as cl, customers as cu, forecast as fc, products as pd, revenue as rv, warehouse as wh
 from ledgerloom.plans import jobs
-from ledgerloom.plans.registry import END, START
 from ledgerloom.session import shared_folder
 from ledgerloom.sources import files
 
@@ -106,9 +105,9 @@ def test_transitions_of_one_hot_customer(spark):
 
 def test_shares_and_retention(retail):
     facts = retail.transactions("order_date", "date_key", "product_id", "category", "revenue", "customer_id")
-    shares = rv.category_share(facts, retail.calendar(), retail.products(), START, END)
+    shares = rv.category_share(facts, retail.calendar(), retail.products(), *retail.span())
     assert abs(shares.agg(F.sum("share")).first()[0] - 1) < 1e-9
-    kept = cu.cohort_retention(cu.cohort_active(facts, retail.calendar(), START, END))
+    kept = cu.cohort_retention(cu.cohort_active(facts, retail.calendar(), *retail.span()))
     assert {r[0] for r in kept.filter("m = 0").select("retention_pct").distinct().collect()} == {100.0}
 
 
@@ -129,7 +128,7 @@ def plan_of(df):
 
 def test_wide_operators_have_no_single_task(retail):
     facts = retail.transactions("order_date", "date_key", "product_id", "category", "customer_id", "tx_id", "tx_slice")
-    steps = cu.category_transitions(facts, retail.calendar(), retail.products(), START, END)
+    steps = cu.category_transitions(facts, retail.calendar(), retail.products(), *retail.span())
     first = wh.upsert_customers(retail.customers().select("customer_id", "city", "state", "is_prime_member"),
                                 retail.transactions("customer_id", "city", "state", "is_prime_member", "order_date", "tx_id"),
                                 F.struct("order_date", "tx_id"))

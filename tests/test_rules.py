@@ -27,6 +27,12 @@ def test_prices(spark):
         0.15, 15.0, -12.5, 2000.0, None, None, None, None, None, *np.round([2.675, 0.125], 2)]
 
 
+def test_price_signs(spark):
+    given = ["-5", "(5", "5)", "(-5)", "()", "-", ".", "5.", ".5", "-.5", "(1,234.50)", "$-7", "7-", "1.2.3", "((5))", "-(5)", "- 5 Rs"]
+    assert step_outcomes(spark, given, cl.prices_step, Price(("v",), coerce_invalid_to_null=True)) == [
+        -5.0, None, None, None, None, None, None, 5.0, 0.5, -0.5, -1234.5, -7.0, None, None, None, None, -5.0]
+
+
 def test_price_keeps_text_when_asked(spark):
     rows = spark.createDataFrame([("5.5",), ("free",)], "v string")
     kept = cl.clean_one(cl.prices_step, rows, Price(("v",))).collect()
@@ -81,6 +87,12 @@ def test_dates(spark):
     given = ["2020-1-5", "13/02/1999", "01-02-69", "01-02-68", "31/02/2020", "5 Jan 2021", "Jan 5, 2021", "2021-03-04 10:20:30", "x", None]
     got = outcomes(spark, given, lambda c: parse_date(c, formats).cast("string"))
     assert got == ["2020-01-05", "1999-02-13", "1969-02-01", "2068-02-01", None, "2021-01-05", "2021-01-05", "2021-03-04", None, None]
+    general = {"2021/03/04": "2021-03-04", "Jan 5, 2021": "2021-01-05", "5 January 2021": "2021-01-05", "5th sept 99": "1999-09-05", "20210304": "2021-03-04",
+               "25/12/2020": "2020-12-25", "12.25.68": "2068-12-25", "4.4.2004": "2004-04-04", "2021-Mar-4": "2021-03-04", "MARCH 4 2021 5:06 pm": "2021-03-04",
+               "03/04/2021": None, "5 Foo 2021": None, "30 Feb 2021": None, "2021/13/01": None, "1 2 3": None, "not-a-date": None, "": None, "12": None,
+               "2021/03/04T10:20:30.5": "2021-03-04", " 7-feb-2010 ": "2010-02-07", "99/99/2020": None}
+    assert outcomes(spark, list(general), lambda c: parse_date(c).cast("string")) == list(general.values())
+    assert outcomes(spark, ["03/04/2021", "5 January 2021"], lambda c: parse_date(c, ["%m/%d/%Y"]).cast("string")) == ["2021-03-04", "2021-01-05"]
     assert step_outcomes(spark, ["x", "2/1/2020"], cl.dates_step, Dates(("v",), input_formats=("%d/%m/%Y",))) == ["x", "2020-01-02"]
 
 
