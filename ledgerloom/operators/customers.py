@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.functions.order_stats import column_medians, level, with_rank
 from ledgerloom.operators.revenue import column_names, revenue_sum, share_of, top
-from ledgerloom.operators.warehouse import in_range, label_products
+from ledgerloom.operators.warehouse import in_range, label_products, look_up
 from ledgerloom.session import cut_lineage
 
 
@@ -73,9 +73,10 @@ def rfm_drilldown(scored: DataFrame, segment: str, n: int = 200) -> DataFrame:
 def category_transitions(facts, calendar, products, start, end) -> DataFrame:
     """Pairs of categories a customer bought one after the other, counted.
 
-    A customer's history is cut into slices (day, ``tx_slice``) so that no task holds it
-    whole; the last category of a slice is then paired with the first of the next one.
-    ``tx_slice`` must grow with the order of ``tx_id`` inside a day.
+    What counts of a stretch of a history is its first and last category and the steps inside, and two stretches in a
+    row make one. A customer's history is cut into slices (day, ``tx_slice``), slices are put together by month and
+    months by customer, so no task holds a history whole, however much one customer bought: the last window has a
+    row per month. ``tx_slice`` must grow with the order of ``tx_id`` inside a day.
     """
     lines = in_range(facts.filter(F.col("customer_id").isNotNull()), calendar, start, end)
     rows = label_products(lines, products, "category")
@@ -88,13 +89,22 @@ def category_transitions(facts, calendar, products, start, end) -> DataFrame:
     ends = stepped.filter(F.col("next").isNull() | F.col("previous").isNull()).groupBy(*part).agg(
         F.max(F.when(F.col("previous").isNull(), F.col("category"))).alias("first"),
         F.max(F.when(F.col("next").isNull(), F.col("category"))).alias("last"))
-    across = Window.partitionBy("customer_id").orderBy("date_key", "tx_slice")
-    between = ends.select(F.col("last").alias("cat_from"), F.lead("first").over(across).alias("cat_to"))
-    between = between.filter(F.col("cat_to").isNotNull()).groupBy("cat_from", "cat_to").agg(F.count(F.lit(1)).alias("n"))
-    pairs = within.unionByName(between).groupBy("cat_from", "cat_to").agg(F.sum("n").alias("transitions"))
+    ends = cut_lineage(ends.withColumn("month", F.expr("date_key div 100")))
+    days = steps_between(ends, ["customer_id", "month"], ["date_key", "tx_slice"])
+    place = F.struct("date_key", "tx_slice")
+    months = ends.groupBy("customer_id", "month").agg(F.min_by("first", place).alias("first"), F.max_by("last", place).alias("last"))
+    whole = within.unionByName(days).unionByName(steps_between(months, ["customer_id"], ["month"]))
+    pairs = whole.groupBy("cat_from", "cat_to").agg(F.sum("n").alias("transitions"))
     return pairs.orderBy(F.desc("transitions"), "cat_from", "cat_to")
 
 
+def steps_between(stretches: DataFrame, part: list[str], order: list[str]) -> DataFrame:
+    """Steps from the last category of a stretch to the first of the next one of the same ``part``, counted."""
+    following = F.lead("first").over(Window.partitionBy(*part).orderBy(*order))
+    steps = stretches.select(F.col("last").alias("cat_from"), following.alias("cat_to"))
+    return steps.filter(F.col("cat_to").isNotNull()).groupBy("cat_from", "cat_to").agg(F.count(F.lit(1)).alias("n"))
+
+
 def transition_matrix(pairs: DataFrame, categories: list[str]) -> DataFrame:
     """From by to, 0 where a step never happened; one column per category, in lower case."""
     cells = pairs.groupBy("cat_from").pivot("cat_to", categories).agg(F.sum("transitions"))
@@ -105,7 +115,7 @@ def transition_matrix(pairs: DataFrame, categories: list[str]) -> DataFrame:
 def with_member(sums: DataFrame, customers: DataFrame) -> DataFrame:
     """The row's own membership flag, else the customer's."""
     people = customers.select("customer_id", F.col("is_prime_member").alias("_own"))
-    return sums.join(people, "customer_id", "left").withColumn("prime", F.coalesce("is_prime_member", "_own"))
+    return look_up(sums, people, "customer_id").withColumn("prime", F.coalesce("is_prime_member", "_own"))
 
 
 def prime_metrics(facts, calendar, customers, start, end) -> DataFrame:
@@ -129,7 +139,7 @@ def prime_category_mix(facts, calendar, products, customers, start, end) -> Data
 
 def with_age(sums: DataFrame, customers: DataFrame) -> DataFrame:
     people = customers.select("customer_id", "age_group")
-    return sums.join(people, "customer_id", "left").withColumn("age_group", F.coalesce("age_group", F.lit("Unknown")))
+    return look_up(sums, people, "customer_id").withColumn("age_group", F.coalesce("age_group", F.lit("Unknown")))
 
 
 def age_revenue(facts, calendar, customers, start, end) -> DataFrame:

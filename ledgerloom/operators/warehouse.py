@@ -142,11 +142,15 @@ def upsert_products(existing: DataFrame, catalog: DataFrame, order: Column) -> D
 
 
 def append_fact(facts: DataFrame, path: str) -> None:
-    """Write the fact one folder per source file. Loading a file again replaces its folder.
+    """Write the fact one folder per source file, by days inside it. Loading a file again replaces its folder.
 
-    Scan splits already keep the files apart, so no shuffle is needed.
+    Rows are dealt by ranges of file and day and sorted, so a part file holds few days and every row
+    group's smallest and largest day tell a report over a month which ones to skip. A hash behind the day lets
+    a day of any size be split.
     """
-    (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spread = F.xxhash64(*[c for c in FACT_TYPES if c in facts.columns])
+    placed = facts.repartitionByRange("source_file", "order_date", spread).sortWithinPartitions("source_file", "order_date")
+    (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_file").parquet(path))
 
 
@@ -186,10 +190,28 @@ def in_range(facts: DataFrame, calendar: DataFrame, start: str | None = None, en
     return facts.join(F.broadcast(calendar.select("date_key", *attrs)), "date_key")
 
 
+NULL_PLACES = 1024
+
+
+def look_up(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key``, of which ``dimension`` has one row each. Rows without a key meet nothing, and not in one task.
+
+    They are dealt over ``NULL_PLACES`` places of their own instead of all going where null hashes to. A frequent
+    key needs no more than that: the join is a plain one, whose large partitions adaptive execution splits.
+    """
+    known = F.col(key).isNotNull()
+    others = [f.name for f in df.schema.fields if f.name != key and not f.dataType.typeName() == "map"]
+    place = F.when(known, 0).otherwise(1 + F.pmod(F.xxhash64(*others) if others else F.lit(0), F.lit(NULL_PLACES))).cast("int")
+    empty = F.lit("").cast(df.schema[key].dataType) if df.schema[key].dataType.typeName() == "string" else F.lit(0).cast(df.schema[key].dataType)
+    left = df.withColumns({"_place_of": place, "_key_of": F.coalesce(key, empty)})
+    right = dimension.filter(known).withColumns({"_place_of": F.lit(0), "_key_of": F.col(key)}).drop(key)
+    return left.join(right, ["_key_of", "_place_of"], "left").drop("_key_of", "_place_of")
+
+
 def label_products(df: DataFrame, products: DataFrame, *labels: str, own: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """Category or brand from the product, else (``own``) from the row, else 'Unknown'."""
     dim = products.select(F.col("product_id"), *[F.col(c).alias(f"_p_{c}") for c in labels], *extra)
-    joined = df.join(dim, "product_id", "left")
+    joined = look_up(df, dim, "product_id")
 
     def label(c: str) -> Column:
         sources = [F.col(f"_p_{c}")] + ([F.col(c)] if own and c in df.columns else [])
@@ -207,7 +229,7 @@ def star_view(facts: DataFrame, calendar: DataFrame, products: DataFrame, custom
     rows = label_products(in_range(facts, calendar, start, end, attrs), products, "category", "brand")
     people = customers.select("customer_id", "age_group", F.col("is_prime_member").alias("_prime"))
     return (
-        rows.join(people, "customer_id", "left")
+        look_up(rows, people, "customer_id")
         .withColumn("prime", F.coalesce("is_prime_member", "_prime"))
         .drop("_prime", "is_prime_member")
     )

@@ -103,6 +103,74 @@ def test_transitions_of_one_hot_customer(spark):
     assert got == dict(expected)
 
 
+def test_no_window_holds_a_customer(spark):
+    """A customer with nearly all rows, over years: the widest window has a row per month or per slice of a month."""
+    rng = random.Random(2)
+    days = [20180000 + y * 10000 + m * 100 + d for y in range(3) for m in range(1, 13) for d in (1, 15)]
+    rows = [("hot" if i % 10 else f"c{i}", str(rng.randint(0, 3)), days[rng.randrange(len(days))], i) for i in range(4000)]
+    facts = spark.createDataFrame(rows, "customer_id string, product_id string, date_key int, tx_id int").withColumns(
+        {"category": F.concat(F.lit("k"), "product_id"), "tx_slice": F.floor(F.col("tx_id") / 40)})
+    goods, calendar = spark.createDataFrame([], "product_id string, category string"), wh.time_dimension(spark, "2018-01-01", "2020-12-31")
+    seen = []
+    before = cu.steps_between
+
+    def watched(stretches, part, order):
+        seen.append(stretches.groupBy(*part).count().agg(F.max("count")).first()[0])
+        return before(stretches, part, order)
+
+    cu.steps_between = watched
+    try:
+        got = {(r[0], r[1]): r[2] for r in cu.category_transitions(facts, calendar, goods, "2018-01-01", "2020-12-31").collect()}
+    finally:
+        cu.steps_between = before
+    expected = Counter()
+    for _, group in itertools.groupby(sorted(rows, key=lambda r: (r[0], r[2], r[3])), key=lambda r: r[0]):
+        steps = [f"k{r[1]}" for r in group]
+        expected.update(zip(steps, steps[1:]))
+    assert got == dict(expected)
+    assert len(seen) == 2 and seen[0] < 200 and seen[1] == 36
+
+
+def rows_scanned(df):
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.length()))
+
+
+def test_a_month_of_the_fact_reads_a_month(spark):
+    days = spark.range(36_000).select(
+        F.concat(F.lit("o"), "id").alias("order_id"), F.expr("date_add(date'2020-01-01', cast(id * 7 % 360 as int))").alias("order_date"),
+        F.concat(F.lit("f"), F.col("id") % 2, F.lit(".csv")).alias("source_file"), (F.col("id") % 9).cast("decimal(18,2)").alias("revenue"))
+    facts = days.withColumn("date_key", F.expr("year(order_date) * 10000 + month(order_date) * 100 + day(order_date)"))
+    path = f"{shared_folder(spark)}/fact-{uuid4().hex}"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 48)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wh.append_fact(facts, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    month = spark.read.parquet(path).filter("order_date between date'2020-03-01' and date'2020-03-31'")
+    assert month.count() == 3100
+    assert rows_scanned(month) < 3100 * 2.5  # of 36,000
+    assert spark.read.parquet(path).count() == 36_000
+
+
+def test_null_and_frequent_keys(spark):
+    """A third of the rows without a key, a third on one: every row is there once, and nulls are dealt out."""
+    rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"p{i % 50}", i) for i in range(3000)]
+    facts = spark.createDataFrame(rows, "product_id string, n int").withColumn("category", F.lit(None).cast("string"))
+    goods = spark.createDataFrame([("hot", "H"), ("", "empty"), (None, "null")] + [(f"p{i}", "P") for i in range(40)], "product_id string, category string")
+    got = Counter((r["product_id"], r["category"]) for r in wh.label_products(facts, goods, "category").collect())
+    want = Counter((p, "H" if p == "hot" else "P" if p and int(p[1:]) < 40 else "Unknown") for p, _ in rows)
+    assert got == want
+    places = wh.look_up(facts, goods.withColumnRenamed("category", "c"), "product_id")
+    assert "_place_of" in plan_of(places)
+    keyed = facts.withColumn("id", F.lit(None).cast("int"))
+    assert wh.look_up(keyed, spark.createDataFrame([(0, "zero")], "id int, v string"), "id").filter("v is not null").count() == 0
+
+
 def test_shares_and_retention(retail):
     facts = retail.transactions("order_date", "date_key", "product_id", "category", "revenue", "customer_id")
     shares = rv.category_share(facts, retail.calendar(), retail.products(), *retail.span())
