@@ -5,7 +5,8 @@ other and with checksums of their own, a table of the file's documents, and a tr
 
 * ``LLIDS001``
 * per block ``BLK1``, number of ids, bytes, CRC-32 of the bytes, CRC-32 of the ids (little-endian
-  unsigned 32-bit), then the bytes
+  unsigned 32-bit), then the bytes; a block with an id above 65,535 is marked ``BLK2``, and its bytes are
+  the number of bytes that code the lower 16 bits of its ids, those, and those of the upper 16 bits
 * ``DOCS``, bytes and CRC-32, then deflated: number of documents, and for each whether its id is
   not null, its id, and its number of ids
 * offset of ``DOCS`` and ``LLIDS001``
@@ -15,8 +16,8 @@ ranges of their ids; a table lists the files in order. Tasks choose new names, a
 lost task is in no table.
 
 Defined results: a null text has only the end id. Null ids come first. Rows with equal ids stand next
-to each other, in the order of a hash of their texts; equal rows give equal documents. Ids must be
-below 65,535. An empty input gives no files.
+to each other, in the order of a hash of their texts; equal rows give equal documents. Ids are of
+32 bits. An empty input gives no files.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from ledgerloom.llm.tokens import tokenizer
 
 MAGIC = b"LLIDS001"
 #: blocks coded side by side; bounds a task's memory
-GROUP = 2048
+GROUP = 1024
 _HEAD = struct.Struct("<4sIIII")
 _TRAILER = struct.Struct("<Q8s")
 
@@ -56,25 +57,29 @@ class Writer:
         self.offset += len(data)
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
-        if len(ids) and int(ids.max()) >= 65_535:
-            raise ValueError("ids must be below 65,535")
         self.docs.append((doc is not None, doc or 0, len(ids)))
         self.total += len(ids)
-        self.held.append(ids.astype(np.uint16))
+        self.held.append(ids.astype(np.uint32))
         self.count += len(ids)
         if self.count >= GROUP * rangecoder.BLOCK:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.concatenate(self.held) if self.held else np.empty(0, dtype=np.uint16)
+        ids = np.concatenate(self.held) if self.held else np.empty(0, dtype=np.uint32)
         whole = len(ids) if last else len(ids) // rangecoder.BLOCK * rangecoder.BLOCK
         blocks = [ids[i : min(whole, i + rangecoder.BLOCK)] for i in range(0, whole, rangecoder.BLOCK)]
         for first in range(0, len(blocks), GROUP):
             part = blocks[first : first + GROUP]
-            for block, data in zip(part, rangecoder.encode(part)):
-                plain = zlib.crc32(block.astype("<u4").tobytes())
-                self._put(_HEAD.pack(b"BLK1", len(block), len(data), zlib.crc32(data), plain) + data)
-        self.held, self.count = [ids[whole:]], len(ids) - whole
+            wide = [i for i, block in enumerate(part) if int(block.max()) >> 16]
+            upper = dict(zip(wide, rangecoder.encode([(part[i] >> 16).astype(np.uint16) for i in wide])))
+            for i, data in enumerate(rangecoder.encode([block.astype(np.uint16) for block in part])):
+                mark = b"BLK1"
+                if i in upper:
+                    mark, data = b"BLK2", struct.pack("<I", len(data)) + data + upper[i]
+                plain = zlib.crc32(part[i].astype("<u4").tobytes())
+                self._put(_HEAD.pack(mark, len(part[i]), len(data), zlib.crc32(data), plain) + data)
+        # a copy: what is left does not hold the memory of all that was written
+        self.held, self.count = [ids[whole:].copy()], len(ids) - whole
 
     def close(self) -> None:
         self._flush(True)
@@ -109,18 +114,25 @@ def read_blocks(file, end: int) -> Iterator[np.ndarray]:
     """The ids of all blocks, a group of blocks at a time, in order."""
     at = len(MAGIC)
     while at < end:
-        sizes, payloads, sums = [], [], []
+        sizes, payloads, sums, wide, upper = [], [], [], [], []
         while at < end and len(sizes) < GROUP:
             file.seek(at)
             mark, n, length, crc, plain = _HEAD.unpack(file.read(_HEAD.size))
             data = file.read(length)
-            if mark != b"BLK1" or zlib.crc32(data) != crc:
+            if mark not in (b"BLK1", b"BLK2") or zlib.crc32(data) != crc:
                 raise ValueError(f"damaged block at {at}")
+            if mark == b"BLK2":
+                low = 4 + struct.unpack_from("<I", data)[0]
+                wide.append(len(sizes))
+                upper.append(data[low:])
+                data = data[4:low]
             sizes.append(n)
             payloads.append(data)
             sums.append(plain)
             at += _HEAD.size + length
         blocks = rangecoder.decode(payloads, sizes)
+        for i, high in zip(wide, rangecoder.decode(upper, [sizes[i] for i in wide])):
+            blocks[i] = blocks[i] | high.astype(np.uint32) << np.uint32(16)
         for block, plain in zip(blocks, sums):
             if zlib.crc32(block.astype("<u4").tobytes()) != plain:
                 raise ValueError(f"wrong ids in a block before {at}")
@@ -130,7 +142,7 @@ def read_blocks(file, end: int) -> Iterator[np.ndarray]:
 def documents(file) -> Iterator[tuple[int | None, int, int, int]]:
     """Per document its id, first id's place in the file, number of ids and their CRC-32."""
     known, docs, sizes, end = read_documents(file)
-    held, start = np.empty(0, dtype=np.uint16), 0
+    held, start = np.empty(0, dtype=np.uint32), 0
     groups = read_blocks(file, end)
     crc, left, i = 0, int(sizes[0]) if len(sizes) else 0, 0
     while i < len(sizes):

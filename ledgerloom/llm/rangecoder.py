@@ -215,7 +215,7 @@ def _literals(coder: _Coder, model: _Model, lanes: np.ndarray, ids: np.ndarray)
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of up to 65536 ids below 65535 as bytes of its own."""
+    """Each block of up to 65536 ids of 16 bits as bytes of its own."""
     sizes = np.array([len(b) for b in blocks], dtype=np.int64)
     order = np.argsort(-sizes, kind="stable")
     ids = np.zeros((int(sizes.max(initial=0)), len(blocks)), dtype=np.uint16)

@@ -14,8 +14,8 @@ import string
 import struct
 from collections.abc import Iterable, Iterator
 
-#: words remembered by one task; then it starts anew
-REMEMBERED = 500_000
+#: words remembered by one task, about 50 MB; then it starts anew
+REMEMBERED = 100_000
 #: characters that Python counts as white space and the tokenizers do not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = string.punctuation

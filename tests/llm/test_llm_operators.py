@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import differences, duck
 from conftest import SF
@@ -484,6 +485,27 @@ def test_damage_is_told(tmp_path):
         list(idfiles.documents(Sized(bytes(whole))))
 
 
+def test_ids_of_32_bits(tmp_path):
+    r = np.random.default_rng(1)
+    docs = [
+        np.array([65_534, 65_535, 65_536, (1 << 32) - 1, 0]), r.integers(0, 50_000, 9000), np.empty(0),
+        r.integers(0, 200_000, 5000), r.integers(0, 1 << 32, 300), np.full(3000, 65_535),
+    ]
+    docs = [d.astype("<u4") for d in docs]
+    path = tmp_path / "wide.ids"
+    with open(path, "wb") as stream:
+        writer = idfiles.Writer(stream)
+        for i, ids in enumerate(docs):
+            writer.add(i, ids)
+        writer.close()
+    with pa.OSFile(str(path)) as file:
+        assert np.array_equal(np.concatenate(list(idfiles.read_blocks(file, idfiles.read_documents(file)[3]))), np.concatenate(docs))
+    with pa.OSFile(str(path)) as file:
+        got = list(idfiles.documents(file))
+    starts = np.cumsum([0, *map(len, docs)]).tolist()
+    assert got == [(i, starts[i], len(d), zlib.crc32(d.tobytes())) for i, d in enumerate(docs)]
+
+
 def test_token_files(messy, empty):
     path = vocabulary("byte_bpe_50k.json")
     got = idfiles.read_ids(*idfiles.write_ids(messy, path, "opens")).orderBy("start").collect()
