@@ -39,8 +39,6 @@ EDITS = 2
 SHORTEST = 13
 ONE_EDIT = 5
 
-_LOOKED = "array<struct<shorter:int,key:bigint>>"
-
 #: characters counted together
 CLASSES = ("e", "t", "n", "i", "a", "ro", "sh", "ldu")
 
@@ -50,35 +48,42 @@ def edits_allowed(shorter: Column) -> Column:
     return F.when(shorter >= SHORTEST, EDITS).when(shorter >= ONE_EDIT, 1).otherwise(0)
 
 
-def _segment(length: Column, i: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column) -> tuple[Column, Column]:
     """Start (from 0) and length of segment ``i`` of a line; the longer segments come last."""
     parts = EDITS + 1
     base, more = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    extra = F.greatest(F.lit(0), F.lit(i - parts) + more)
-    return base * i + extra, base + F.when(F.lit(i) >= F.lit(parts) - more, 1).otherwise(0)
+    extra = F.greatest(F.lit(0), i - parts + more)
+    return base * i + extra, base + F.when(i >= F.lit(parts) - more, 1).otherwise(0)
 
 
-def _key(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substring(line, start + 1, size))
+def _key(line: Column, length: Column, i: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(i, length, F.substring(line, start + 1, size))
 
 
 def index_keys(line: Column, length: Column) -> list[Column]:
-    return [_key(line, length, i, *_segment(length, i)) for i in range(EDITS + 1)]
+    return [_key(line, length, F.lit(i), *_segment(length, F.lit(i))) for i in range(EDITS + 1)]
 
 
-def probe_keys(line: Column, length: Column) -> list[tuple[int, Column]]:
-    """How much shorter the line looked for is, and the key to look up."""
+def look_ups() -> Column:
+    """All look-ups of a line: how much shorter the other line is, its segment, and how far that has moved."""
     found = []
     for shorter in range(EDITS + 1):
-        other = length - shorter
         for i in range(EDITS + 1):
-            start, size = _segment(other, i)
             first = max(-i, shorter - (EDITS - i))
             last = min(i, shorter + (EDITS - i))
-            for move in range(first, last + 1):
-                fits = (other >= SHORTEST) & (start + move >= 0) & (start + move + size <= length)
-                found.append((shorter, F.when(fits, _key(line, other, i, start + move, size))))
-    return found
+            found += [(shorter, i, move) for move in range(first, last + 1)]
+    return F.array(*[
+        F.struct(F.lit(shorter).alias("shorter"), F.lit(i).alias("i"), F.lit(move).alias("move"))
+        for shorter, i, move in found
+    ])
+
+
+def probe_key(line: Column, length: Column, look_up: Column) -> Column:
+    """The key of one of ``look_ups``; null where the other line or its segment cannot be."""
+    other, move = length - look_up["shorter"], look_up["move"]
+    start, size = _segment(other, look_up["i"])
+    fits = (other >= SHORTEST) & (start + move >= 0) & (start + move + size <= length)
+    return F.when(fits, _key(line, other, look_up["i"], start + move, size))
 
 
 def _without_each(line: Column, length: Column, key) -> Column:
@@ -96,7 +101,7 @@ def short_index_keys(line: Column, length: Column) -> Column:
 
 
 def short_probe_keys(line: Column, length: Column) -> Column:
-    """Like ``probe_keys``, for lines that one edit may change."""
+    """How much shorter the line looked for is, and the key to look up, for lines that one edit may change."""
 
     def found(shorter: int, key: Column) -> Column:
         return F.struct(F.lit(shorter).alias("shorter"), key.alias("key"))
@@ -111,7 +116,11 @@ def short_probe_keys(line: Column, length: Column) -> Column:
 
 def class_counts(line: Column) -> Column:
     """Characters by class, eight counts modulo 256 in a long."""
-    counts = [(F.length(line) - F.length(F.translate(line, c, ""))) % 256 for c in CLASSES]
+
+    def without(chars: str) -> Column:
+        return reduce(lambda left, c: F.replace(left, F.lit(c)), chars, line)
+
+    counts = [(F.length(line) - F.length(without(chars))) % 256 for chars in CLASSES]
     return reduce(
         lambda a, b: a.bitwiseOR(b), [F.shiftleft(c.cast("long"), 8 * k) for k, c in enumerate(counts)]
     )
@@ -194,28 +203,25 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def measured(nodes: DataFrame) -> DataFrame:
+    """Add the length of ``line`` and its characters by class. Both sides of the join use them, so write them once."""
+    return nodes.withColumns({"n": F.length("line"), "counts": class_counts(F.col("line"))})
+
+
 def edit_links(nodes: DataFrame) -> DataFrame:
-    """Links ``x, y`` between rows of ``node, line`` (distinct lines) within the edits allowed."""
+    """Links ``x, y`` between rows of ``node, line, n, counts`` (distinct lines, ``measured``) within the edits allowed."""
     length = F.col("n")  # a column, so that characters are counted once and not for every key
     line = F.col("line")
-    long = nodes.withColumn("n", F.length("line")).where(length >= ONE_EDIT)
-    long = long.withColumn("counts", class_counts(line))
+    long = nodes.where(length >= ONE_EDIT)
     # keys are exploded before anything is shuffled; texts stay behind
     own = F.when(length >= SHORTEST, F.array(*index_keys(line, length))).otherwise(short_index_keys(line, length))
     indexed = long.select("node", "counts", F.explode(own).alias("key"))
-    looked = [
-        F.struct(F.lit(shorter).alias("shorter"), key.alias("key")) for shorter, key in probe_keys(line, length)
-    ]
+    # a row per look-up first: one expression for the key instead of one for each look-up
+    moved = long.where(length >= SHORTEST).select("node", "counts", "line", "n", F.explode(look_ups()).alias("l"))
+    moved = moved.select("node", "counts", "l.shorter", probe_key(line, length, F.col("l")).alias("key"))
     # of lines of SHORTEST characters, those with one less are looked for as short ones
-    asked = F.concat(
-        F.when(length >= SHORTEST, F.array(*looked)).otherwise(F.array().cast(_LOOKED)),
-        F.when(length <= SHORTEST, short_probe_keys(line, length)).otherwise(F.array().cast(_LOOKED)),
-    )
-    probed = (
-        long.select("node", "counts", F.explode(asked).alias("p"))
-        .select("node", "counts", "p.shorter", "p.key")
-        .where("key is not null")
-    )
+    short = long.where(length <= SHORTEST).select("node", "counts", F.explode(short_probe_keys(line, length)).alias("p"))
+    probed = moved.unionByName(short.select("node", "counts", "p.shorter", "p.key")).where("key is not null")
     i, p = indexed.alias("i"), probed.alias("p")
     candidates = keep(
         p.join(i, F.col("p.key") == F.col("i.key"))
@@ -228,7 +234,7 @@ def edit_links(nodes: DataFrame) -> DataFrame:
     )
     free(nodes.sparkSession)
     met = candidates.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    texts = keep(nodes.join(met, "node", "left_semi"), "line-texts")
+    texts = keep(nodes.select("node", "line").join(met, "node", "left_semi"), "line-texts")
     free(nodes.sparkSession)
 
     def side(name: str) -> DataFrame:
@@ -250,9 +256,9 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("line_no") == F.col("first.line_no"))
     # the copies of a line are passed over within the join
     nodes = rows.join(firsts, ["h", "g"]).where(is_first).select("h", "g", "first", "line").dropDuplicates(["h", "g"])
-    nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
+    nodes = keep(measured(nodes).withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     free(docs.sparkSession)
-    links = keep(edit_links(nodes.select("node", "line")), "line-links")
+    links = keep(edit_links(nodes.select("node", "line", "n", "counts")), "line-links")
     free(docs.sparkSession)
     names = components(links)
     count = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
