@@ -12,12 +12,13 @@ of a segment permit. Lines that may differ by one edit
 are few characters long, so segments would say little: they are looked up without each of their
 characters in turn, under its place for a line of the same length, and as a whole for a line that has
 one less. Candidates whose counts of characters by class differ by more than ``EDITS``
-edits can explain are passed over within the join. The rest are decided by a banded bit-parallel
+edits can explain are passed over. The rest are decided by a banded bit-parallel
 edit distance: a column of the distance table is held as bits, ``2 * EDITS + 1`` of them, and moves
 down the diagonal with each character.
 
 Classes are connected components; of each class the first line stays, by document id and line
-number.
+number. For classes (``line_classes``) only pairs that could join two of them are compared, so a group of
+near copies does not form all its pairs; ``line_links`` returns every link between different lines.
 
 Defined results: a null text is one empty line. Lines shorter than ``ONE_EDIT`` are only linked when
 they are equal. Equal lines are told by
@@ -204,77 +205,144 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def measured(nodes: DataFrame) -> DataFrame:
-    """Add the length of ``line`` and its characters by class. Both sides of the join use them, so write them once."""
-    return nodes.withColumns({"n": F.length("line"), "counts": class_counts(F.col("line"))})
+    """Add the length of ``line``, which every key needs."""
+    return nodes.withColumn("n", F.length("line"))
 
 
-def edit_links(nodes: DataFrame) -> DataFrame:
-    """Links ``x, y`` between rows of ``node, line, n, counts`` (distinct lines, ``measured``) within the edits allowed."""
+def edit_buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Buckets of rows of ``node, line, n`` (distinct lines, ``measured``) and the lines that are in one.
+
+    A bucket is an index key: ``key, node, owner, low, high`` for every node that looks it up, ``owner`` if
+    it is also indexed there, ``low`` and ``high`` being the first and last indexed node. A node alone in its
+    bucket is left out. Any two lines within the edits allowed are in one bucket, at least one of them indexed.
+    """
     length = F.col("n")  # a column, so that characters are counted once and not for every key
     line = F.col("line")
     long = nodes.where(length >= ONE_EDIT)
     # keys are exploded before anything is shuffled; texts stay behind
     own = F.when(length >= SHORTEST, F.array(*index_keys(line, length))).otherwise(short_index_keys(line, length))
-    indexed = long.select("node", "counts", F.explode(own).alias("key"))
+    ends = long.select("node", F.explode(own).alias("key")).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     # a row per look-up first: one expression for the key instead of one for each look-up
-    moved = long.where(length >= SHORTEST).select("node", "counts", "line", "n", F.explode(look_ups()).alias("l"))
-    moved = moved.select("node", "counts", "l.shorter", probe_key(line, length, F.col("l")).alias("key"))
+    moved = long.where(length >= SHORTEST).select("node", "line", "n", F.explode(look_ups()).alias("l"))
+    same = (F.col("l.shorter") == 0) & (F.col("l.move") == 0)
+    moved = moved.select("node", same.alias("owner"), probe_key(line, length, F.col("l")).alias("key"))
     # of lines of SHORTEST characters, those with one less are looked for as short ones
-    short = long.where(length <= SHORTEST).select("node", "counts", F.explode(short_probe_keys(line, length)).alias("p"))
-    probed = moved.unionByName(short.select("node", "counts", "p.shorter", "p.key")).where("key is not null")
-    i, p = indexed.alias("i"), probed.alias("p")
-    candidates = keep(
-        p.join(i, F.col("p.key") == F.col("i.key"))
-        # lines of one length find each other twice
-        .where((F.col("p.node") < F.col("i.node")) | ((F.col("p.shorter") > 0) & (F.col("p.node") != F.col("i.node"))))
-        .where(counts_apart(F.col("p.counts"), F.col("i.counts")) <= 2 * EDITS)
-        .select(F.col("p.node").alias("x"), F.col("i.node").alias("y"))
-        .distinct(),
-        "line-candidates",
-    )
+    short = long.where(length <= SHORTEST).select("node", F.explode(short_probe_keys(line, length)).alias("p"))
+    short = short.select("node", (F.col("p.shorter") == 0).alias("owner"), "p.key")
+    probed = moved.unionByName(short).where("key is not null")
+    buckets = keep(probed.join(ends, "key").where("node != low or low != high"), "line-buckets")
     free(nodes.sparkSession)
-    met = candidates.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    texts = keep(nodes.select("node", "line").join(met, "node", "left_semi"), "line-texts")
+    met = buckets.select("node").unionByName(buckets.select(F.col("low").alias("node"))).distinct()
+    texts = nodes.select("node", "line").join(met, "node", "left_semi")
+    texts = keep(texts.withColumn("counts", class_counts(line)), "line-texts")
     free(nodes.sparkSession)
+    return buckets, texts
+
+
+def _pairs(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
+
+
+def _within(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs ``x, y`` that are within the edits allowed."""
 
     def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
+        return texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("line", "counts")])
 
     distance = banded_distance(F.split("x_line", ""), F.split("y_line", ""))
     allowed = edits_allowed(F.least(F.length("x_line"), F.length("y_line")))
-    return candidates.join(side("x"), "x").join(side("y"), "y").where(distance <= allowed).select("x", "y")
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
+    return both.where(counts_apart(F.col("x_counts"), F.col("y_counts")) <= 2 * EDITS).where(distance <= allowed).select("x", "y")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line: ``doc_id, line_no, class_doc_id, class_line_no, n_links, kept``.
+def edit_links(nodes: DataFrame) -> DataFrame:
+    """All links ``x, y`` between rows of ``node, line, n`` within the edits allowed.
 
-    The class is named by its first line; ``n_links`` counts the different lines linked to this one.
+    As many as there are: of a group of lines that are all alike, that is every pair.
     """
-    rows = _rows(docs, id_col, text_col)
+    buckets, texts = edit_buckets(nodes)
+    whole = buckets.where("node != low").select(*_pairs(F.col("node"), F.col("low")))
+    u, v = buckets.alias("u"), buckets.where("owner").alias("v")
+    inner = u.join(v, F.col("u.key") == F.col("v.key")).where("u.node != v.node")
+    return _within(whole.unionByName(inner.select(*_pairs(F.col("u.node"), F.col("v.node")))).distinct(), texts)
+
+
+def class_links(nodes: DataFrame) -> DataFrame:
+    """Links ``x, y`` that make the same classes as all ``edit_links`` do, without every pair of a class.
+
+    In each bucket all nodes are compared with its first indexed node, then those of other classes with
+    its last one, and only then what is still apart with each other.
+    """
+    buckets, texts = edit_buckets(nodes)
+    found = keep(_within(buckets.where("node != low").select(*_pairs(F.col("node"), F.col("low"))).distinct(), texts), "line-found")
+    # a bucket with one indexed node has been compared in full
+    rows = buckets.where("low != high")
+    for last in (False, True):
+        named = rows.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        apart = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+        named = keep(named.join(apart.select("key"), "key").join(texts.select("node", "counts"), "node"), "line-named")
+        u, v = named.alias("u"), named.where("owner").alias("v")
+        if last:  # with the first and the last node all others have been compared
+            u, v = (side.where("node != low and node != high").alias(name) for side, name in ((u, "u"), (v, "v")))
+        else:
+            v = v.where("node = high").alias("v")
+        pairs = (
+            u.join(v, F.col("u.key") == F.col("v.key"))
+            .where("u.component != v.component and (u.node < v.node or v.node = v.high or not u.owner)")
+            .where(counts_apart(F.col("u.counts"), F.col("v.counts")) <= 2 * EDITS)
+        )
+        more = _within(pairs.select(*_pairs(F.col("u.node"), F.col("v.node"))).distinct(), texts)
+        found = keep(found.unionByName(more), "line-found")
+        free(nodes.sparkSession)
+    return found
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """``h, g, first, line, n, node`` per distinct line, from its first row."""
     place = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("line_no").alias("line_no"))
     firsts = rows.drop("line").groupBy("h", "g").agg(F.min(place).alias("first"))
     is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("line_no") == F.col("first.line_no"))
     # the copies of a line are passed over within the join
     nodes = rows.join(firsts, ["h", "g"]).where(is_first).select("h", "g", "first", "line").dropDuplicates(["h", "g"])
     nodes = keep(measured(nodes).withColumn("node", F.monotonically_increasing_id()), "line-nodes")
-    free(docs.sparkSession)
-    links = keep(edit_links(nodes.select("node", "line", "n", "counts")), "line-links")
-    free(docs.sparkSession)
-    names = components(links)
-    count = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    linked = (
-        nodes.select("node", "h", "g", "first")
-        .join(names, "node", "left")
-        .join(count, "node", "left")
-        .select("h", "g", "first", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    free(rows.sparkSession)
+    return nodes
+
+
+def line_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per link between two different lines, each known by its first place: ``doc_id, line_no, other_doc_id, other_line_no``.
+
+    The result holds every pair within the edits allowed once, and so grows with the square of a group that is all alike.
+    """
+    nodes = _nodes(_rows(docs, id_col, text_col))
+    found = edit_links(nodes.select("node", "line", "n"))
+
+    def side(name: str, prefix: str) -> DataFrame:
+        first = F.col("first")
+        return nodes.select(
+            F.col("node").alias(name), first["doc"].alias(f"{prefix}doc_id"), first["line_no"].alias(f"{prefix}line_no")
+        )
+
+    return found.join(side("x", ""), "x").join(side("y", "other_"), "y").drop("x", "y")
+
+
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per line: ``doc_id, line_no, class_doc_id, class_line_no, kept``.
+
+    The class is named by its first line. ``line_links`` gives the links themselves.
+    """
+    rows = _rows(docs, id_col, text_col)
+    nodes = _nodes(rows)
+    names = components(class_links(nodes.select("node", "line", "n")))
+    linked = nodes.select("node", "h", "g", "first").join(names, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
     lead = linked.groupBy("component").agg(F.min("first").alias("lead"))
-    known = keep(linked.join(lead, "component").select("h", "g", "lead", "n_links"), "line-classes")
+    known = keep(linked.join(lead, "component").select("h", "g", "lead"), "line-classes")
     return rows.drop("line").join(known, ["h", "g"]).select(
         F.col("doc").alias("doc_id"),
         "line_no",
         F.col("lead.doc").alias("class_doc_id"),
         F.col("lead.line_no").alias("class_line_no"),
-        "n_links",
         (F.col("doc").eqNullSafe(F.col("lead.doc")) & (F.col("line_no") == F.col("lead.line_no"))).alias("kept"),
     )

@@ -316,10 +316,21 @@ def brute_lines(rows):
         for k, line in enumerate((text or "").split("\n")):
             none, first, at = place[root(line)]
             first = None if none else first
-            out.append((doc, k, first, at, count[line], doc == first and k == at))
+            out.append((doc, k, first, at, doc == first and k == at, count[line]))
     return sorted(out, key=str)
 
 
+def links_by_line(docs, rows):
+    """Links per place of a line, from ``line_links``; lines are known by their first place there."""
+    text = {(doc, k): line for doc, t in rows for k, line in enumerate((t or "").split("\n"))}
+    count = collections.Counter()
+    for g in lines.line_links(docs).collect():
+        x, y = text[g["doc_id"], g["line_no"]], text[g["other_doc_id"], g["other_line_no"]]
+        assert x != y
+        count.update((x, y))
+    return {place: count[line] for place, line in text.items()}
+
+
 def test_line_classes(spark, messy, empty):
     r = random.Random(2)
     stem = [" ".join(words(6, s)) for s in range(12)]
@@ -327,11 +338,12 @@ def test_line_classes(spark, messy, empty):
     rows += [(None, stem[0]), (41, None), (41, None), (42, ""), (43, "ab\nac\n\n"), (44, "x" * 5000), (45, "y" + "x" * 4999)]
     got = lines.line_classes(docs_of(spark, rows)).collect()
     want = brute_lines(rows)
-    mine = sorted((tuple(r) for r in got), key=str)
+    links = links_by_line(docs_of(spark, rows), rows)
+    mine = sorted(((*r, links[r["doc_id"], r["line_no"]]) for r in got), key=str)
     # the two longest lines are linked; brute force leaves them out for its own sake
     odd = {44, 45}
     assert [m for m in mine if m[0] not in odd] == [w for w in want if w[0] not in odd]
-    assert [(m[0], m[2], m[4]) for m in mine if m[0] in odd] == [(44, 44, 1), (45, 44, 1)]
+    assert [(m[0], m[2], m[5]) for m in mine if m[0] in odd] == [(44, 44, 1), (45, 44, 1)]
     assert lines.line_classes(empty).collect() == []
     assert lines.line_classes(messy).count() == sum(len((t or "").split("\n")) for _, t in messy_rows())
 
@@ -356,7 +368,27 @@ def test_short_lines_are_linked(spark):
                 want.update((x, y))
     text = dict(rows)
     got = lines.line_classes(docs_of(spark, rows)).collect()
-    assert {text[g["doc_id"]].split("\n")[g["line_no"]]: g["n_links"] for g in got} == {x: want[x] for x in known}
+    links = links_by_line(docs_of(spark, rows), rows)
+    assert {text[doc].split("\n")[k]: n for (doc, k), n in links.items()} == {x: want[x] for x in known}
+    classes = {x: x for x in known}
+
+    def root(x):
+        while classes[x] != x:
+            x = classes[x]
+        return x
+
+    for i, x in enumerate(known):
+        for y in known[:i]:
+            most = allowed(min(len(x), len(y)))
+            if abs(len(x) - len(y)) <= most and distance(x, y) <= most:
+                classes[root(x)] = root(y)
+    by_class = collections.defaultdict(set)
+    for g in got:
+        by_class[g["class_doc_id"], g["class_line_no"]].add(text[g["doc_id"]].split("\n")[g["line_no"]])
+    by_root = collections.defaultdict(set)
+    for x in known:
+        by_root[root(x)].add(x)
+    assert sorted(map(sorted, by_class.values())) == sorted(map(sorted, by_root.values()))
     place = {text[g["doc_id"]].split("\n")[g["line_no"]]: (g["class_doc_id"], g["class_line_no"]) for g in got}
     assert place["Contact us"] == place["Contact us."] == place["Contact vs"] and place["Home"] != place["Homes."]
 
@@ -369,6 +401,19 @@ def _edited(text, r):
     return "".join(chars)
 
 
+def test_links_of_a_large_group_stay_few(spark):
+    """A group of lines that are all alike needs about one link per line for its class."""
+    stem = "the number of the order that was sent today is "
+    known = [stem + f"{a}{b}" for a in "abcdefghijklmnop" for b in "qrstuvwxyz012345"]
+    nodes = spark.createDataFrame(list(enumerate(known)), "node long, line string")
+    found = lines.class_links(lines.measured(nodes))
+    assert found.count() <= 3 * len(known)
+    assert lines.edit_links(lines.measured(nodes)).count() == len(known) * (len(known) - 1) // 2
+    rows = [(i, line) for i, line in enumerate(known)]
+    got = lines.line_classes(docs_of(spark, rows)).collect()
+    assert {g["class_doc_id"] for g in got} == {0} and sum(g["kept"] for g in got) == 1
+
+
 def test_lines_run_no_python(spark, messy):
     plan = lines.line_classes(messy)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
