@@ -299,11 +299,11 @@ def class_links(nodes: DataFrame) -> DataFrame:
 
 def _nodes(rows: DataFrame) -> DataFrame:
     """``h, g, first, line, n, node`` per distinct line, from its first row."""
-    place = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("line_no").alias("line_no"))
-    firsts = rows.drop("line").groupBy("h", "g").agg(F.min(place).alias("first"))
-    is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("line_no") == F.col("first.line_no"))
-    # the copies of a line are passed over within the join
-    nodes = rows.join(firsts, ["h", "g"]).where(is_first).select("h", "g", "first", "line").dropDuplicates(["h", "g"])
+    # the line goes along with its place, so lines are shuffled once and copies are combined before
+    whole = F.struct(F.col("doc").isNull().alias("none"), "doc", "line_no", "line")
+    least = rows.groupBy("h", "g").agg(F.min(whole).alias("least"))
+    first = F.struct("least.none", "least.doc", "least.line_no")
+    nodes = least.select("h", "g", first.alias("first"), F.col("least.line").alias("line"))
     nodes = keep(measured(nodes).withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     free(rows.sparkSession)
     return nodes
