@@ -205,12 +205,12 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def measured(nodes: DataFrame) -> DataFrame:
-    """Add the length of ``line``, which every key needs."""
-    return nodes.withColumn("n", F.length("line"))
+    """Add the length of ``line`` and its characters by class, written once for all that compares lines."""
+    return nodes.withColumns({"n": F.length("line"), "counts": class_counts(F.col("line"))})
 
 
-def edit_buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Buckets of rows of ``node, line, n`` (distinct lines, ``measured``) and the lines that are in one.
+def edit_buckets(nodes: DataFrame) -> DataFrame:
+    """Buckets of rows of ``node, line, n`` (distinct lines, ``measured``).
 
     A bucket is an index key: ``key, node, owner, low, high`` for every node that looks it up, ``owner`` if
     it is also indexed there, ``low`` and ``high`` being the first and last indexed node. A node alone in its
@@ -232,39 +232,41 @@ def edit_buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     probed = moved.unionByName(short).where("key is not null")
     buckets = keep(probed.join(ends, "key").where("node != low or low != high"), "line-buckets")
     free(nodes.sparkSession)
-    met = buckets.select("node").unionByName(buckets.select(F.col("low").alias("node"))).distinct()
-    texts = nodes.select("node", "line").join(met, "node", "left_semi")
-    texts = keep(texts.withColumn("counts", class_counts(line)), "line-texts")
-    free(nodes.sparkSession)
-    return buckets, texts
+    return buckets
 
 
 def _pairs(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
 
-def _within(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs ``x, y`` that are within the edits allowed."""
+def _within(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the pairs ``x, y`` that are within the edits allowed. Lines are fetched for pairs whose counts allow it."""
 
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("line", "counts")])
+    def side(name: str, column: str, of: DataFrame) -> DataFrame:
+        return of.select(F.col("node").alias(name), F.col(column).alias(f"{name}_{column}"))
 
+    both = pairs.join(side("x", "counts", nodes), "x").join(side("y", "counts", nodes), "y")
+    near = counts_apart(F.col("x_counts"), F.col("y_counts")) <= 2 * EDITS
+    likely = keep(both.where(near).select("x", "y"), "line-likely")
+    free(nodes.sparkSession)
+    met = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    texts = keep(nodes.select("node", "line").join(met, "node", "left_semi"), "line-texts")
+    free(nodes.sparkSession)
     distance = banded_distance(F.split("x_line", ""), F.split("y_line", ""))
     allowed = edits_allowed(F.least(F.length("x_line"), F.length("y_line")))
-    both = pairs.join(side("x"), "x").join(side("y"), "y")
-    return both.where(counts_apart(F.col("x_counts"), F.col("y_counts")) <= 2 * EDITS).where(distance <= allowed).select("x", "y")
+    return likely.join(side("x", "line", texts), "x").join(side("y", "line", texts), "y").where(distance <= allowed).select("x", "y")
 
 
 def edit_links(nodes: DataFrame) -> DataFrame:
-    """All links ``x, y`` between rows of ``node, line, n`` within the edits allowed.
+    """All links ``x, y`` between rows of ``node, line, n, counts`` within the edits allowed.
 
     As many as there are: of a group of lines that are all alike, that is every pair.
     """
-    buckets, texts = edit_buckets(nodes)
+    buckets = edit_buckets(nodes)
     whole = buckets.where("node != low").select(*_pairs(F.col("node"), F.col("low")))
     u, v = buckets.alias("u"), buckets.where("owner").alias("v")
     inner = u.join(v, F.col("u.key") == F.col("v.key")).where("u.node != v.node")
-    return _within(whole.unionByName(inner.select(*_pairs(F.col("u.node"), F.col("v.node")))).distinct(), texts)
+    return _within(whole.unionByName(inner.select(*_pairs(F.col("u.node"), F.col("v.node")))).distinct(), nodes)
 
 
 def class_links(nodes: DataFrame) -> DataFrame:
@@ -273,32 +275,33 @@ def class_links(nodes: DataFrame) -> DataFrame:
     In each bucket all nodes are compared with its first indexed node, then those of other classes with
     its last one, and only then what is still apart with each other.
     """
-    buckets, texts = edit_buckets(nodes)
-    found = keep(_within(buckets.where("node != low").select(*_pairs(F.col("node"), F.col("low"))).distinct(), texts), "line-found")
+    buckets = edit_buckets(nodes)
+    found = keep(_within(buckets.where("node != low").select(*_pairs(F.col("node"), F.col("low"))).distinct(), nodes), "line-found")
     # a bucket with one indexed node has been compared in full
     rows = buckets.where("low != high")
     for last in (False, True):
         named = rows.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
         apart = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-        named = keep(named.join(apart.select("key"), "key").join(texts.select("node", "counts"), "node"), "line-named")
-        u, v = named.alias("u"), named.where("owner").alias("v")
+        named = keep(named.join(apart.select("key"), "key").join(nodes.select("node", "counts"), "node"), "line-named")
+        owned = named.where("owner")
         if last:  # with the first and the last node all others have been compared
-            u, v = (side.where("node != low and node != high").alias(name) for side, name in ((u, "u"), (v, "v")))
+            inner = "node != low and node != high"
+            u, v = named.where(inner).alias("u"), owned.where(inner).alias("v")
         else:
-            v = v.where("node = high").alias("v")
+            u, v = named.alias("u"), owned.where("node = high").alias("v")
         pairs = (
             u.join(v, F.col("u.key") == F.col("v.key"))
             .where("u.component != v.component and (u.node < v.node or v.node = v.high or not u.owner)")
             .where(counts_apart(F.col("u.counts"), F.col("v.counts")) <= 2 * EDITS)
         )
-        more = _within(pairs.select(*_pairs(F.col("u.node"), F.col("v.node"))).distinct(), texts)
+        more = _within(pairs.select(*_pairs(F.col("u.node"), F.col("v.node"))).distinct(), nodes)
         found = keep(found.unionByName(more), "line-found")
         free(nodes.sparkSession)
     return found
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """``h, g, first, line, n, node`` per distinct line, from its first row."""
+    """``h, g, first, line, n, counts, node`` per distinct line, from its first row."""
     # the line goes along with its place, so lines are shuffled once and copies are combined before
     whole = F.struct(F.col("doc").isNull().alias("none"), "doc", "line_no", "line")
     least = rows.groupBy("h", "g").agg(F.min(whole).alias("least"))
@@ -315,7 +318,7 @@ def line_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     The result holds every pair within the edits allowed once, and so grows with the square of a group that is all alike.
     """
     nodes = _nodes(_rows(docs, id_col, text_col))
-    found = edit_links(nodes.select("node", "line", "n"))
+    found = edit_links(nodes)
 
     def side(name: str, prefix: str) -> DataFrame:
         first = F.col("first")
@@ -333,7 +336,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = _rows(docs, id_col, text_col)
     nodes = _nodes(rows)
-    names = components(class_links(nodes.select("node", "line", "n")))
+    names = components(class_links(nodes))
     linked = nodes.select("node", "h", "g", "first").join(names, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
