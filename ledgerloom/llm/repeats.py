@@ -15,7 +15,8 @@ repeat of ``WINDOW`` words or more is seeded, by about a fifth of all positions.
    in a document with a smaller id. Overlapping repeated windows merge into maximal repeats.
 
 No pair of occurrences is ever formed: groups are reduced to minima before and after each shuffle,
-so a passage in a third of all documents costs what any other text costs.
+so a passage in a third of all documents costs what any other text costs. Where occurrences look
+up their anchor or class, those of frequent ones are dealt over parts (``_join_split``).
 
 Windows count as equal when the hash of their 13 words and that of their anchor agree (128 bits).
 
@@ -27,6 +28,7 @@ them equal. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,10 @@ WINDOW = 13
 SEED = 5
 _LAST = (1 << 63) - 1
 
+#: a key with more than one in HOT of all rows is dealt over PARTS parts
+HOT = 1000
+PARTS = 64
+
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash and position of each anchor, and first and last window that select it."""
@@ -62,17 +68,24 @@ def text_words(text: str | None):
     return data, starts, ends, word_hashes(data, starts, ends)
 
 
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...`` of every stretch, one stretch behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
+
+
 def _list(values: list[np.ndarray], kind) -> pa.Array:
     joined = np.concatenate(values) if values else np.empty(0, dtype=kind)
     return pa.array(joined.view(np.int64) if joined.dtype == np.uint64 else joined)
 
 
 def _anchor_rows(docs: DataFrame, positions: bool) -> DataFrame:
-    """``anchor, doc`` once per document, or ``anchor, doc, at`` for every occurrence."""
+    """``anchor, doc`` once per document, or ``anchor, text_id, at`` for every occurrence."""
+    key = "text_id" if positions else "doc"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids = batch.column(key).to_numpy()
             hashes, doc, at = [], [], []
             for i, text in enumerate(batch.column("body")):
                 own, where, _, _ = anchors(text_words(text.as_py())[3])
@@ -81,12 +94,12 @@ def _anchor_rows(docs: DataFrame, positions: bool) -> DataFrame:
                 hashes.append(own)
                 doc.append(np.full(len(own), ids[i], dtype=np.int64))
                 at.append(where)
-            out = {"anchor": _list(hashes, np.uint64), "doc": _list(doc, np.int64)}
+            out = {"anchor": _list(hashes, np.uint64), key: _list(doc, np.int64)}
             if positions:
                 out["at"] = _list(at, np.int64).cast(pa.int32())
             yield pa.RecordBatch.from_pydict(out)
 
-    return docs.mapInArrow(run, "anchor bigint, doc bigint" + (", at int" if positions else ""))
+    return docs.select(key, "body").mapInArrow(run, f"anchor bigint, {key} bigint" + (", at int" if positions else ""))
 
 
 def _extents(docs: DataFrame, seeded: DataFrame) -> DataFrame:
@@ -94,19 +107,20 @@ def _extents(docs: DataFrame, seeded: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, hashes, start, windows, sizes = [], [], [], [], [0]
-            for i, (text, shared) in enumerate(zip(batch.column("body"), batch.column("at"))):
+            row, hashes, start, windows, sizes = [], [], [], [], []
+            shared = batch.column("at")
+            spots, ends = shared.flatten().to_numpy(), np.cumsum(shared.value_lengths().to_numpy())
+            for i, text in enumerate(batch.column("body")):
                 words = text_words(text.as_py())[3]
                 own, where, first, last = anchors(words)
-                mine = np.flatnonzero(np.isin(where, np.asarray(shared.as_py(), dtype=np.int64)))
-                whole = run_hashes(words, WINDOW)
+                mine = np.flatnonzero(np.isin(where, spots[ends[i - 1] if i else 0 : ends[i]]))
                 row.append(np.full(len(mine), i, dtype=np.int64))
                 hashes.append(own[mine])
                 start.append(first[mine])
-                for a, b in zip(first[mine].tolist(), last[mine].tolist()):
-                    windows.append(whole[a : b + 1])
-                    sizes.append(sizes[-1] + b + 1 - a)
+                sizes.append(last[mine] + 1 - first[mine])
+                windows.append(run_hashes(words, WINDOW)[stretches(first[mine], sizes[-1])])
             row = _list(row, np.int64)
+            sizes = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else [0]
             yield pa.RecordBatch.from_pydict({
                 "anchor": _list(hashes, np.uint64),
                 "doc": batch.column("doc").take(row),
@@ -115,39 +129,55 @@ def _extents(docs: DataFrame, seeded: DataFrame) -> DataFrame:
                 "windows": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), _list(windows, np.uint64)),
             })
 
-    return docs.join(seeded, "doc").mapInArrow(
+    return docs.join(seeded, "text_id").select("doc", "text_id", "body", "at").mapInArrow(
         run, "anchor bigint, doc bigint, text_id bigint, start int, windows array<bigint>"
     )
 
 
+def _hot(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that hold more than one row in ``HOT`` of all: ``HOT`` of them at most, whatever the table holds."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return keep(counted.where(F.col("n") * HOT > total).select(*keys, F.lit(True).alias("hot")), "hot")
+
+
+def _join_split(rows: DataFrame, facts: DataFrame, keys: list[str], hot: DataFrame, spread) -> DataFrame:
+    """``rows`` joined with ``facts`` (one per key), the rows of hot keys dealt over ``PARTS`` parts by ``spread``."""
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64(*spread), F.lit(PARTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(F.broadcast(hot), keys, "left").withColumn("part", part).drop("hot")
+    right = facts.join(F.broadcast(hot), keys, "left").withColumn("part", F.explode(parts)).drop("hot")
+    return left.join(right, [*keys, "part"]).drop("part")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``doc, text_id, start, marks``: extents, and for each of their windows whether it is a repeat.
 
-    ``docs`` has ``doc`` (not null), ``text_id`` and ``body``.
+    ``docs`` has ``doc`` (not null), ``text_id`` (a hash of ``doc`` and ``body``) and ``body``. Should two
+    texts share a ``text_id``, each is only asked about more anchors than needed.
     """
     spark = docs.sparkSession
-    text = docs.select("doc", "body")
     shared = keep(
-        _anchor_rows(text, False).groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where("low < high").select("anchor"),
+        _anchor_rows(docs, False).groupBy("anchor").agg(
+            F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")
+        ).where("low < high").select("anchor", "n"),
         "shared",
     )
     free(spark)
-    seeded = keep(
-        _anchor_rows(text, True).join(shared, "anchor").groupBy("doc").agg(F.collect_list("at").alias("at")), "seeded"
-    )
+    found = _join_split(_anchor_rows(docs, True), shared.select("anchor"), ["anchor"], _hot(shared, ["anchor"]), ["text_id", "at"])
+    seeded = keep(found.groupBy("text_id").agg(F.collect_set("at").alias("at")), "seeded")
     free(spark)
     extents = keep(_extents(docs, seeded), "extents")
     free(spark)
     kind = F.xxhash64("windows")
     classes = keep(
-        extents.groupBy("anchor", kind.alias("kind")).agg(F.min("doc").alias("low")), "classes"
+        extents.groupBy("anchor", kind.alias("kind")).agg(F.min("doc").alias("low"), F.count(F.lit(1)).alias("n")), "classes"
     )
+    hot = _hot(classes, ["anchor", "kind"])
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     # one occurrence of each class that has to be compared window by window
+    compared = classes.join(several, "anchor").select("anchor", "kind", "low")
     models = (
-        extents.withColumn("kind", kind)
-        .join(classes.join(several, "anchor"), ["anchor", "kind"])
+        _join_split(extents.withColumn("kind", kind), compared, ["anchor", "kind"], hot, ["doc", "start"])
         .where(F.col("doc") == F.col("low"))
         .select("anchor", "kind", "low", "windows")
         .dropDuplicates(["anchor", "kind"])
@@ -163,10 +193,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     )
     by_window = keep(by_window, "by-window")
     free(spark)
+    facts = classes.select("anchor", "kind", "low").join(by_window, ["anchor", "kind"], "left")
+    places = extents.select("anchor", kind.alias("kind"), "doc", "text_id", "start", F.size("windows").alias("n"))
     judged = (
-        extents.select("anchor", kind.alias("kind"), "doc", "text_id", "start", F.size("windows").alias("n"))
-        .join(classes, ["anchor", "kind"])
-        .join(by_window, ["anchor", "kind"], "left")
+        _join_split(places, facts, ["anchor", "kind"], hot, ["doc", "start"])
         .select(
             "doc",
             "text_id",
@@ -188,7 +218,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
         F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(text_col).alias("text_id"),
+        F.xxhash64(id_col, text_col).alias("text_id"),
         F.col(text_col).alias("body"),
     )
     marked = keep(
@@ -202,23 +232,29 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, gone, kept, spots = [], [], [], []
-            for text, found in zip(batch.column("body"), batch.column("found")):
+            found = batch.column("found")
+            start, marks = found.flatten().flatten()
+            sizes = marks.value_lengths().to_numpy()
+            marked = marks.flatten().to_numpy(zero_copy_only=False).astype(bool)
+            windows = stretches(start.to_numpy().astype(np.int64), sizes)[marked]
+            # number of marked windows up to the end of each text's extents
+            upto = np.concatenate([[0], np.cumsum(marked)])
+            extents = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(found.value_lengths().fill_null(0).to_numpy())]
+            ends = upto[extents]
+            for i, text in enumerate(batch.column("body")):
                 # bytes are split at the very characters that separate words
                 own = as_bytes(text.as_py()).tobytes().split()
                 total.append(len(own))
-                if not found.is_valid:
+                at = windows[ends[i - 1] if i else 0 : ends[i]]
+                if not len(at):
                     gone.append(0)
                     kept.append(b" ".join(own))
                     spots.append([])
                     continue
-                turn = np.zeros(len(own) + 1, dtype=np.int64)
-                for one in found.as_py():
-                    at = one["start"] + np.flatnonzero(one["marks"])
-                    turn[at] += 1
-                    turn[at + WINDOW] -= 1
+                turn = np.bincount(at, minlength=len(own) + 1) - np.bincount(at + WINDOW, minlength=len(own) + 1)
                 cover = np.cumsum(turn)[:-1] > 0
                 gone.append(int(cover.sum()))
-                kept.append(b" ".join([own[i] for i in np.flatnonzero(~cover).tolist()]))
+                kept.append(b" ".join(compress(own, (~cover).tolist())))
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]])))
                 spots.append([[int(a), int(b)] for a, b in zip(edge[::2], edge[1::2])])
             yield pa.RecordBatch.from_pydict({

@@ -258,6 +258,20 @@ def test_repeats_in_random_mixes(spark):
     assert sorted((tuple(r) for r in got), key=str) == brute_repeats(rows)
 
 
+def test_repeats_of_frequent_passages_and_null_ids(spark, monkeypatch):
+    """Half the rows hold one passage, a third have no id: lists and joins are split, results stay."""
+    shared, r = words(30, 5), random.Random(4)
+    rows = []
+    for i in range(90):
+        w = words(20, 1000 + i) + (shared if i % 2 else shared[r.randrange(8):]) + words(15, 3000 + i)
+        rows.append((None if i % 3 == 0 else i, " ".join(w)))
+    rows += [(None, " ".join(shared))] * 20 + [(7, " ".join(shared))]
+    for hot in (4, 1000):
+        monkeypatch.setattr(repeats, "HOT", hot)
+        got = repeats.without_repeats(docs_of(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+        assert sorted((tuple(g) for g in got), key=str) == brute_repeats(rows)
+
+
 def test_repeat_spans_are_maximal(spark):
     p = words(20, 77)
     got = repeats.without_repeats(docs_of(spark, [(1, " ".join(p)), (2, " ".join(["q", *p, "r", *p]))])).where("doc_id = 2").first()
