@@ -141,12 +141,19 @@ def _hot(counted: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _join_split(rows: DataFrame, facts: DataFrame, keys: list[str], hot: DataFrame, spread) -> DataFrame:
-    """``rows`` joined with ``facts`` (one per key), the rows of hot keys dealt over ``PARTS`` parts by ``spread``."""
-    part = F.when(F.col("hot"), F.pmod(F.xxhash64(*spread), F.lit(PARTS)).cast("int")).otherwise(0)
+    """``rows`` joined with ``facts`` (one per key), the rows of hot keys dealt over ``PARTS`` parts by ``spread``.
+
+    A hot key's last column is hashed together with the part, so rows are no wider than without.
+    """
+    last = keys[-1]
+
+    def split(side: DataFrame, part) -> DataFrame:
+        return side.withColumn(last, F.when(F.col("hot"), F.xxhash64(last, part)).otherwise(F.col(last))).drop("hot", "part")
+
     parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    left = rows.join(F.broadcast(hot), keys, "left").withColumn("part", part).drop("hot")
-    right = facts.join(F.broadcast(hot), keys, "left").withColumn("part", F.explode(parts)).drop("hot")
-    return left.join(right, [*keys, "part"]).drop("part")
+    left = split(rows.join(F.broadcast(hot), keys, "left"), F.pmod(F.xxhash64(*spread), F.lit(PARTS)).cast("int"))
+    right = split(facts.join(F.broadcast(hot), keys, "left").withColumn("part", F.explode(parts)), F.col("part"))
+    return left.join(right, keys)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -179,7 +186,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     models = (
         _join_split(extents.withColumn("kind", kind), compared, ["anchor", "kind"], hot, ["doc", "start"])
         .where(F.col("doc") == F.col("low"))
-        .select("anchor", "kind", "low", "windows")
+        .select("anchor", kind.alias("kind"), "low", "windows")
         .dropDuplicates(["anchor", "kind"])
     )
     models = keep(models, "models")
