@@ -12,10 +12,13 @@ NULL_TOKENS = [
 
 # (?U) makes \s Unicode-aware; Python also counts the four separators 1c-1f.
 SPACE = r"[\s\x1c-\x1f]"
+# The same characters one by one, for functions that take no pattern.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                           0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, f"(?U)^{SPACE}+", ""), f"(?U){SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:

@@ -137,3 +137,44 @@ def test_report_adds_up_and_empty_input_runs(spark, by):
     assert cleaned.count() == counts[("dq", "rows_after")] == 2
     none, _ = cl.run_cleaning(rows.limit(0), cfg, F.col("n"), by)
     assert none.count() == 0
+
+
+def shown(column):
+    return column._jc.toString()
+
+
+def test_values_are_worked_out_once(spark):
+    """A reading names its pieces once: nested alternatives multiplied the patterns and casts of every row."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions import dates as fd, parsing
+
+    text = F.col("t")
+    assert len(shown(parsing.rating_value(text))) < 1500
+    assert len(shown(parsing.delivery_days(text, 30, True))) < 1000
+    assert "regexp" not in shown(parsing.plain_text(text))
+    for reading in (fd.parse_iso(text), fd.parse_with(text, "%d/%m/%Y"), fd.parse_with(text, "%d-%m-%y")):
+        assert "to_date" not in shown(reading)
+
+
+def test_numeric_formats_as_before(spark):
+    from ledgerloom.functions import dates as fd
+
+    given = ["1/2/2020", "31/02/2020", "29/2/2020", "01/02/0000", "1/2/20", "1/2/2020\n", " 1/2/2020", None]
+    want = ["2020-02-01", None, "2020-02-29", "0000-02-01", None, None, None, None]
+    assert [d for d in outcomes(spark, given, lambda c: fd.parse_with(c, "%d/%m/%Y").cast("string"))] == want
+    given, want = ["5-6-68", "05-06-69", "29-02-72", "29-02-71"], ["2068-06-05", "1969-06-05", "1972-02-29", None]
+    assert [d for d in outcomes(spark, given, lambda c: fd.parse_with(c, "%d-%m-%y").cast("string"))] == want
+    given, want = ["2020-1-5", "0000-01-05", "2020-02-30", "2020-01-05\n"], ["2020-01-05", "0000-01-05", None, None]
+    assert [d for d in outcomes(spark, given, lambda c: fd.parse_iso(c).cast("string"))] == want
+
+
+def test_readings_at_their_edges(spark):
+    from ledgerloom.functions import parsing
+
+    given = ["4 stars", "4 Star", "3 / 5", "3/0", "0 stars", "4 stars x", "4 starstar", "-1", "0", "inf", "\x1c4.5　", "/5", "1e1", None]
+    want = [4.0, 4.0, 3.0, None, 0.0, None, None, None, None, 5.0, 4.5, None, 10.0, None]
+    assert outcomes(spark, given, lambda c: parsing.rating_value(parsing.plain_text(c))) == want
+    given = ["2 - 4 days", "2–9", "5-", "9999999999999999999999-3", "3-9999999999999999999999", "-3", "7days", "Same Day", "", None]
+    want = [4, 9, 5, None, 3, None, 7, 0, None, None]
+    assert outcomes(spark, given, lambda c: parsing.delivery_days(parsing.lower_text(c), 30, True)) == want
