@@ -18,17 +18,24 @@ WHOLE, NUMBER, TRUTH, DAY, TEXT = 1, 2, 4, 8, 16
 #: a leading zero or more digits than a long holds make an id of a number, and ids stay text
 WHOLE_SHAPE = r"^[-+]?(0|[1-9]\d{0,17})$"
 ID_SHAPE = r"^[-+]?0\d"
-DAY_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+DAY_SHAPE = r"^\d{4}-\d{2}-\d{2}\z"
 
 
 def kind_of(c: Column) -> Column:
-    """The kind of one value; null has none."""
+    """The kind of one value; null has none.
+
+    Numbers and days begin with a sign, a dot or a digit, which lie between ``+`` and ``9``: other text is told without a pattern.
+    """
+    numeric = (
+        F.when(c.rlike(WHOLE_SHAPE), WHOLE)
+        .when(c.rlike(PLAIN_NUMBER) & ~c.rlike(ID_SHAPE) & ~c.rlike(r"^[-+]?\d{19,}$"), NUMBER)
+        .when(c.rlike(DAY_SHAPE) & c.try_cast("date").isNotNull(), DAY)
+        .otherwise(TEXT)
+    )
     return (
         F.when(c.isNull(), 0)
-        .when(c.rlike(WHOLE_SHAPE), WHOLE)
+        .when((c >= "+") & (c < ":"), numeric)
         .when(F.lower(c).isin("true", "false"), TRUTH)
-        .when(c.rlike(PLAIN_NUMBER) & ~c.rlike(ID_SHAPE) & ~c.rlike(r"^[-+]?\d{19,}$"), NUMBER)
-        .when(c.rlike(DAY_SHAPE) & F.try_to_date(c, "yyyy-MM-dd").isNotNull(), DAY)
         .otherwise(TEXT)
     )
 
