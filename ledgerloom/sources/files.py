@@ -127,7 +127,9 @@ def headers(spark: SparkSession, paths: list[str]) -> tuple[dict[tuple[str, ...]
     place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
     # the reader drops a header's byte order mark only at the start of a file, where it stands
     first = (lines.filter(F.trim("value") != "").select(F.col("_metadata.file_path").alias("path"), "value", place.alias("at"))
-             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
+             # with a set beside it the text is aggregated in a map of one entry per file; on its own all lines would be sorted
+             .groupBy("path").agg(F.min_by("value", "at").alias("header"), F.collect_set("at.start").alias("splits"))
+             .filter(F.size("splits") > 0))
     found = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     groups = defaultdict(list)
     for row in sorted(found, key=lambda r: r["paths"]):
@@ -167,10 +169,12 @@ def scan_groups(spark: SparkSession, paths: list[str], casts: dict[str, str] | N
 def typed_groups(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> dict[tuple[int, ...], list[str]]:
     """Files with one header by the kinds of their columns; part files of a CSV go together."""
     rows = scan_csv(spark, paths, None, names, multi_line)
-    kinds = column_kinds(rows, names, ["source_file"])
-    own = rows.groupBy("source_file").agg(F.collect_set("_src").alias("paths"))
+    # one scan: kinds by part file, then those of the part files together
+    parts = column_kinds(rows, names, ["source_file", "_src"])
+    kinds = F.array(*[F.bit_or(F.col("kinds")[i]) for i in range(len(names))])
+    files = parts.groupBy("source_file").agg(kinds.alias("kinds"), F.collect_set("_src").alias("paths"))
     groups = defaultdict(list)
-    for row in kinds.join(own, "source_file").orderBy("source_file").collect():
+    for row in files.orderBy("source_file").collect():
         groups[tuple(row["kinds"])] += sorted(map(plain_path, row["paths"]))
     counted = {p for members in groups.values() for p in members}
     # files with a header and no rows

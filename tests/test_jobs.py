@@ -237,3 +237,30 @@ def test_calendar_follows_the_orders(spark, base, tmp_path):
         assert differences(QUERIES[key](spark, folder), con, ORACLES[key]) == "", key
     assert {r["year"] for r in QUERIES["bi_revenue_by_year"](spark, folder).collect()} >= {1995, 2030}
     assert {r["year"] for r in QUERIES["eda_yearly_trend"](spark, folder).collect()} >= {1995, 2030}
+
+
+def test_headers_and_types_without_sorting_lines(spark, tmp_path, monkeypatch):
+    """The first lines come from a map of one entry per file, and the types from one scan."""
+    import contextlib
+    import io
+
+    from ledgerloom.sources import files
+
+    (tmp_path / "a.csv").write_text("\n\nid,day\n1,2020-01-05\n2,2020-01-06\n")
+    kind = type(spark.range(1))
+    plans, collect = [], kind.collect
+
+    def collected(df):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        plans.append(out.getvalue())
+        return collect(df)
+
+    monkeypatch.setattr(kind, "collect", collected)
+    groups, failed = files.headers(spark, [f"{tmp_path}/a.csv"])
+    assert list(groups) == [("id", "day")] and not failed
+    kinds = files.typed_groups(spark, groups[("id", "day")], ["id", "day"])
+    monkeypatch.undo()
+    assert list(kinds) == [(1, 8)]
+    assert "ObjectHashAggregate(keys=[path" in plans[0] and "SortAggregate(keys=[path" not in plans[0]
+    assert plans[1].count("FileScan csv") == 1
