@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ledgerloom.functions.numeric import half_even
 from ledgerloom.operators.revenue import by_label, revenue_sum, share_of, top
 from ledgerloom.operators.warehouse import in_range, label_products
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, dealt
 
 
 def portfolio_growth(products) -> DataFrame:
@@ -113,12 +113,16 @@ def pairs_within(items: DataFrame, per_slice: int = 256) -> DataFrame:
     One side of an order is dealt to as many slices as it has ``per_slice`` products, the other side
     is copied to each of them, so no task holds a large order whole.
     """
+    items = cut_lineage(items)
+    rows = items.count()
+    items = dealt(items, rows, "order_id")
     sizes = items.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / per_slice).cast("int").alias("slices"))
     sliced = items.join(sizes, "order_id")
     left = sliced.select("order_id", F.col("product_id").alias("prod_a"),
                          F.pmod(F.xxhash64("product_id"), F.col("slices")).cast("int").alias("slice"))
     right = sliced.select("order_id", F.col("product_id").alias("prod_b"),
                           F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    left, right = (dealt(side, rows, "order_id", "slice") for side in (left, right))
     both = left.join(right, ["order_id", "slice"]).filter(F.col("prod_a") < F.col("prod_b"))
     return both.groupBy("prod_a", "prod_b").agg(F.count(F.lit(1)).alias("co_occurs"))
 

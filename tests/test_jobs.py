@@ -264,3 +264,11 @@ def test_headers_and_types_without_sorting_lines(spark, tmp_path, monkeypatch):
     assert list(kinds) == [(1, 8)]
     assert "ObjectHashAggregate(keys=[path" in plans[0] and "SortAggregate(keys=[path" not in plans[0]
     assert plans[1].count("FileScan csv") == 1
+
+
+def test_parts_grow_with_rows(spark):
+    """A large join is dealt into parts of bounded rows, a small one into as many as the session says."""
+    from ledgerloom import session
+
+    assert session.dealt(spark.range(100), 40 * session.ROWS_PER_PART, "id").rdd.getNumPartitions() == 40
+    assert "RepartitionByExpression" not in session.dealt(spark.range(100), 100, "id")._jdf.queryExecution().logical().toString()
