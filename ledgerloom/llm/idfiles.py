@@ -3,15 +3,17 @@
 A file is a row of blocks of up to ``rangecoder.BLOCK`` ids each, coded independently of each
 other and with checksums of their own, a table of the file's documents, and a trailer:
 
-* ``LLIDS001``
+* ``LLIDS002``
 * per block ``BLK1``, number of ids, bytes, CRC-32 of the bytes, CRC-32 of the ids (little-endian
   unsigned 32-bit), then the bytes; a block with an id above 65,535 is marked ``BLK2``, and its bytes are
   the number of bytes that code the lower 16 bits of its ids, those, and those of the upper 16 bits
+* after up to ``GROUP`` blocks ``SHR1``, bytes and CRC-32, then deflated: how often, of 65,536, each of 65,536 lower
+  halves of ids is dealt a share in these blocks, and the same of the upper halves if a block is marked ``BLK2``
 * ``DOCS``, bytes and CRC-32, then deflated: number of documents, and for each whether its id is
   not null, its id, and its number of ids
-* offset of ``DOCS`` and ``LLIDS001``
+* offset of ``DOCS`` and ``LLIDS002``
 
-A damaged block is told by its checksums and costs only its own ids. Documents are dealt to files by
+A damaged block is told by its checksums and costs only its own ids, damaged shares those of their group. Documents are dealt to files by
 ranges of their ids; a table lists the files in order. Tasks choose new names, and a file of a
 lost task is in no table.
 
@@ -37,10 +39,11 @@ from ledgerloom.llm import rangecoder
 from ledgerloom.llm.store import keep, new_folder, open_folder
 from ledgerloom.llm.tokens import tokenizer
 
-MAGIC = b"LLIDS001"
+MAGIC = b"LLIDS002"
 #: blocks coded side by side; bounds a task's memory
-GROUP = 1024
+GROUP = 2048
 _HEAD = struct.Struct("<4sIIII")
+_TABLE = struct.Struct("<4sII")
 _TRAILER = struct.Struct("<Q8s")
 
 
@@ -64,33 +67,53 @@ class Writer:
         if self.count >= GROUP * rangecoder.BLOCK:
             self._flush(False)
 
+    def _put_table(self, mark: bytes, table: bytes) -> None:
+        table = zlib.compress(table)
+        self._put(_TABLE.pack(mark, len(table), zlib.crc32(table)) + table)
+
     def _flush(self, last: bool) -> None:
         ids = np.concatenate(self.held) if self.held else np.empty(0, dtype=np.uint32)
         whole = len(ids) if last else len(ids) // rangecoder.BLOCK * rangecoder.BLOCK
-        blocks = [ids[i : min(whole, i + rangecoder.BLOCK)] for i in range(0, whole, rangecoder.BLOCK)]
-        for first in range(0, len(blocks), GROUP):
-            part = blocks[first : first + GROUP]
-            wide = [i for i, block in enumerate(part) if int(block.max()) >> 16]
-            upper = dict(zip(wide, rangecoder.encode([(part[i] >> 16).astype(np.uint16) for i in wide])))
-            for i, data in enumerate(rangecoder.encode([block.astype(np.uint16) for block in part])):
-                mark = b"BLK1"
-                if i in upper:
-                    mark, data = b"BLK2", struct.pack("<I", len(data)) + data + upper[i]
-                plain = zlib.crc32(part[i].astype("<u4").tobytes())
-                self._put(_HEAD.pack(mark, len(part[i]), len(data), zlib.crc32(data), plain) + data)
         # a copy: what is left does not hold the memory of all that was written
         self.held, self.count = [ids[whole:].copy()], len(ids) - whole
+        step = GROUP * rangecoder.BLOCK
+        for first in range(0, whole, step):
+            self._put_group(ids[first : min(whole, first + step)])
+
+    def _put_group(self, ids: np.ndarray) -> None:
+        part = [ids[i : i + rangecoder.BLOCK] for i in range(0, len(ids), rangecoder.BLOCK)]
+        wide = [i for i, block in enumerate(part) if int(block.max()) >> 16]
+        high = [(part[i] >> 16).astype(np.uint16) for i in wide]
+        low = [block.astype(np.uint16) for block in part]
+        shares = [rangecoder.Shares.counted(blocks) for blocks in (low, high) if blocks]
+        upper = dict(zip(wide, rangecoder.encode(high, shares[-1])))
+        for i, data in enumerate(rangecoder.encode(low, shares[0])):
+            mark = b"BLK1"
+            if i in upper:
+                mark, data = b"BLK2", struct.pack("<I", len(data)) + data + upper[i]
+            plain = zlib.crc32(part[i].astype("<u4").tobytes())
+            self._put(_HEAD.pack(mark, len(part[i]), len(data), zlib.crc32(data), plain) + data)
+        self._put_table(b"SHR1", b"".join(s.sizes.astype("<u4").tobytes() for s in shares))
 
     def close(self) -> None:
         self._flush(True)
         at = self.offset
         known, docs, sizes = zip(*self.docs) if self.docs else [()] * 3
         table = struct.pack("<Q", len(docs)) + np.array(known, "u1").tobytes()
-        table = zlib.compress(table + np.array(docs, "<i8").tobytes() + np.array(sizes, "<u8").tobytes())
-        self._put(struct.pack("<4sII", b"DOCS", len(table), zlib.crc32(table)) + table)
+        self._put_table(b"DOCS", table + np.array(docs, "<i8").tobytes() + np.array(sizes, "<u8").tobytes())
         self._put(_TRAILER.pack(at, MAGIC))
 
 
+def _read_table(file, at: int, expected: bytes) -> tuple[bytes, int]:
+    """The table at this place and where it ends."""
+    file.seek(at)
+    mark, length, crc = _TABLE.unpack(file.read(_TABLE.size))
+    table = file.read(length)
+    if mark != expected or zlib.crc32(table) != crc:
+        raise ValueError(f"damaged table {expected.decode()} at {at}")
+    return zlib.decompress(table), at + _TABLE.size + length
+
+
 def read_documents(file) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Which document ids are not null, the ids, numbers of token ids, and where the table starts."""
     size = file.size()
@@ -99,12 +122,7 @@ def read_documents(file) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     file.seek(0)
     if magic != MAGIC or file.read(8) != MAGIC:
         raise ValueError("not a file of ids")
-    file.seek(at)
-    mark, length, crc = struct.unpack("<4sII", file.read(12))
-    table = file.read(length)
-    if mark != b"DOCS" or zlib.crc32(table) != crc:
-        raise ValueError("damaged table of documents")
-    table = zlib.decompress(table)
+    table, _ = _read_table(file, at, b"DOCS")
     (n,) = struct.unpack_from("<Q", table)
     known = np.frombuffer(table, "u1", n, 8).astype(bool)
     return known, np.frombuffer(table, "<i8", n, 8 + n), np.frombuffer(table, "<u8", n, 8 + 9 * n).astype(np.int64), at
@@ -115,9 +133,12 @@ def read_blocks(file, end: int) -> Iterator[np.ndarray]:
     at = len(MAGIC)
     while at < end:
         sizes, payloads, sums, wide, upper = [], [], [], [], []
-        while at < end and len(sizes) < GROUP:
+        while True:
             file.seek(at)
-            mark, n, length, crc, plain = _HEAD.unpack(file.read(_HEAD.size))
+            head = file.read(_HEAD.size)
+            if head[:4] == b"SHR1" or at >= end:
+                break
+            mark, n, length, crc, plain = _HEAD.unpack(head)
             data = file.read(length)
             if mark not in (b"BLK1", b"BLK2") or zlib.crc32(data) != crc:
                 raise ValueError(f"damaged block at {at}")
@@ -130,8 +151,11 @@ def read_blocks(file, end: int) -> Iterator[np.ndarray]:
             payloads.append(data)
             sums.append(plain)
             at += _HEAD.size + length
-        blocks = rangecoder.decode(payloads, sizes)
-        for i, high in zip(wide, rangecoder.decode(upper, [sizes[i] for i in wide])):
+        table, at = _read_table(file, at, b"SHR1")
+        table = np.frombuffer(table, "<u4").reshape(-1, 1 << 16)
+        shares = [rangecoder.Shares(line) for line in table]
+        blocks = rangecoder.decode(payloads, sizes, shares[0])
+        for i, high in zip(wide, rangecoder.decode(upper, [sizes[i] for i in wide], shares[-1])):
             blocks[i] = blocks[i] | high.astype(np.uint32) << np.uint32(16)
         for block, plain in zip(blocks, sums):
             if zlib.crc32(block.astype("<u4").tobytes()) != plain:

@@ -10,11 +10,10 @@ Per id, with the two ids before it as contexts:
 * order 2 and order 1 each predict one id, the last that followed their context, with a
   confidence; adaptive probabilities per confidence are mixed in the logistic domain by weights
   that are learned per block,
-* the coder tells by one symbol of three which prediction came true, if any,
-* otherwise the id follows in four hexadecimal digits by order-0 shares, each digit's shares
-  chosen by the digits before it.
+* what these leave of the range is dealt by order-0 shares: those given for all blocks, or else the same for every id.
 
-The range coder has a 64-bit low and range and moves 16 bits at a time.
+An id takes one step of the coder, whichever of the three it comes from. The range coder has a
+64-bit low and range and moves 16 bits at a time; a step divides the range by 2**24.
 """
 
 from __future__ import annotations
@@ -25,14 +24,15 @@ import numpy as np
 BLOCK = 2048
 _SLOTS = 1024
 _LEVELS = 8
-#: digits' shares are of 32768, none below about 48; a share moves by 1/16 towards what came
-_SHARE = 32768
-_LEAST = 64
-_RATE = 4
+#: order-0 shares are of 65536, those of a step of 2**24
+_SHARE = 1 << 16
+_WHOLE = 1 << 24
 _TOP = np.uint64(48)
 _ONE = np.uint64(1)
 _LOW16 = np.uint64(0xFFFF)
-_SMALL = np.uint64(1 << 32)
+_SMALL = np.uint64(1 << 40)
+#: steps between two looks at the weights' bounds and the coder's room
+_CHECKED = 8
 
 
 def _logistic() -> tuple[np.ndarray, np.ndarray]:
@@ -45,10 +45,14 @@ def _logistic() -> tuple[np.ndarray, np.ndarray]:
     high = np.array([*knots, knots[-1]], dtype=np.int64)[(x >> 7) + 1]
     squash = ((low * (128 - part) + high * part + 64) >> 7).astype(np.int32)
     stretch = (np.searchsorted(squash, np.arange(4096)).clip(0, 4095) - 2048).astype(np.int32)
-    return squash, stretch
+    return squash.astype(np.int64), stretch.astype(np.int64)
 
 
 _SQUASH, _STRETCH = _logistic()
+#: what a context's entry becomes by its confidence: a prediction that came true is surer, a sure one that failed less so
+_MISSED = np.array([0, 0, 0, 0, -2, -3, -3, -4], dtype=np.int64)
+_CAME = np.array([1, 1, 1, 1, 1, 1, 1, 0], dtype=np.int64)
+_AFTER = np.concatenate([_MISSED, _CAME])
 
 
 class _Coder:
@@ -59,185 +63,190 @@ class _Coder:
         self.range = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
         self.decodes = words is not None
         if self.decodes:
-            self.words, self.at = words, at.copy()
+            self.words, self.at, self.stride = words, at.copy(), 1
             self.code = np.zeros(lanes, dtype=np.uint64)
             for _ in range(4):
                 self.code = (self.code << np.uint64(16)) | self.words[self.at]
                 self.at += 1
-        else:
-            self.words = np.zeros((lanes, cap), dtype=np.uint16)
-            self.at = np.zeros(lanes, dtype=np.int64)
-
-    def targets(self, lanes) -> np.ndarray:
-        """Where in 0..65535 the next symbol of each lane lies."""
-        width = self.range[lanes] >> np.uint64(16)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // width, _LOW16).astype(np.int64)
-
-    def step(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
-        """Narrow each lane to ``start .. start + size`` of 65536. ``lanes``: a slice or positions."""
-        width = self.range[lanes] >> np.uint64(16)
-        low = self.low[lanes] + width * start.astype(np.uint64)
-        span = width * size.astype(np.uint64)
-        need = np.flatnonzero(span < _SMALL)
-        if len(need):
-            self._shift(np.arange(len(self.low))[lanes][need], need, low, span)
-        self.low[lanes], self.range[lanes] = low, span
-
-    def _shift(self, lanes: np.ndarray, need: np.ndarray, low: np.ndarray, span: np.ndarray) -> None:
+        else:  # the first words of all lanes, then the second ones, and so on
+            self.words, self.at, self.stride = np.zeros(lanes * cap, dtype=np.uint16), np.arange(lanes), lanes
+
+    def targets(self, lanes: slice) -> np.ndarray:
+        """Where in 0..2**24 - 1 the next id of each lane lies."""
+        width = self.range[lanes] >> np.uint64(24)
+        return np.minimum((self.code[lanes] - self.low[lanes]) // width, np.uint64(_WHOLE - 1)).view(np.int64)
+
+    def make_room(self) -> None:
+        """For 64 more words in every lane; a step writes no more than 6."""
+        if self.at.max(initial=0) + 64 * self.stride >= len(self.words):
+            self.words = np.concatenate([self.words, np.zeros(len(self.words) + 64 * self.stride, dtype=np.uint16)])
+
+    def step(self, lanes: slice, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow each lane to ``start .. start + size`` of 2**24. ``lanes``: the first ones."""
+        width = self.range[lanes] >> np.uint64(24)
+        low = self.low[lanes]
+        low += width * start.view(np.uint64)
+        span = np.multiply(width, size.view(np.uint64), out=self.range[lanes])
+        self._shift(np.flatnonzero(span < _SMALL), low, span)
+
+    def _shift(self, need: np.ndarray, low: np.ndarray, span: np.ndarray) -> None:
         """Move words out (or in) until every range is large enough again."""
         while len(need):
             l, s = low[need], span[need]
-            cut = np.flatnonzero((l ^ (l + s)) >> _TOP)
-            if len(cut):  # the range lies on both sides of a boundary: give up the part beyond it
-                s[cut] = (~l[cut] + _ONE) & np.uint64(0xFFFFFFFF)
-            at = self.at[lanes]
+            cut = ((l ^ (l + s)) >> _TOP).view(np.int64)
+            if cut.any():  # the range lies on both sides of a boundary: give up the part beyond it
+                s = np.where(cut, (~l + _ONE) & (_SMALL - _ONE), s)
+            at = self.at[need]
             if self.decodes:
-                self.code[lanes] = (self.code[lanes] << np.uint64(16)) | self.words[np.minimum(at, len(self.words) - 1)]
+                self.code[need] = (self.code[need] << np.uint64(16)) | self.words.take(at, mode="clip")
             else:
-                if at.max() >= self.words.shape[1] - 8:  # room for the last four words too
-                    self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-                self.words[lanes, at] = (l >> _TOP).astype(np.uint16)
-            self.at[lanes] = at + 1
+                self.words[at] = l >> _TOP
+            at += self.stride
+            self.at[need] = at
             s <<= np.uint64(16)
-            low[need], span[need] = l << np.uint64(16), s
-            again = np.flatnonzero(s < _SMALL)
-            need, lanes = need[again], lanes[again]
-
-    def finish(self) -> None:
-        """The words of ``low`` as they are: a value within every lane's range."""
-        lanes = np.arange(len(self.low))
+            l <<= np.uint64(16)
+            low[need] = l
+            span[need] = s
+            need = need[s < _SMALL]
+
+    def finish(self) -> list[bytes]:
+        """The words of each lane, with those of ``low`` as they are: a value within the lane's range."""
+        self.make_room()
         for k in (48, 32, 16, 0):
-            self.words[lanes, self.at] = ((self.low >> np.uint64(k)) & _LOW16).astype(np.uint16)
-            self.at += 1
+            self.words[self.at] = ((self.low >> np.uint64(k)) & _LOW16).astype(np.uint16)
+            self.at += self.stride
+        by_lane = self.words.reshape(-1, max(1, self.stride)).T
+        return [line[:n].astype("<u2").tobytes() for line, n in zip(by_lane, (self.at // max(1, self.stride)).tolist())]
+
+
+class Shares:
+    """Order-0 shares of all ids: ``sizes`` of 65536 by id, 0 for ids that do not occur."""
 
+    def __init__(self, sizes: np.ndarray):
+        if len(sizes) != _SHARE or int(sizes.sum()) != _SHARE:
+            raise ValueError("shares do not add up")
+        self.sizes = sizes.astype(np.uint32)
+        self.starts = np.zeros(_SHARE + 1, dtype=np.int64)
+        np.cumsum(self.sizes, out=self.starts[1:])
+        self.id_at = np.repeat(np.arange(_SHARE, dtype=np.int64), self.sizes)
 
-def _aims() -> np.ndarray:
-    """Where the shares' starts move to after each digit."""
-    i = np.arange(16)
-    return np.where(i[None, :] <= i[:, None], i * _LEAST, _SHARE - (16 - i) * _LEAST).astype(np.int16)
+    @classmethod
+    def counted(cls, blocks: list[np.ndarray]) -> Shares:
+        """By how often ids are in the blocks; each that is there has a share."""
+        counts = np.zeros(_SHARE, dtype=np.int64)
+        for block in blocks:
+            counts += np.bincount(block, minlength=_SHARE)
+        if not counts.any():
+            return FLAT
+        there = counts > 0
+        sizes = there + counts * (_SHARE - int(there.sum())) // int(counts.sum())
+        sizes[counts.argmax()] += _SHARE - int(sizes.sum())
+        return cls(sizes)
 
 
-_AIMS = _aims()
-_CONTEXTS = (1, 16, 256, 256)
+FLAT = Shares(np.ones(_SHARE, dtype=np.uint32))
 
 
 class _Model:
     def __init__(self, lanes: int):
-        self.ids = [np.zeros(lanes * _SLOTS, dtype=np.int32) for _ in range(2)]  # order 2, order 1; id + 1
-        self.sure = [np.zeros(lanes * _SLOTS, dtype=np.int8) for _ in range(2)]
-        self.odds = [np.full(lanes * _LEVELS, 400, dtype=np.int32) for _ in range(2)]
-        self.weights = [[np.full(lanes, w, dtype=np.int32) for w in (40_000, 20_000, 0)] for _ in range(2)]
-        even = np.arange(0, _SHARE, _SHARE // 16, dtype=np.int16)
-        self.shares = [np.tile(even, (lanes * n, 1)) for n in _CONTEXTS]
+        #: by context: 8 times (id + 1) and the confidence of 1 to 7, or 0
+        self.seen = [np.zeros(lanes * _SLOTS, dtype=np.int32) for _ in range(2)]
+        self.odds = [np.full(lanes * _LEVELS, 400, dtype=np.int64) for _ in range(2)]
+        self.weights = [[np.full(lanes, w, dtype=np.int64) for w in (40_000, 20_000)] for _ in range(2)]
 
 
-def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray) -> None:
+def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray, shares: Shares) -> None:
     """Code all lanes; ``sizes`` must not increase. ``ids`` (step x lane) is read when encoding, filled when decoding."""
     model = _Model(len(sizes))
     longest = int(sizes[0]) if len(sizes) else 0
-    alive = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")
+    alive = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right").tolist()
     every = np.arange(len(sizes))
-    last = older = np.zeros(len(sizes), dtype=np.int64)
-    one = np.int32(256)
+    all_slots, all_levels = every * _SLOTS, every * _LEVELS
+    came = older = np.zeros(len(sizes), dtype=np.int64)  # the id before, + 1, and a multiple of the one before it
     for t in range(longest):
-        n = int(alive[t])
-        last, older = last[:n], older[:n]
-        lanes, base, level = slice(0, n), every[:n] * _SLOTS, every[:n] * _LEVELS
-        slots = [base + ((last * 40503 + older * 30029) >> 3 & (_SLOTS - 1)), base + (last * 2531 >> 2 & (_SLOTS - 1))]
-        guess = [model.ids[o].take(slots[o]) for o in range(2)]
-        sure = [model.sure[o].take(slots[o]) for o in range(2)]
-        at = [level + sure[o] for o in range(2)]
+        n = alive[t]
+        lanes, slot, level = slice(0, n), all_slots[:n], all_levels[:n]
+        came, older = came[:n], older[:n]
+        slots = [((came * 40503 + older >> 3) & (_SLOTS - 1)) + slot, ((came * 2531 >> 2) & (_SLOTS - 1)) + slot]
+        older = came * 30029
+        seen = [model.seen[o].take(slots[o]).astype(np.int64) for o in range(2)]
+        sure = [s & 7 for s in seen]
+        guess = [s >> 3 for s in seen]
+        at = [level + s for s in sure]
         chance = [model.odds[o].take(at[o]) for o in range(2)]
         pull = [_STRETCH.take(c) for c in chance]
-        agree = guess[0] == guess[1]
-        known = [guess[0] > 0, (guess[1] > 0) & ~agree]
-        inputs = [(pull[0], pull[1] * agree), (pull[1], pull[0] * known[0])]
+        differ = (guess[0] != guess[1]).astype(np.int64)
+        inputs = [(pull[0], pull[1] - pull[1] * differ), (pull[1], pull[0])]
         p = []
-        for o in range(2):
-            w = model.weights[o]
-            total = (inputs[o][0] * w[0][lanes] >> 4) + (inputs[o][1] * w[1][lanes] >> 4) + (w[2][lanes] << 4)
-            p.append(_SQUASH.take(np.clip((total >> 12) + 2048, 10, 4086)))
-        size0 = np.where(known[0], p[0] * 15, 8)  # at most 61,425: room for the others
-        size1 = np.where(known[1], (65_000 - size0) * p[1].astype(np.int64) >> 12, 8)
+        for (a, b), (v, w) in zip(inputs, model.weights):
+            total = a * v[lanes] + b * w[lanes]
+            p.append(_SQUASH.take((total >> 16) + 2048, mode="clip"))
+        size0 = p[0] * 3840  # at most 15,720,960: room for the others
+        size1 = (16_640_000 - size0 >> 12) * p[1] * differ
         both = size0 + size1
+        rest = _WHOLE - both >> 8
         if coder.decodes:
             target = coder.targets(lanes)
-            which = (target >= size0).view(np.int8) + (target >= both)
-            now = np.where(which == 0, guess[0], guess[1]).astype(np.int64) - 1
+            place = ((target - both).astype(np.uint32) << np.uint32(8) | np.uint32(255)) // rest.astype(np.uint32)
+            now = shares.id_at.take(place, mode="clip")
+            np.copyto(now, guess[1] - 1, where=target < both)
+            np.copyto(now, guess[0] - 1, where=target < size0)
+            ids[t, :n] = now
         else:
             now = ids[t, :n].astype(np.int64)
-            which = np.where(known[0] & (now + 1 == guess[0]), 0, np.where(known[1] & (now + 1 == guess[1]), 1, 2))
-        hits = [which == 0, which == 1]
-        start = np.where(hits[0], 0, np.where(hits[1], size0, both))
-        coder.step(lanes, start, np.where(hits[0], size0, np.where(hits[1], size1, 65536 - both)))
-        rest = np.flatnonzero(which == 2)
-        if len(rest):
-            now[rest] = _literals(coder, model, rest, now[rest])
-        if coder.decodes:
-            ids[t, :n] = now
-        known[1] &= ~hits[0]
+        came = now + 1
+        right = [came == g for g in guess]
+        start = (rest * shares.starts.take(now, mode="clip") >> 8) + both
+        size = (rest * shares.starts.take(came, mode="clip") >> 8) + both - start
+        for hit, first, share in ((right[1], size0, size1), (right[0], 0, size0)):
+            np.copyto(start, first, where=hit)
+            np.copyto(size, share, where=hit)
+        coder.step(lanes, start, size)
+        if t % _CHECKED == 0:
+            for w in (*model.weights[0], *model.weights[1]):
+                np.clip(w, -250_000, 250_000, out=w)
+            if not coder.decodes:
+                coder.make_room()
+        fresh = came << 3 | 1
         for o in range(2):
-            miss = (hits[o] * np.int32(4095) - p[o]) * known[o]
-            w = model.weights[o]
-            w[0][lanes] += inputs[o][0] * miss >> 9
-            w[1][lanes] += inputs[o][1] * miss >> 9
-            w[2][lanes] += one * miss >> 9
-            for part in w:
-                np.clip(part[lanes], -250_000, 250_000, out=part[lanes])
-            came = now + 1
-            right = guess[o] == came
-            model.odds[o][at[o]] = chance[o] + ((right * np.int32(4095) - chance[o] >> 5) * (guess[o] > 0))
-            firm = sure[o] > 2
-            model.ids[o][slots[o]] = np.where(firm, guess[o], came)
-            model.sure[o][slots[o]] = np.where(right, np.minimum(sure[o] + 1, _LEVELS - 1), (sure[o] >> 1) * firm)
-        older, last = last, now
-
-
-def _literals(coder: _Coder, model: _Model, lanes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(lanes), dtype=np.int64)
-    row = np.arange(len(lanes)) * 16
-    for k, table in enumerate(model.shares):
-        context = out if k < 3 else (out ^ (out >> 8) * 37) & 255
-        place = lanes * _CONTEXTS[k] + context
-        starts = table.take(place, axis=0)
-        if coder.decodes:
-            digit = (starts <= (coder.targets(lanes) >> 1).astype(np.int16)[:, None]).sum(axis=1) - 1
-        else:
-            digit = (ids >> (12 - 4 * k)) & 15
-        flat = starts.ravel()
-        low = flat.take(row + digit).astype(np.int64)
-        high = np.where(digit < 15, flat.take(row + np.minimum(digit + 1, 15)).astype(np.int64), _SHARE)
-        coder.step(lanes, low << 1, (high - low) << 1)
-        starts += (_AIMS.take(digit, axis=0) - starts) >> _RATE
-        table[place] = starts
-        out = out << 4 | digit
-    return out
-
-
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of up to 65536 ids of 16 bits as bytes of its own."""
+            full = right[o] * 4095
+            miss = full - p[o]
+            if o:
+                miss *= differ > right[0]
+            for w, x in zip(model.weights[o], inputs[o]):
+                w[lanes] += x * miss >> 9
+            full -= chance[o]
+            full >>= 5
+            full += chance[o]
+            model.odds[o][at[o]] = full
+            entry = seen[o] + _AFTER.take(sure[o] + (right[o] * 8))
+            np.copyto(entry, fresh, where=(sure[o] < 4) > right[o])
+            model.seen[o][slots[o]] = entry
+
+
+def encode(blocks: list[np.ndarray], shares: Shares = FLAT) -> list[bytes]:
+    """Each block of up to 65536 ids of 16 bits as bytes of its own; ``shares`` has a share of each id."""
     sizes = np.array([len(b) for b in blocks], dtype=np.int64)
     order = np.argsort(-sizes, kind="stable")
     ids = np.zeros((int(sizes.max(initial=0)), len(blocks)), dtype=np.uint16)
     for lane, i in enumerate(order):
         ids[: sizes[i], lane] = blocks[i]
-    coder = _Coder(len(blocks), cap=int(sizes.max(initial=0)) + 64)
-    _run(coder, sizes[order], ids)
-    coder.finish()
+    coder = _Coder(len(blocks), cap=int(sizes.max(initial=0)) + 128)
+    _run(coder, sizes[order], ids, shares)
     out: list[bytes] = [b""] * len(blocks)
-    for lane, i in enumerate(order):
-        out[i] = coder.words[lane, : coder.at[lane]].astype("<u2").tobytes()
+    for i, data in zip(order, coder.finish()):
+        out[i] = data
     return out
 
 
-def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+def decode(payloads: list[bytes], sizes: list[int], shares: Shares = FLAT) -> list[np.ndarray]:
     """The blocks' ids again."""
     lengths = np.array(sizes, dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
     at = np.cumsum([0, *(len(p) // 2 for p in payloads)], dtype=np.int64)[:-1]
-    words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u2").astype(np.uint64)
+    words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u2")
     ids = np.zeros((int(lengths.max(initial=0)), len(sizes)), dtype=np.uint16)
-    _run(_Coder(len(sizes), words, at[order]), lengths[order], ids)
+    _run(_Coder(len(sizes), words, at[order]), lengths[order], ids, shares)
     by_lane = np.ascontiguousarray(ids.T)
     out: list[np.ndarray] = [by_lane[:0].ravel()] * len(sizes)
     for lane, i in enumerate(order):

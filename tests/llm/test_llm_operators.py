@@ -525,6 +525,40 @@ def test_range_coder_round_trip():
     assert rangecoder.decode([], []) == []
 
 
+def test_range_coder_takes_one_step_an_id(monkeypatch):
+    r = np.random.default_rng(4)
+    blocks = [(r.zipf(1.2, 500) * 77 % 50_257).astype(np.uint16) for _ in range(64)]
+    steps = []
+    step = rangecoder._Coder.step
+    monkeypatch.setattr(rangecoder._Coder, "step", lambda self, *a: steps.append(1) or step(self, *a))
+    flat = rangecoder.encode(blocks)
+    assert len(steps) == 500
+    shares = rangecoder.Shares.counted(blocks)
+    coded = rangecoder.encode(blocks, shares)
+    for block, got in zip(blocks, rangecoder.decode(coded, [500] * 64, shares)):
+        assert got.tolist() == block.tolist()
+    assert rangecoder.decode([coded[9]], [500], shares)[0].tolist() == blocks[9].tolist()
+    assert sum(map(len, coded)) < 0.8 * sum(map(len, flat))
+    # every id there is, and one alone
+    for ids in (np.arange(1 << 16), np.full(300, 7)):
+        one = [ids.astype(np.uint16)]
+        shares = rangecoder.Shares.counted(one)
+        assert rangecoder.decode(rangecoder.encode(one, shares), [len(ids)], shares)[0].tolist() == ids.tolist()
+
+
+def test_damaged_shares_are_told(tmp_path):
+    path = tmp_path / "shares.ids"
+    with open(path, "wb") as stream:
+        writer = idfiles.Writer(stream)
+        writer.add(1, np.arange(5000, dtype="<u4"))
+        writer.close()
+    whole = bytearray(path.read_bytes())
+    whole[whole.index(b"SHR1") + 20] ^= 1
+    path.write_bytes(whole)
+    with pa.OSFile(str(path)) as file, pytest.raises(ValueError, match="damaged table SHR1"):
+        list(idfiles.documents(file))
+
+
 def test_damage_is_told(tmp_path):
     import io
 
