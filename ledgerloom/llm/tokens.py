@@ -1,26 +1,37 @@
 """Token ids of whole texts by a public tokenizer, as little-endian unsigned 32-bit bytes.
 
-Both vocabularies used here never merge across the start of a word: white space either is dropped
-or opens the following word. So a text's ids are those of its words in a row, and words that have
-been seen are looked up instead of encoded again. Texts for which this does not hold go to the
-tokenizer whole. Strings of special tokens count as ordinary text.
+Both vocabularies used here cut a text into units (letters, digits, marks, white space) that never
+merge with each other. Texts of ASCII and Latin letters are cut the same way here, so their ids are those of
+their units in a row, and units that have been seen are looked up instead of encoded again. In other
+texts this holds for the words that are plain; the rest goes to the tokenizer word by word, since nothing
+merges across the start of a word either: white space is dropped or opens the following word. Texts for
+which that does not hold go to the tokenizer whole. Strings of special tokens count as ordinary text.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import string
-import struct
 from collections.abc import Iterable, Iterator
 
-#: words remembered by one task, about 50 MB; then it starts anew
-REMEMBERED = 100_000
+import numpy as np
+
+#: units remembered by one worker, about 170 bytes each, and characters of them: 16 times as many; then it starts anew
+REMEMBERED = 400_000
+#: characters of the texts that are encoded together, about
+_GROUP = 1 << 18
 #: characters that Python counts as white space and the tokenizers do not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-_MARKS = string.punctuation
-#: letters that stay single letters when lower-cased, with a space before them or not
-_LATIN = re.compile("[ ]?(?:[A-Za-z]+|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01bf]+)")
+#: letters of one code point in every normal form used here, whose lower case is among them
+_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_ODD = re.compile(f"[^\x00-\x1b\x20-\x7f{_L}]")
+_SHORT = "'(?:s|t|re|ve|m|ll|d)"
+#: white space has no ids; digits stand alone
+_DROPPED = re.compile(rf"[{_L}]+|[0-9]|{_SHORT}|[^\s0-9{_L}]+")
+#: a space opens the unit behind it
+_OPENS = re.compile(rf" ?[{_L}]+| ?[0-9]+|{_SHORT}| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+")
+#: a space between white space, or between white space and the end: its run is one unit
+_RUNS = re.compile(r"\s (?=\s|$)|^ (?=\s|$)")
 
 
 def _byte_chars() -> list[str]:
@@ -30,9 +41,9 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in seen else chr(next(others)) for b in range(256)]
 
 
-_BYTE_CHARS = _byte_chars()
-#: a space between white space, or between white space and the end: its run is one unit
-_RUNS = re.compile(r"\s (?=\s|$)|^ (?=\s|$)")
+#: written between units: no unit has the character, and what stands for it is byte 255, which no text has
+_BETWEEN = "\x1c"
+_BYTE_CHARS = dict(enumerate(_byte_chars())) | {ord(_BETWEEN): " \xff "}
 
 
 class WordTokenizer:
@@ -40,46 +51,37 @@ class WordTokenizer:
     the word that follows."""
 
     def __init__(self, path: str, kind: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.merges = self.whole.model.tokenize
+        # the merges alone, for units that are cut and written as byte characters already
+        self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        (self.between,) = self._encode("\xff", self.merges)
         self.opens = kind == "opens"
+        self.cut = (_OPENS if self.opens else _DROPPED).findall
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        coded = (c.ids for c in self.whole.encode_batch_fast(parts, add_special_tokens=False))
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in coded]
-
-    def _letters(self, unit: str) -> bytes:
-        """A space, if any, and letters: one unit of the vocabulary, so its merges alone decide."""
-        if not unit.isascii():
-            unit = "".join(map(_BYTE_CHARS.__getitem__, (unit if self.opens else unit.lower()).encode()))
-        elif self.opens:
-            unit = unit.replace(" ", _BYTE_CHARS[32])
-        else:
-            unit = unit.lower()
-        ids = [t.id for t in self.merges(unit)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode new words. Letters, and the punctuation behind them, are units that never merge."""
-        known, whole = self.known, []
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if not _LATIN.fullmatch(core):
-                whole.append(w)
-                continue
-            tail = w[len(core) :]
-            if core not in known:
-                known[core] = self._letters(core)
-            if tail:
-                if tail not in known:
-                    known[tail] = self._encode([tail])[0]
-                known[w] = known[core] + known[tail]
-        known.update(zip(whole, self._encode(whole)))
+        self.odd: dict[str, bytes] = {}
+        self.chars = 0
+
+    def _encode(self, text: str, coder=None) -> np.ndarray:
+        return np.array((coder or self.whole).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, units: Iterable[str]) -> None:
+        """Encode what is new among the units, in one call."""
+        new = list(dict.fromkeys(u for u in units if u not in self.known))
+        if not new:
+            return
+        self.chars += sum(map(len, new))
+        ids = self._encode(_BETWEEN.join(new).encode().decode("latin-1").translate(_BYTE_CHARS), self.merges)
+        cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
+        data = ids.tobytes()
+        self.known.update(zip(new, [data[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(data)])]))
+
+    def _units(self, text: str) -> list[str]:
+        return self.cut(text if self.opens else text.lower())
 
     def _parts(self, text: str) -> list[str] | None:
         if _ODD_SPACE.search(text):
@@ -91,6 +93,22 @@ class WordTokenizer:
         first, *rest = text.split(" ")
         return [*([first] if first else []), *[" " + w for w in rest]]
 
+    def _mixed(self, text: str) -> bytes:
+        """A text that is not plain: its plain words unit by unit, the others as they are."""
+        parts = self._parts(text)
+        if parts is None:
+            return self._encode(text).tobytes()
+        plain = {}
+        for part in set(parts):
+            if not _ODD.search(part):
+                plain[part] = self._units(part)
+            elif part not in self.odd:
+                self.odd[part] = self._encode(part).tobytes()
+                self.chars += 10 * len(part)
+        self._learn([u for units in plain.values() for u in units])
+        known = self.known.__getitem__
+        return b"".join(b"".join(map(known, plain[p])) if p in plain else self.odd[p] for p in parts)
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text; a null text has none. Texts are taken in small groups."""
         group: list[str] = []
@@ -98,21 +116,21 @@ class WordTokenizer:
         for text in texts:
             group.append(text or "")
             size += len(group[-1])
-            if size > 1 << 20:
+            if size > _GROUP:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.chars > 16 * REMEMBERED:
             self.known.clear()
-        split = [self._parts(t) for t in texts]
-        new = {w for words in split if words for w in words}.difference(self.known)
-        if new:
-            self._learn(new)
+            self.odd.clear()
+            self.chars = 0
+        cut = [None if _ODD.search(t) else self._units(t) for t in texts]
+        self._learn([u for units in cut if units for u in units])
         known = self.known.__getitem__
-        for text, words in zip(texts, split):
-            yield self._encode([text])[0] if words is None else b"".join(map(known, words))
+        for text, units in zip(texts, cut):
+            yield self._mixed(text) if units is None else b"".join(map(known, units))
 
 
 _loaded: dict[tuple[str, str], WordTokenizer] = {}

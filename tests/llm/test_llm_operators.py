@@ -456,6 +456,28 @@ def test_word_lookup_gives_the_tokenizers_ids(name, kind):
         assert np.frombuffer(got, "<u4").tolist() == encoded(path, text), repr(text)
 
 
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "dropped"), ("byte_bpe_50k.json", "opens")])
+def test_units_of_plain_texts(name, kind):
+    path, r = vocabulary(name), random.Random(2)
+    bits = [chr(i) for i in range(0x180) if not 0x80 <= i < 0xC0] + [" ", "  ", "\n", "'", "'ll", "'RE", "\x0b", "a", "ß", "7"] * 9
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(1500)]
+    for text, got in zip(texts, tokens.WordTokenizer(path, kind).encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == encoded(path, text), repr(text)
+    # a word is learned once, whatever marks and lines stand around it
+    coder = tokens.WordTokenizer(path, kind)
+    list(coder.encode([" ".join(f"house{a}{b}" for a in ".,;:!?)" for b in ".,;:!?)")]))
+    assert sum("house" in unit for unit in coder.known) <= 2
+
+
+def test_remembered_units_are_bounded_by_their_characters(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    coder = tokens.WordTokenizer(vocabulary("byte_bpe_50k.json"), "opens")
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choices("abcdefgh", k=3000)) for _ in range(100)) for _ in range(8)]
+    assert [len(ids) > 0 for ids in coder.encode(texts)] == [True] * 8
+    assert sum(map(len, coder.known)) < 2 * len(texts[0])
+
+
 def check_packing(rows, out, capacity, path):
     by_doc = collections.Counter()
     fill = collections.defaultdict(list)
