@@ -3,7 +3,7 @@
 A file is a row of blocks of up to ``rangecoder.BLOCK`` ids each, coded independently of each
 other and with checksums of their own, a table of the file's documents, and a trailer:
 
-* ``LLIDS002``
+* ``LLIDS003``
 * per block ``BLK1``, number of ids, bytes, CRC-32 of the bytes, CRC-32 of the ids (little-endian
   unsigned 32-bit), then the bytes; a block with an id above 65,535 is marked ``BLK2``, and its bytes are
   the number of bytes that code the lower 16 bits of its ids, those, and those of the upper 16 bits
@@ -11,7 +11,7 @@ other and with checksums of their own, a table of the file's documents, and a tr
   halves of ids is dealt a share in these blocks, and the same of the upper halves if a block is marked ``BLK2``
 * ``DOCS``, bytes and CRC-32, then deflated: number of documents, and for each whether its id is
   not null, its id, and its number of ids
-* offset of ``DOCS`` and ``LLIDS002``
+* offset of ``DOCS`` and ``LLIDS003``
 
 A damaged block is told by its checksums and costs only its own ids, damaged shares those of their group. Documents are dealt to files by
 ranges of their ids; a table lists the files in order. Tasks choose new names, and a file of a
@@ -39,7 +39,7 @@ from ledgerloom.llm import rangecoder
 from ledgerloom.llm.store import keep, new_folder, open_folder
 from ledgerloom.llm.tokens import tokenizer
 
-MAGIC = b"LLIDS002"
+MAGIC = b"LLIDS003"
 #: blocks coded side by side; bounds a task's memory
 GROUP = 2048
 _HEAD = struct.Struct("<4sIIII")

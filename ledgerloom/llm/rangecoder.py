@@ -8,12 +8,14 @@ every machine decodes what another has written.
 Per id, with the two ids before it as contexts:
 
 * order 2 and order 1 each predict one id, the last that followed their context, with a
-  confidence; adaptive probabilities per confidence are mixed in the logistic domain by weights
-  that are learned per block,
+  confidence and adaptive probabilities per confidence. The id of order 2 has what these give when mixed in the
+  logistic domain by weights that are learned per block (order 1 joins in if it predicts the same), the id of
+  order 1, if another, its own probability of the remainder,
 * what these leave of the range is dealt by order-0 shares: those given for all blocks, or else the same for every id.
 
-An id takes one step of the coder, whichever of the three it comes from. The range coder has a
-64-bit low and range and moves 16 bits at a time; a step divides the range by 2**24.
+An id takes one step of the coder, whichever of the three it comes from. A step divides the range, of up to 62
+bits, by 2**24; 32 bits are moved when 30 are left, once a step at most. ``low`` has a bit more for a carry, which
+is added to the words before when all are written.
 """
 
 from __future__ import annotations
@@ -22,21 +24,23 @@ import numpy as np
 
 #: ids in a block
 BLOCK = 2048
-_SLOTS = 1024
+_SLOT_BITS = 8
+_SLOTS = 1 << _SLOT_BITS
 _LEVELS = 8
 #: order-0 shares are of 65536, those of a step of 2**24
 _SHARE = 1 << 16
 _WHOLE = 1 << 24
-_TOP = np.uint64(48)
-_ONE = np.uint64(1)
-_LOW16 = np.uint64(0xFFFF)
-_SMALL = np.uint64(1 << 40)
-#: steps between two looks at the weights' bounds and the coder's room
-_CHECKED = 8
+#: bits of ``low`` and of the range: a word's, and those below it
+_WORD, _LEFT = np.uint64(32), np.uint64(30)
+_LOW32, _BELOW = np.uint64((1 << 32) - 1), np.uint64((1 << 30) - 1)
+_SMALL = np.uint64(1 << 30)
+_RANGE = (1 << 62) - 1
+#: odds and weights learn from that many ids at a block's start, and from every fourth one of the rest
+_EAGER = 128
 
 
 def _logistic() -> tuple[np.ndarray, np.ndarray]:
-    """Tables of squash (from -2047..2047 to 0..4095) and its inverse, by whole numbers alone."""
+    """Tables of squash (from -32768..32767, negative ones at the end, to 0..4095) and its inverse, by whole numbers alone."""
     # fixed values: 4096 / (1 + exp(-x / 256)) for x = -2048, -1920 ... 2048, rounded, at most 4095
     knots = [1, 2, 4, 6, 10, 17, 27, 45, 74, 120, 194, 311, 488, 747, 1102, 1546, 2048, 2550, 2994, 3349, 3608, 3785,
              3902, 3976, 4022, 4051, 4069, 4079, 4086, 4090, 4092, 4094, 4095]
@@ -45,78 +49,74 @@ def _logistic() -> tuple[np.ndarray, np.ndarray]:
     high = np.array([*knots, knots[-1]], dtype=np.int64)[(x >> 7) + 1]
     squash = ((low * (128 - part) + high * part + 64) >> 7).astype(np.int32)
     stretch = (np.searchsorted(squash, np.arange(4096)).clip(0, 4095) - 2048).astype(np.int32)
-    return squash.astype(np.int64), stretch.astype(np.int64)
+    sums = np.arange(1 << 16).astype(np.uint16).view(np.int16).astype(np.int64)
+    return squash[(sums + 2048).clip(0, 4095)], stretch
 
 
 _SQUASH, _STRETCH = _logistic()
-#: what a context's entry becomes by its confidence: a prediction that came true is surer, a sure one that failed less so
-_MISSED = np.array([0, 0, 0, 0, -2, -3, -3, -4], dtype=np.int64)
-_CAME = np.array([1, 1, 1, 1, 1, 1, 1, 0], dtype=np.int64)
-_AFTER = np.concatenate([_MISSED, _CAME])
+#: hashes of contexts by order 2 and 1: their upper bits
+_HASHES = np.array([[2_654_435_769], [2_246_822_519]], dtype=np.uint32)
+_HASH_BEFORE = np.uint32(3_266_489_917)
 
 
 class _Coder:
     """Encoder of one stream per lane, or the decoder of such streams."""
 
-    def __init__(self, lanes: int, words: np.ndarray | None = None, at: np.ndarray | None = None, cap: int = 0):
-        self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
+    def __init__(self, lanes: int, words: np.ndarray | None = None, at: np.ndarray | None = None):
+        self.range = np.full(lanes, _RANGE, dtype=np.uint64)
         self.decodes = words is not None
-        if self.decodes:
-            self.words, self.at, self.stride = words, at.copy(), 1
-            self.code = np.zeros(lanes, dtype=np.uint64)
-            for _ in range(4):
-                self.code = (self.code << np.uint64(16)) | self.words[self.at]
-                self.at += 1
-        else:  # the first words of all lanes, then the second ones, and so on
-            self.words, self.at, self.stride = np.zeros(lanes * cap, dtype=np.uint16), np.arange(lanes), lanes
+        if self.decodes:  # every 32 bits that follow the first 62, 94 ... of a stream
+            self.code = words[at].astype(np.uint64) << _LEFT | words[at + 1] >> np.uint32(2)
+            self.words = words[:-1] << np.uint32(30) | words[1:] >> np.uint32(2)
+            self.at = at + 1
+        else:
+            self.low = np.zeros(lanes, dtype=np.uint64)
+            #: lanes, and the word that each of them gets, with the carry above it
+            self.moved: list[tuple[np.ndarray, np.ndarray]] = []
 
     def targets(self, lanes: slice) -> np.ndarray:
         """Where in 0..2**24 - 1 the next id of each lane lies."""
-        width = self.range[lanes] >> np.uint64(24)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // width, np.uint64(_WHOLE - 1)).view(np.int64)
-
-    def make_room(self) -> None:
-        """For 64 more words in every lane; a step writes no more than 6."""
-        if self.at.max(initial=0) + 64 * self.stride >= len(self.words):
-            self.words = np.concatenate([self.words, np.zeros(len(self.words) + 64 * self.stride, dtype=np.uint16)])
+        return (self.code[lanes] // (self.range[lanes] >> np.uint64(24))).astype(np.int32)
 
     def step(self, lanes: slice, start: np.ndarray, size: np.ndarray) -> None:
         """Narrow each lane to ``start .. start + size`` of 2**24. ``lanes``: the first ones."""
-        width = self.range[lanes] >> np.uint64(24)
-        low = self.low[lanes]
-        low += width * start.view(np.uint64)
-        span = np.multiply(width, size.view(np.uint64), out=self.range[lanes])
-        self._shift(np.flatnonzero(span < _SMALL), low, span)
-
-    def _shift(self, need: np.ndarray, low: np.ndarray, span: np.ndarray) -> None:
-        """Move words out (or in) until every range is large enough again."""
-        while len(need):
-            l, s = low[need], span[need]
-            cut = ((l ^ (l + s)) >> _TOP).view(np.int64)
-            if cut.any():  # the range lies on both sides of a boundary: give up the part beyond it
-                s = np.where(cut, (~l + _ONE) & (_SMALL - _ONE), s)
-            at = self.at[need]
-            if self.decodes:
-                self.code[need] = (self.code[need] << np.uint64(16)) | self.words.take(at, mode="clip")
-            else:
-                self.words[at] = l >> _TOP
-            at += self.stride
+        span = self.range[lanes]
+        span >>= np.uint64(24)
+        if self.decodes:
+            self.code[lanes] -= span * start.astype(np.uint64)
+        else:
+            self.low[lanes] += span * start.astype(np.uint64)
+        span *= size.astype(np.uint64)
+        need = (span < _SMALL).nonzero()[0]
+        span[need] = span.take(need) << _WORD
+        if self.decodes:
+            at = self.at.take(need)
+            self.code[need] = self.code.take(need) << _WORD | self.words.take(at, mode="clip")
+            at += 1
             self.at[need] = at
-            s <<= np.uint64(16)
-            l <<= np.uint64(16)
-            low[need] = l
-            span[need] = s
-            need = need[s < _SMALL]
+        else:
+            low = self.low.take(need)
+            self.moved.append((need.astype(np.int32), low >> _LEFT))
+            low &= _BELOW
+            low <<= _WORD
+            self.low[need] = low
 
     def finish(self) -> list[bytes]:
         """The words of each lane, with those of ``low`` as they are: a value within the lane's range."""
-        self.make_room()
-        for k in (48, 32, 16, 0):
-            self.words[self.at] = ((self.low >> np.uint64(k)) & _LOW16).astype(np.uint16)
-            self.at += self.stride
-        by_lane = self.words.reshape(-1, max(1, self.stride)).T
-        return [line[:n].astype("<u2").tobytes() for line, n in zip(by_lane, (self.at // max(1, self.stride)).tolist())]
+        every = np.arange(len(self.low), dtype=np.int32)
+        self.moved += [(every, self.low >> _LEFT), (every, (self.low & _BELOW) << np.uint64(2))]
+        lanes, words = (np.concatenate(column) for column in zip(*self.moved))
+        self.moved.clear()
+        words = words[np.argsort(lanes, kind="stable")]
+        carried = (words >> _WORD).nonzero()[0]
+        words &= _LOW32
+        while len(carried):  # never from a lane's first word
+            words[carried - 1] += np.uint64(1)
+            carried = carried[words[carried - 1] > _LOW32] - 1
+            words[carried] = 0
+        ends = np.cumsum(np.bincount(lanes, minlength=len(every))).tolist()
+        data = words.astype("<u4").tobytes()
+        return [data[4 * i : 4 * j] for i, j in zip([0, *ends], ends)]
 
 
 class Shares:
@@ -126,9 +126,9 @@ class Shares:
         if len(sizes) != _SHARE or int(sizes.sum()) != _SHARE:
             raise ValueError("shares do not add up")
         self.sizes = sizes.astype(np.uint32)
-        self.starts = np.zeros(_SHARE + 1, dtype=np.int64)
-        np.cumsum(self.sizes, out=self.starts[1:])
-        self.id_at = np.repeat(np.arange(_SHARE, dtype=np.int64), self.sizes)
+        self.widths = self.sizes.astype(np.int32)
+        self.starts = np.cumsum(self.widths, dtype=np.int32) - self.widths
+        self.id_at = np.repeat(np.arange(_SHARE, dtype=np.int32), self.sizes)
 
     @classmethod
     def counted(cls, blocks: list[np.ndarray]) -> Shares:
@@ -148,11 +148,13 @@ FLAT = Shares(np.ones(_SHARE, dtype=np.uint32))
 
 
 class _Model:
+    """Of order 2 and order 1, in the rows of each array."""
+
     def __init__(self, lanes: int):
-        #: by context: 8 times (id + 1) and the confidence of 1 to 7, or 0
-        self.seen = [np.zeros(lanes * _SLOTS, dtype=np.int32) for _ in range(2)]
-        self.odds = [np.full(lanes * _LEVELS, 400, dtype=np.int64) for _ in range(2)]
-        self.weights = [[np.full(lanes, w, dtype=np.int64) for w in (40_000, 20_000)] for _ in range(2)]
+        #: by context: 8 times (id + 1) and how often in a row it followed, 1 to 7, or 0
+        self.seen = np.zeros(2 * lanes * _SLOTS, dtype=np.int32)
+        self.odds = np.full(2 * lanes * _LEVELS, 400, dtype=np.int32)
+        self.weights = np.repeat(np.array([[40_000], [20_000]], dtype=np.int32), lanes, axis=1)
 
 
 def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray, shares: Shares) -> None:
@@ -160,68 +162,68 @@ def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray, shares: Shares) -> N
     model = _Model(len(sizes))
     longest = int(sizes[0]) if len(sizes) else 0
     alive = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right").tolist()
-    every = np.arange(len(sizes))
-    all_slots, all_levels = every * _SLOTS, every * _LEVELS
-    came = older = np.zeros(len(sizes), dtype=np.int64)  # the id before, + 1, and a multiple of the one before it
+    every = np.arange(2 * len(sizes)).reshape(2, -1)
+    came, before = np.zeros((2, len(sizes)), dtype=np.uint32)  # the id before, + 1, and a hash of the one before it
+    n = -1
     for t in range(longest):
-        n = alive[t]
-        lanes, slot, level = slice(0, n), all_slots[:n], all_levels[:n]
-        came, older = came[:n], older[:n]
-        slots = [((came * 40503 + older >> 3) & (_SLOTS - 1)) + slot, ((came * 2531 >> 2) & (_SLOTS - 1)) + slot]
-        older = came * 30029
-        seen = [model.seen[o].take(slots[o]).astype(np.int64) for o in range(2)]
-        sure = [s & 7 for s in seen]
-        guess = [s >> 3 for s in seen]
-        at = [level + s for s in sure]
-        chance = [model.odds[o].take(at[o]) for o in range(2)]
-        pull = [_STRETCH.take(c) for c in chance]
-        differ = (guess[0] != guess[1]).astype(np.int64)
-        inputs = [(pull[0], pull[1] - pull[1] * differ), (pull[1], pull[0])]
-        p = []
-        for (a, b), (v, w) in zip(inputs, model.weights):
-            total = a * v[lanes] + b * w[lanes]
-            p.append(_SQUASH.take((total >> 16) + 2048, mode="clip"))
-        size0 = p[0] * 3840  # at most 15,720,960: room for the others
-        size1 = (16_640_000 - size0 >> 12) * p[1] * differ
+        if n != alive[t]:
+            n = alive[t]
+            lanes, slot, level, came, before = slice(0, n), every[:, :n] * _SLOTS, every[:, :n] * _LEVELS, came[:n], before[:n]
+            weights = model.weights[:, :n]
+        hashes = _HASHES * came
+        hashes[0] += before
+        before = came * _HASH_BEFORE
+        hashes >>= np.uint32(32 - _SLOT_BITS)
+        slots = slot + hashes
+        seen = model.seen.take(slots)
+        guess = seen >> 3
+        same = (guess[0] == guess[1]).astype(np.int32)
+        at = level + (seen & 7)
+        chance = model.odds.take(at)
+        pull = _STRETCH.take(chance)
+        pull[1] *= same
+        total = pull * weights
+        p = _SQUASH.take(total[0] + total[1] >> 16)
+        size0 = p * 3840  # at most 15,724,800: room for the others
+        size1 = (16_640_000 - size0 >> 12) * ((chance[1] | 1) & same - 1)
         both = size0 + size1
-        rest = _WHOLE - both >> 8
+        rest = _WHOLE - both >> 16
         if coder.decodes:
             target = coder.targets(lanes)
-            place = ((target - both).astype(np.uint32) << np.uint32(8) | np.uint32(255)) // rest.astype(np.uint32)
-            now = shares.id_at.take(place, mode="clip")
-            np.copyto(now, guess[1] - 1, where=target < both)
-            np.copyto(now, guess[0] - 1, where=target < size0)
+            now = shares.id_at.take((target - both) // rest, mode="clip")
+            told = (target < both).nonzero()[0]
+            now[told] = np.where(target.take(told) < size0.take(told), guess[0].take(told), guess[1].take(told)) - 1
             ids[t, :n] = now
         else:
-            now = ids[t, :n].astype(np.int64)
-        came = now + 1
-        right = [came == g for g in guess]
-        start = (rest * shares.starts.take(now, mode="clip") >> 8) + both
-        size = (rest * shares.starts.take(came, mode="clip") >> 8) + both - start
-        for hit, first, share in ((right[1], size0, size1), (right[0], 0, size0)):
-            np.copyto(start, first, where=hit)
-            np.copyto(size, share, where=hit)
+            now = ids[t, :n].astype(np.int32)
+        start = shares.starts.take(now, mode="clip")
+        start *= rest
+        start += both
+        size = shares.widths.take(now, mode="clip")
+        size *= rest
+        now += 1
+        came = now.view(np.uint32)
+        right = guess == now
+        told = (right[0] | right[1]).nonzero()[0]
+        first, share = right[0].take(told), size0.take(told)
+        start[told] = np.where(first, 0, share)
+        size[told] = np.where(first, share, size1.take(told))
         coder.step(lanes, start, size)
-        if t % _CHECKED == 0:
-            for w in (*model.weights[0], *model.weights[1]):
-                np.clip(w, -250_000, 250_000, out=w)
-            if not coder.decodes:
-                coder.make_room()
-        fresh = came << 3 | 1
-        for o in range(2):
-            full = right[o] * 4095
-            miss = full - p[o]
-            if o:
-                miss *= differ > right[0]
-            for w, x in zip(model.weights[o], inputs[o]):
-                w[lanes] += x * miss >> 9
-            full -= chance[o]
+        if t < _EAGER or t & 3 == 0:
+            full = right * np.int32(4095)
+            pull *= full[0] - p
+            pull >>= 8
+            weights += pull
+            np.clip(weights, -250_000, 250_000, out=weights)
+            full -= chance
             full >>= 5
-            full += chance[o]
-            model.odds[o][at[o]] = full
-            entry = seen[o] + _AFTER.take(sure[o] + (right[o] * 8))
-            np.copyto(entry, fresh, where=(sure[o] < 4) > right[o])
-            model.seen[o][slots[o]] = entry
+            full += chance
+            model.odds[at] = full
+        model.seen[slots] = now << 3 | 1
+        again = right.ravel().nonzero()[0]
+        entry = seen.ravel().take(again)
+        entry += entry & 7 < 7
+        model.seen[slots.ravel().take(again)] = entry
 
 
 def encode(blocks: list[np.ndarray], shares: Shares = FLAT) -> list[bytes]:
@@ -231,7 +233,7 @@ def encode(blocks: list[np.ndarray], shares: Shares = FLAT) -> list[bytes]:
     ids = np.zeros((int(sizes.max(initial=0)), len(blocks)), dtype=np.uint16)
     for lane, i in enumerate(order):
         ids[: sizes[i], lane] = blocks[i]
-    coder = _Coder(len(blocks), cap=int(sizes.max(initial=0)) + 128)
+    coder = _Coder(len(blocks))
     _run(coder, sizes[order], ids, shares)
     out: list[bytes] = [b""] * len(blocks)
     for i, data in zip(order, coder.finish()):
@@ -243,8 +245,8 @@ def decode(payloads: list[bytes], sizes: list[int], shares: Shares = FLAT) -> li
     """The blocks' ids again."""
     lengths = np.array(sizes, dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
-    at = np.cumsum([0, *(len(p) // 2 for p in payloads)], dtype=np.int64)[:-1]
-    words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u2")
+    at = np.cumsum([0, *(len(p) // 4 for p in payloads)], dtype=np.int64)[:-1]
+    words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u4").astype(np.uint32)
     ids = np.zeros((int(lengths.max(initial=0)), len(sizes)), dtype=np.uint16)
     _run(_Coder(len(sizes), words, at[order]), lengths[order], ids, shares)
     by_lane = np.ascontiguousarray(ids.T)

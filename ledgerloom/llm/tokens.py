@@ -16,10 +16,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: units remembered by one worker, about 170 bytes each, and characters of them: 16 times as many; then it starts anew
+#: units remembered by one worker, about 170 bytes each, and characters of them: 16 times as many; then it starts anew,
+#: with those of before at hand for units that come again
 REMEMBERED = 400_000
 #: characters of the texts that are encoded together, about
-_GROUP = 1 << 18
+_GROUP = 1 << 16
 #: characters that Python counts as white space and the tokenizers do not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: letters of one code point in every normal form used here, whose lower case is among them
@@ -41,9 +42,9 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in seen else chr(next(others)) for b in range(256)]
 
 
-#: written between units: no unit has the character, and what stands for it is byte 255, which no text has
+#: written between units, as no unit has the character; it becomes the space that the units are split at
 _BETWEEN = "\x1c"
-_BYTE_CHARS = dict(enumerate(_byte_chars())) | {ord(_BETWEEN): " \xff "}
+_BYTE_CHARS = dict(enumerate(_byte_chars())) | {ord(_BETWEEN): " "}
 
 
 class WordTokenizer:
@@ -59,26 +60,45 @@ class WordTokenizer:
         # the merges alone, for units that are cut and written as byte characters already
         self.merges = Tokenizer(self.whole.model)
         self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
-        (self.between,) = self._encode("\xff", self.merges)
+        # bytes that each id stands for
+        end = self.whole.model.end_of_word_suffix or ""
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token.removesuffix(end))
         self.opens = kind == "opens"
         self.cut = (_OPENS if self.opens else _DROPPED).findall
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
         self.chars = 0
 
     def _encode(self, text: str, coder=None) -> np.ndarray:
         return np.array((coder or self.whole).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, units: Iterable[str]) -> None:
+    def _learn(self, units: set[str]) -> None:
         """Encode what is new among the units, in one call."""
-        new = list(dict.fromkeys(u for u in units if u not in self.known))
-        if not new:
-            return
+        new = list(units.difference(self.known))
         self.chars += sum(map(len, new))
-        ids = self._encode(_BETWEEN.join(new).encode().decode("latin-1").translate(_BYTE_CHARS), self.merges)
-        cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
-        data = ids.tobytes()
-        self.known.update(zip(new, [data[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(data)])]))
+        if self.before:
+            found = list(map(self.before.get, new))
+            self.known.update((u, ids) for u, ids in zip(new, found) if ids is not None)
+            new = [u for u, ids in zip(new, found) if ids is None]
+        if new:
+            self.known.update(zip(new, self._merged(new)))
+
+    def _merged(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit; told apart by the bytes they stand for."""
+        text = _BETWEEN.join(units).encode()
+        ids = self._encode(text.decode("latin-1").translate(_BYTE_CHARS), self.merges)
+        between = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == ord(_BETWEEN))
+        ends = np.append(between, len(text)) - np.arange(len(units))
+        reached = np.cumsum(self.lengths[ids])
+        cuts = np.searchsorted(reached, ends) + 1
+        if reached[-1] != ends[-1] or not np.array_equal(reached[cuts - 1], ends):  # an id that stands for other bytes than it says
+            return [self._encode(u.encode().decode("latin-1").translate(_BYTE_CHARS), self.merges).tobytes() for u in units]
+        data, at = ids.tobytes(), (4 * cuts).tolist()
+        return [data[i:j] for i, j in zip([0, *at], at)]
 
     def _units(self, text: str) -> list[str]:
         return self.cut(text if self.opens else text.lower())
@@ -105,7 +125,7 @@ class WordTokenizer:
             elif part not in self.odd:
                 self.odd[part] = self._encode(part).tobytes()
                 self.chars += 10 * len(part)
-        self._learn([u for units in plain.values() for u in units])
+        self._learn(set().union(*plain.values()))
         known = self.known.__getitem__
         return b"".join(b"".join(map(known, plain[p])) if p in plain else self.odd[p] for p in parts)
 
@@ -123,14 +143,17 @@ class WordTokenizer:
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED or self.chars > 16 * REMEMBERED:
-            self.known.clear()
+            self.before, self.known = self.known, {}
             self.odd.clear()
             self.chars = 0
         cut = [None if _ODD.search(t) else self._units(t) for t in texts]
-        self._learn([u for units in cut if units for u in units])
-        known = self.known.__getitem__
-        for text, units in zip(texts, cut):
-            yield self._mixed(text) if units is None else b"".join(map(known, units))
+        found = [list(map(self.known.get, units or ())) for units in cut]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
+        self._learn({units[i] for units, row in zip(cut, gaps) for i in row})
+        for text, units, row, missing in zip(texts, cut, found, gaps):
+            for i in missing:
+                row[i] = self.known[units[i]]
+            yield self._mixed(text) if units is None else b"".join(row)
 
 
 _loaded: dict[tuple[str, str], WordTokenizer] = {}

@@ -478,6 +478,26 @@ def test_remembered_units_are_bounded_by_their_characters(monkeypatch):
     assert sum(map(len, coder.known)) < 2 * len(texts[0])
 
 
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "dropped"), ("byte_bpe_50k.json", "opens")])
+def test_units_that_come_again_are_not_merged_again(name, kind, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    path, r = vocabulary(name), random.Random(5)
+    coder = tokens.WordTokenizer(path, kind)
+    merged, merge = [], coder._merged
+    monkeypatch.setattr(coder, "_merged", lambda units: merged.extend(units) or merge(units))
+    texts = ["often told </w> " + " ".join("".join(r.choices("abcdeé", k=9)) for _ in range(30)) for _ in range(20)]
+    for text in texts:  # more new units than are remembered, between texts too
+        (got,) = coder.encode([text])
+        assert np.frombuffer(got, "<u4").tolist() == encoded(path, text)
+    assert len(merged) > 10 * 40 and sum("often" in unit for unit in merged) == 1
+    assert len(coder.known) + len(coder.before) < 4 * 40
+    # ids that cannot be told apart by their bytes: unit by unit
+    units = ["often", "told", "thing"]
+    whole = merge(units)
+    coder.lengths += 1
+    assert merge(units) == whole
+
+
 def check_packing(rows, out, capacity, path):
     by_doc = collections.Counter()
     fill = collections.defaultdict(list)
@@ -568,6 +588,26 @@ def test_range_coder_takes_one_step_an_id(monkeypatch):
         assert rangecoder.decode(rangecoder.encode(one, shares), [len(ids)], shares)[0].tolist() == ids.tolist()
 
 
+def test_range_coder_moves_a_word_of_32_bits_a_step():
+    """Words take 32 bits, carries go through words of ones, and few array calls are made for an id."""
+    coder = rangecoder._Coder(3)
+    ones = np.uint64((1 << 32) - 1)
+    for words in ([7, 5, 9], [ones, ones, 3], [ones, ones, 3], [1 << 32, 4, 1 << 32 | 8]):
+        coder.moved.append((np.arange(3, dtype=np.int32), np.array(words, dtype=np.uint64)))
+    got = [np.frombuffer(line, dtype="<u4").tolist() for line in coder.finish()]
+    assert got == [[8, 0, 0, 0, 0, 0], [5, ones, ones, 4, 0, 0], [9, 3, 4, 8, 0, 0]]
+    r = np.random.default_rng(11)
+    # rare ids after sure ones have the narrowest shares: steps that leave the fewest bits
+    blocks = [np.where(r.random(2048) < 0.02, r.integers(0, 1 << 16, 2048), 5).astype(np.uint16) for _ in range(40)]
+    for shares in (rangecoder.FLAT, rangecoder.Shares.counted(blocks)):
+        coded = rangecoder.encode(blocks, shares)
+        assert all(len(data) % 4 == 0 for data in coded)
+        for block, got in zip(blocks, rangecoder.decode(coded, [2048] * 40, shares)):
+            assert got.tolist() == block.tolist()
+    model = rangecoder._Model(2048)
+    assert model.seen.nbytes <= 4 << 20  # near the processor, whichever blocks it is for
+
+
 def test_damaged_shares_are_told(tmp_path):
     path = tmp_path / "shares.ids"
     with open(path, "wb") as stream:
