@@ -134,8 +134,8 @@ class Shares:
     def counted(cls, blocks: list[np.ndarray]) -> Shares:
         """By how often ids are in the blocks; each that is there has a share."""
         counts = np.zeros(_SHARE, dtype=np.int64)
-        for block in blocks:
-            counts += np.bincount(block, minlength=_SHARE)
+        for i in range(0, len(blocks), 128):
+            counts += np.bincount(np.concatenate(blocks[i : i + 128]), minlength=_SHARE)
         if not counts.any():
             return FLAT
         there = counts > 0
@@ -174,11 +174,14 @@ def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray, shares: Shares) -> N
         hashes[0] += before
         before = came * _HASH_BEFORE
         hashes >>= np.uint32(32 - _SLOT_BITS)
-        slots = slot + hashes
+        slots = hashes.astype(np.int64)
+        slots += slot
         seen = model.seen.take(slots)
         guess = seen >> 3
         same = (guess[0] == guess[1]).astype(np.int32)
-        at = level + (seen & 7)
+        sure = seen & 7
+        at = sure.astype(np.int64)
+        at += level
         chance = model.odds.take(at)
         pull = _STRETCH.take(chance)
         pull[1] *= same
@@ -218,19 +221,23 @@ def _run(coder: _Coder, sizes: np.ndarray, ids: np.ndarray, shares: Shares) -> N
             full -= chance
             full >>= 5
             full += chance
-            model.odds[at] = full
-        model.seen[slots] = now << 3 | 1
-        again = right.ravel().nonzero()[0]
-        entry = seen.ravel().take(again)
-        entry += entry & 7 < 7
-        model.seen[slots.ravel().take(again)] = entry
+            model.odds[at.ravel()] = full.ravel()
+        sure *= right
+        sure += sure < 7
+        sure += now << 3
+        model.seen[slots.ravel()] = sure.ravel()
+
+
+def _by_step(sizes: np.ndarray) -> np.ndarray:
+    """Room for all lanes' ids, step by step; a step's rows do not begin at the same place of the processor's cache."""
+    return np.zeros((int(sizes.max(initial=0)), len(sizes) + 40), dtype=np.uint16)[:, : len(sizes)]
 
 
 def encode(blocks: list[np.ndarray], shares: Shares = FLAT) -> list[bytes]:
     """Each block of up to 65536 ids of 16 bits as bytes of its own; ``shares`` has a share of each id."""
     sizes = np.array([len(b) for b in blocks], dtype=np.int64)
     order = np.argsort(-sizes, kind="stable")
-    ids = np.zeros((int(sizes.max(initial=0)), len(blocks)), dtype=np.uint16)
+    ids = _by_step(sizes)
     for lane, i in enumerate(order):
         ids[: sizes[i], lane] = blocks[i]
     coder = _Coder(len(blocks))
@@ -247,7 +254,7 @@ def decode(payloads: list[bytes], sizes: list[int], shares: Shares = FLAT) -> li
     order = np.argsort(-lengths, kind="stable")
     at = np.cumsum([0, *(len(p) // 4 for p in payloads)], dtype=np.int64)[:-1]
     words = np.frombuffer(b"".join(payloads) + bytes(16), dtype="<u4").astype(np.uint32)
-    ids = np.zeros((int(lengths.max(initial=0)), len(sizes)), dtype=np.uint16)
+    ids = _by_step(lengths)
     _run(_Coder(len(sizes), words, at[order]), lengths[order], ids, shares)
     by_lane = np.ascontiguousarray(ids.T)
     out: list[np.ndarray] = [by_lane[:0].ravel()] * len(sizes)
