@@ -207,17 +207,29 @@ def prices_step(t: Counted, cfg: Price) -> None:
 
 
 def ratings_step(t: Counted, cfg: Ratings, by: Sequence[str]) -> None:
+    """Ratings on the scale, unreadable ones by a statistic of those that were read."""
+    parse_ratings(t, cfg)
+    t.df = fill_ratings(t.df, cfg, by)
+
+
+def parse_ratings(t: Counted, cfg: Ratings) -> None:
     f = cfg.column
     if not f or f not in t.df.columns:
         return
     parsed = parsing.within_scale(t.let(parsing.rating_value(t.let(parsing.plain_text(F.col(f))))))
     t.change({f: parsed}, ("ratings", f, "changed", parsed.isNotNull()), ("ratings", f, "imputed", F.col(f).isNull()))
+
+
+def fill_ratings(df: DataFrame, cfg: Ratings, by: Sequence[str]) -> DataFrame:
+    f = cfg.column
+    if not f or f not in df.columns:
+        return df
     if isinstance(cfg.impute_strategy, (int, float)):
-        filled, fill = t.df, F.lit(float(cfg.impute_strategy))
+        filled, value = df, F.lit(float(cfg.impute_strategy))
     else:
-        filled = attach(t.df, column_centres(t.df, [f], cfg.impute_strategy, by), by)
-        fill = F.col(f"_stat_{f}")
-    t.df = filled.withColumn(f, half_even(F.coalesce(F.col(f), fill), cfg.decimal_places)).drop(f"_stat_{f}")
+        filled = attach(df, column_centres(df, [f], cfg.impute_strategy, by), by)
+        value = F.col(f"_stat_{f}")
+    return filled.withColumn(f, half_even(F.coalesce(F.col(f), value), cfg.decimal_places)).drop(f"_stat_{f}")
 
 
 def categories_step(t: Counted, cfg: Categorical) -> None:
@@ -268,42 +280,51 @@ def usable_keys(df: DataFrame, cfg: Dedup) -> list[str]:
     return [k for k in cfg.key_fields if k in df.columns]
 
 
-def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = (), totals: Sequence[str] = ()) -> DataFrame:
-    """Keep the first row per key, or one row per key with the quantities added up.
+def adds_up(df: DataFrame, cfg: Dedup) -> bool:
+    return bool(cfg.strategy == "aggregate" and cfg.quantity_field in df.columns and usable_keys(df, cfg))
 
-    For an added-up row ``totals`` are counter columns: they are added up over the rows of a key, so that their
-    sum stays that of the input.
-    """
+
+def deduplicate(df: DataFrame, cfg: Dedup, order: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Keep the first row per key, or one row per key with the quantities added up."""
     keys = usable_keys(df, cfg)
     if not keys:
         return df
     keys = [*by, *[k for k in keys if k not in by]]
-    sums = [F.sum(c).alias(c) for c in totals]
-    quantity = cfg.quantity_field
-    if cfg.strategy == "aggregate" and quantity in df.columns:
-        rest = [c for c in df.columns if c not in keys and c != quantity and c not in totals]
+    if adds_up(df, cfg):
+        quantity = cfg.quantity_field
+        rest = [c for c in df.columns if c not in keys and c != quantity]
         units = F.coalesce(F.sum(to_number(F.col(quantity))), F.lit(0.0)).alias(quantity)
         return df.groupBy(*keys).agg(units, *[
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest], *sums)
+            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest])
     return without_later(df, keys, order)
 
 
 def without_later(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """Drop the rows that are not the first of their key.
+    """Drop the rows that are not the first of their key."""
+    own = df if "_place" in df.columns else cut_lineage(df.withColumn("_place", F.monotonically_increasing_id()))
+    kept = own.join(later_rows(own, keys, order), "_place", "left_anti")
+    return kept if "_place" in df.columns else kept.drop("_place")
+
+
+def later_rows(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """``_place`` of the rows that are not the first of their key, written once.
 
     Only keys and positions are grouped: the first position of every key that occurs several times, then the
     rows behind it. Those are few and named by ``_place``, so whole rows are not sorted, and shuffled
     only if the copies are too many to broadcast. A position that is one number is a hash aggregate.
+    The rows of a repeated key are found by one hash of the key, a number, and then compared key by key. Keys and positions
+    are written once, since rules and joins may lie behind them.
     """
-    own = df if "_place" in df.columns else cut_lineage(df.withColumn("_place", F.monotonically_increasing_id()))
-    single = isinstance(own.select(order.alias("o")).schema["o"].dataType, T.IntegralType)
+    single = isinstance(df.select(order.alias("o")).schema["o"].dataType, T.IntegralType)
     at = order if single else F.struct(order.alias("o"), F.col("_place"))
-    narrow = own.select(*keys, "_place", at.alias("_at"))
-    several = narrow.groupBy(*keys).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    later = narrow.alias("a").join(several.alias("b"), same_key("a", "b", keys)).filter(F.col("a._at") != F.col("b._first"))
-    later = cut_lineage(later.select("a._place"))
-    kept = own.join(later, "_place", "left_anti")
-    return kept if "_place" in df.columns else kept.drop("_place")
+    narrow = cut_lineage(df.select(*keys, "_place", at.alias("_at"), F.xxhash64(*keys).alias("_hash")))
+    first = F.min_by("_place", "_at") if single else F.min("_at")["_place"]
+    several = narrow.groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    several = cut_lineage(several.select(*keys, "_first", F.xxhash64(*keys).alias("_hash")))
+    # added up, so that the keys themselves are not sorted and shuffled by
+    unlike = sum((F.when(F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")), 0).otherwise(1) for k in keys), F.lit(0))
+    found = narrow.alias("a").join(several.alias("b"), (F.col("a._hash") == F.col("b._hash")) & (unlike == 0))
+    return cut_lineage(found.filter(F.col("a._place") != F.col("b._first")).select("a._place"))
 
 
 def outliers_step(t: Counted, cfg: Outliers, by: Sequence[str]) -> Column | None:
@@ -344,45 +365,67 @@ def quality_report(before: DataFrame, after: DataFrame, by: Sequence[str] = ())
     return sides[0].unionByName(sides[1])
 
 
+def value_steps(t: Counted, cfg: CleaningConfig, by: Sequence[str], ratings) -> None:
+    """The steps that look at one row, in their fixed order; ``ratings`` does what is to be done to these."""
+    dates_step(t, cfg.dates)
+    prices_step(t, cfg.price)
+    ratings(t)
+    categories_step(t, cfg.categorical)
+    cities_step(t, cfg.geo)
+    booleans_step(t, cfg.booleans)
+    delivery_step(t, cfg.delivery)
+
+
 def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None, by: Sequence[str] = (),
-                 report: bool = True) -> tuple[DataFrame, DataFrame | None]:
+                 report: bool = True, holes: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """All steps in their fixed order. Returns the cleaned frame and the long-form report.
 
-    The input is written to the shared folder once; every statistic, the duplicate keys, the report and
-    the result read the columns they need of that copy. Steps are column expressions, so a statistic
-    evaluates only those that its column went through.
+    The input is written to the shared folder once, unless it lies there already: then it has ``_place``, and
+    ``holes`` names its columns with nulls. The modes and the duplicate keys read the columns they need of that copy.
+    The steps that look at one row are worked through once, for all columns, counters and the mark of a later
+    duplicate together, and their result is written; the other statistics, the report and the result read that.
     """
     columns = [c for c in df.columns if not c.startswith("_")]
     checked = [c for c in columns if c not in by]
     targets = imputed_columns(df, cfg.missing, by)
-    copy, holes = copied(df if order is None else df.withColumn("_order", order), targets)
+    copy = df
+    if holes is None:
+        copy, holes = copied(df if order is None else df.withColumn("_order", order), targets)
     t = Counted(copy, report)
     t.change({}, ("dq", "", "rows_before", F.lit(True)),
              *[("dq", c, "missing_before", F.col(c).isNull()) for c in checked])
     t.df = impute_missing(t.df, cfg.missing, by, holes)
-    dates_step(t, cfg.dates)
-    prices_step(t, cfg.price)
-    ratings_step(t, cfg.ratings, by)
-    categories_step(t, cfg.categorical)
-    cities_step(t, cfg.geo)
-    booleans_step(t, cfg.booleans)
-    delivery_step(t, cfg.delivery)
 
+    keys, added_up = usable_keys(df, cfg.dedup), adds_up(df, cfg.dedup)
     position = F.col("_order") if order is not None else F.col("_position")
-    if order is None and usable_keys(df, cfg.dedup):
+    if keys and added_up and order is None:
         t.df = with_position(t.df)
-    added_up = cfg.dedup.strategy == "aggregate" and cfg.dedup.quantity_field in t.df.columns and usable_keys(df, cfg.dedup)
-    unique = deduplicate(t.df, cfg.dedup, position, by, t.flag_names())
+    if keys and not added_up:
+        keyed = Counted(t.df if order is not None else with_position(t.df), False)
+        value_steps(keyed, cfg, by, lambda k: ratings_step(k, cfg.ratings, by) if cfg.ratings.column in keys else None)
+        later = later_rows(keyed.df, [*by, *[k for k in keys if k not in by]], position)
+        t.df = t.df.join(later.withColumn("_later", F.lit(True)), "_place", "left")
+    # the statistic of ratings is taken from what is written, unless a step after it looks at them
+    at_once = cfg.ratings.column in (*cfg.categorical.fields, cfg.geo.city_field, *cfg.booleans.fields, cfg.delivery.column)
+    value_steps(t, cfg, by, lambda k: ratings_step(k, cfg.ratings, by) if at_once else parse_ratings(k, cfg.ratings))
+    raw_texts = [f"{f}_raw" for f in cfg.price.fields if f"{f}_raw" in t.df.columns and f"{f}_raw" not in columns]
+    helpers = [c for c in ("_later", "_order", "_position") if c in t.df.columns and (added_up or c == "_later")]
+    t.df = cut_lineage(t.df.select(*columns, *raw_texts, *t.flag_names(), *helpers))
+    if not at_once:
+        t.df = fill_ratings(t.df, cfg.ratings, by)
+
+    unique = t.clean()
     if added_up:
-        unique = cut_lineage(unique)
-    u = Counted(unique.drop(*t.flag_names()), report)
+        unique = cut_lineage(deduplicate(unique, cfg.dedup, position, by))
+    elif keys:
+        unique = unique.filter(F.col("_later").isNull())
+    u = Counted(unique, report)
     outliers_step(u, cfg.outliers, by)
     payment_step(u, cfg.payment)
-    raw_texts = [f"{f}_raw" for f in cfg.price.fields if f"{f}_raw" in u.df.columns and f"{f}_raw" not in columns]
     cleaned = u.clean().select(*columns, *raw_texts)
     if not report:
         return cleaned, None
-    earlier = cut_lineage(measure(unique if added_up else t.df, t.items(), by))
+    earlier = cut_lineage(measure(t.df, t.items(), by))
     imputed = earlier.filter((F.col("metric") == "missing_before") & F.col("field").isin(targets))
     imputed = imputed.withColumns({"step": F.lit("missing"), "metric": F.lit("imputed")})
     median = [("outliers", cfg.outliers.column, "median", F.max("_median"))] if "_median" in u.df.columns else []
@@ -395,15 +438,16 @@ def run_cleaning(df: DataFrame, cfg: CleaningConfig, order: Column | None = None
 def with_position(df: DataFrame) -> DataFrame:
     """Add ``_position``: the place of a scanned row in the order of files, as one number.
 
-    Splits are numbered in the order of files and starts (a row for every 128 MB of input or so); a running id
+    Splits are numbered in the order of files and starts (a row for every 128 MB of input or so, broadcast); a running id
     orders the rows inside a split.
     """
     split = ["_src", "_start"]
     rows = df.withColumn("_start", F.col("_row.start"))
     splits = rows.select(*split).distinct()
-    splits = splits.withColumn("_split", F.row_number().over(Window.orderBy(*split)))
+    splits = cut_lineage(splits.withColumn("_split", F.row_number().over(Window.orderBy(*split))))
     inside = F.col("_row.n").bitwiseAND((1 << 33) - 1)
-    return rows.join(splits, split).withColumn("_position", F.shiftleft(F.col("_split").cast("long"), 33) + inside).drop("_split", "_start")
+    placed = rows.join(F.broadcast(splits), split)
+    return placed.withColumn("_position", F.shiftleft(F.col("_split").cast("long"), 33) + inside).drop("_split", "_start")
 
 
 def dedup_report(counted: DataFrame, df: DataFrame, cfg: Dedup, by: Sequence[str]) -> DataFrame:

@@ -264,7 +264,7 @@ def csv_folder(r: Retail) -> str:
 
 def in_row_order(r: Retail, *columns: str):
     """Raw rows sorted, so that the order of the written files is the order of the rows."""
-    return r.raw(*columns, "tx_id").orderBy("tx_id").drop("tx_id")
+    return r.raw(*columns, sort=True)
 
 
 @query("src_csv_scan", """

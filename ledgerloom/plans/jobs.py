@@ -20,8 +20,8 @@ def clean_file(spark: SparkSession, path: str, cfg: CleaningConfig, out_folder:
                casts: dict[str, str] | None = None) -> DataFrame:
     """Clean one CSV and write it with its report; returns the report as written."""
     report = None
-    for rows in files.scan_groups(spark, [path], casts, multi_line=True, types=True):
-        report = write_run(rows, cfg, "single", out_folder)
+    for rows, holes in typed_tables(spark, [path], casts, multi_line=True):
+        report = write_run(rows, cfg, "single", out_folder, holes)
     return report
 
 
@@ -37,13 +37,20 @@ def clean_folder(spark: SparkSession, folder: str, out_folder: str, overwrite: b
     report = None
     for name, cfg in configs.items():
         chosen = [row.path for row in routed if row.config == name]
-        for rows in files.scan_groups(spark, chosen, casts, multi_line, types=True) if chosen else ():
-            report = write_run(rows, cfg, name, out_folder)
+        for rows, holes in typed_tables(spark, chosen, casts, multi_line) if chosen else ():
+            report = write_run(rows, cfg, name, out_folder, holes)
     return report
 
 
-def write_run(rows: DataFrame, cfg: CleaningConfig, config_name: str, out_folder: str) -> DataFrame:
-    cleaned, report = run_cleaning(rows, cfg, by=["source_file"])
+def typed_tables(spark: SparkSession, paths: list[str], casts: dict[str, str] | None, multi_line: bool):
+    """Tables to be cleaned, with their columns that hold a null where those are known: a caller's casts may add some."""
+    if casts:
+        return [(rows, None) for rows in files.scan_groups(spark, paths, casts, multi_line, types=True)]
+    return files.stored_groups(spark, paths, multi_line)
+
+
+def write_run(rows: DataFrame, cfg: CleaningConfig, config_name: str, out_folder: str, holes: list[str] | None = None) -> DataFrame:
+    cleaned, report = run_cleaning(rows, cfg, by=["source_file"], holes=holes)
     labelled = report.withColumnRenamed("source_file", "file").withColumn("config", F.lit(config_name))
     files.write_clean(cleaned, labelled, out_folder)
     return rows.sparkSession.read.json(f"{out_folder}/report")

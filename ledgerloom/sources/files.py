@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
+from collections.abc import Callable
 from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,18 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerloom.functions.numeric import to_number
 from ledgerloom.functions.parsing import boolean
 from ledgerloom.functions.text import null_tokens
-from ledgerloom.sources.types import column_kinds, type_of
+from ledgerloom.session import cut_lineage, shared_folder
+from ledgerloom.sources.types import column_kinds, is_plain_text, type_of
 
 CSV_NAME = "*.[cC][sS][vV]"
 
 
 def dataset_name(path: Column) -> Column:
     """Name of the CSV a path belongs to: the file itself, or the ``x.csv`` folder of part files it lies in."""
-    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
-    parts = F.split(plain, "/")
-    folder = F.try_element_at(parts, F.lit(-2))
-    name = F.when(F.lower(folder).endswith(".csv"), folder).otherwise(F.element_at(parts, -1))
-    return F.regexp_replace(name, "^source_file=", "")  # a cleaned file keeps the name of its input
+    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    # worked out for every row, so without patterns and lists
+    last = F.substring_index(F.when(path.contains("%"), decoded).otherwise(path), "/", -2)
+    folder = F.substring_index(last, "/", 1)
+    name = F.when(F.lower(folder).endswith(".csv"), folder).otherwise(F.substring_index(last, "/", -1))
+    # a cleaned file keeps the name of its input
+    mark = "source_file="
+    return F.when(name.startswith(mark), F.substring(name, F.lit(len(mark) + 1), F.length(name))).otherwise(name)
 
 
 def list_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,13 +67,17 @@ def positioned(df: DataFrame) -> DataFrame:
 
 def read_tokens(df: DataFrame, casts: dict[str, str] | None = None) -> DataFrame:
     """Null tokens to null in every text column, then the casts a caller names ("double", "int", "boolean", …)."""
-    kinds = casts or {}
+    return typed(df, casts or {}, null_tokens)
+
+
+def typed(df: DataFrame, kinds: dict[str, str], prepare: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """Text columns, prepared, cast to the kinds that are named."""
 
     def value(f: T.StructField) -> Column:
         c = F.col(f"`{f.name}`")
         if not isinstance(f.dataType, T.StringType) or f.name in ("source_file", "_src"):
             return c
-        c = null_tokens(c)
+        c = prepare(c)
         kind = kinds.get(f.name, "string")
         if kind == "boolean":
             c = boolean(c)
@@ -184,6 +194,61 @@ def typed_groups(spark: SparkSession, paths: list[str], names: list[str], multi_
     return dict(groups)
 
 
+def stored_groups(spark: SparkSession, paths: list[str], multi_line: bool = False) -> list[tuple[DataFrame, list[str]]]:
+    """Typed tables like those of ``scan_groups``, each with its columns that hold a null; the CSVs are worked through once.
+
+    The text is written to the shared folder, with a row id ``_place``; types are found in that copy and are casts of it.
+    """
+    known, failed = headers(spark, paths)
+    if failed:
+        raise ValueError("unreadable files: " + "; ".join(f"{path}: {reason}" for path, reason in sorted(failed.items())))
+    stored = []
+    for names, members in known.items():
+        text = cut_lineage(scan_csv(spark, members, None, list(names), multi_line))
+        groups = defaultdict(list)
+        holes = defaultdict(set)
+        for name, types, empty in settled_types(text, list(names)):
+            groups[types].append(name)
+            holes[types] |= empty
+        # files with a header and no rows
+        groups = dict(groups) or {("string",) * len(names): []}
+        parts = by_group(text, list(groups.values())) if len(groups) > 1 else [text]
+        for (types, _), part in zip(groups.items(), parts):
+            rows = typed(part, dict(zip(names, types))).withColumn("_place", F.col("_row.n"))
+            stored.append((rows, [n for n in names if n in holes[types]]))
+    return stored
+
+
+def settled_types(text: DataFrame, names: list[str]) -> list[tuple[str, tuple[str, ...], set[str]]]:
+    """(file, types of its columns, its columns with nulls) of a stored table: one row per file.
+
+    A column is text as soon as one value is, which most values tell by their first character; kinds are only asked
+    of columns that this leaves open.
+    """
+    plain = [F.max(is_plain_text(F.col(f"`{c}`"))).alias(f"_plain_{i}") for i, c in enumerate(names)]
+    empty = [F.max(F.col(f"`{c}`").isNull()).alias(f"_null_{i}") for i, c in enumerate(names)]
+    files = text.groupBy("source_file").agg(*plain, *empty).orderBy("source_file").collect()
+    unsettled = [i for i in range(len(names)) if not all(row[f"_plain_{i}"] for row in files)]
+    kinds = {}
+    if unsettled:
+        found = column_kinds(text, [names[i] for i in unsettled], ["source_file"]).collect()
+        kinds = {row["source_file"]: dict(zip(unsettled, row["kinds"])) for row in found}
+    return [(
+        row["source_file"],
+        tuple("string" if row[f"_plain_{i}"] else type_of(kinds[row["source_file"]][i]) for i in range(len(names))),
+        {c for i, c in enumerate(names) if row[f"_null_{i}"]},
+    ) for row in files]
+
+
+def by_group(text: DataFrame, groups: list[list[str]]) -> list[DataFrame]:
+    """The rows of each group of files: the table is written once more, in a folder per group."""
+    spark = text.sparkSession
+    of = spark.createDataFrame([(name, i) for i, group in enumerate(groups) for name in group], "source_file string, _group int")
+    path = f"{shared_folder(spark)}/groups-{uuid4().hex}"
+    text.join(F.broadcast(of), "source_file").write.partitionBy("_group").parquet(path)
+    return [spark.read.schema(text.schema).parquet(f"{path}/_group={i}") for i in range(len(groups))]
+
+
 def scan_files(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None,
                multi_line: bool = False, skip_unreadable: bool = False) -> DataFrame | None:
     """Union of CSV files with different headers, as text; missing columns are null."""

@@ -34,12 +34,17 @@ def kind_of(c: Column) -> Column:
     )
     return (
         F.when(c.isNull(), 0)
+        .when(is_plain_text(c), TEXT)
         .when((c >= "+") & (c < ":"), numeric)
-        .when(F.lower(c).isin("true", "false"), TRUTH)
-        .otherwise(TEXT)
+        .otherwise(TRUTH)
     )
 
 
+def is_plain_text(c: Column) -> Column:
+    """Whether a value is text by its first character, no truth value, and so needs no pattern; null is not."""
+    return F.when((c >= "+") & (c < ":"), False).otherwise(c.isNotNull() & ~F.lower(c).isin("true", "false"))
+
+
 def type_of(kinds: int) -> str:
     """The Spark type of a column with these kinds of values; text where it has none."""
     return {WHOLE: "bigint", NUMBER: "double", WHOLE | NUMBER: "double", TRUTH: "boolean", DAY: "date"}.get(kinds, "string")

@@ -272,3 +272,33 @@ def test_parts_grow_with_rows(spark):
 
     assert session.dealt(spark.range(100), 40 * session.ROWS_PER_PART, "id").rdd.getNumPartitions() == 40
     assert "RepartitionByExpression" not in session.dealt(spark.range(100), 100, "id")._jdf.queryExecution().logical().toString()
+
+
+def test_a_folder_is_parsed_and_cleaned_once(spark, base, monkeypatch):
+    """One scan reads the CSVs' columns, and one works through the value rules; statistics, report and result read what it wrote."""
+    from pyspark.sql import DataFrameWriter
+
+    rows = [(str(i), f"k{i % 5}", f"{i}/5", ["Bengalurru", "Pune", None][i % 3]) for i in range(60)]
+    files.csv_writer(spark.createDataFrame(rows, "id string, k string, rating string, city string").coalesce(2)).csv(f"{base}/in/a.csv")
+    cfg = CleaningConfig.from_dict({"ratings": {"column": "rating"}, "geo": {"city_field": "city", "canonical_cities": ["Bengaluru", "Pune"]},
+                                    "dedup": {"key_fields": ["k"]}, "outliers": {"column": "rating"}})
+    plans, kind = [], type(spark.range(1))
+
+    def noted(real, frame):
+        def run(self, *args, **options):
+            plans.append(frame(self)._jdf.queryExecution().executedPlan().toString())
+            return real(self, *args, **options)
+        return run
+
+    for name in ("parquet", "csv", "json"):
+        monkeypatch.setattr(DataFrameWriter, name, noted(getattr(DataFrameWriter, name), lambda w: w._df))
+    monkeypatch.setattr(kind, "collect", noted(kind.collect, lambda df: df))
+    report = jobs.clean_folder(spark, f"{base}/in", f"{base}/out", configs={"transactions": cfg})
+    monkeypatch.undo()
+    assert sum("FileScan csv" in p for p in plans) == 1
+    assert sum("ArrowEvalPython" in p for p in plans) == 1
+    found = {(r["step"], r["field"] or "", r["metric"]): r["value"] for r in report.collect()}
+    assert (found["dedup", "", "kept"], found["dedup", "", "dropped"]) == (5, 55)
+    assert (found["geo", "city", "resolved"], found["missing", "city", "imputed"], found["ratings", "rating", "changed"]) == (60, 20, 60)
+    out = spark.read.option("header", True).csv(f"{base}/out/data/source_file=a.csv").collect()
+    assert {r["id"]: r["city"] for r in out} == {"0": "Bengaluru", "1": "Pune", "2": "Bengaluru", "3": "Bengaluru", "4": "Pune"}
